@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +12,22 @@ from steadyline.operators.arrivals import extract_arrivals
 from steadyline.operators.freshness import coverage, freshness_mart, gap_summary
 from steadyline.operators.headways import MAX_HEADWAY_SEC, headway_mart
 from steadyline.operators.serving import top_unstable
-from steadyline.sources.tables import save_mart, write_arrivals
+from steadyline.sources.tables import read_arrivals, save_mart, write_arrivals
 
 
-def between_dates(df: DataFrame, dt_from: str | None = None, dt_to: str | None = None) -> DataFrame:
-    """Restrict a ``dt``-partitioned table, pruning its partitions.
+STORED_ARRIVALS = (
+    "line STRING, train_no STRING, statn_id STRING, statn_nm STRING, statn_tnm STRING, "
+    "updn_line STRING, direct_at STRING, seq BIGINT, arrival_ts TIMESTAMP_NTZ, dt STRING"
+)
 
-    Arrivals need each train's row before the range: start a day early and drop that day afterwards.
-    """
+
+def stored_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    """Arrivals as :func:`build_arrivals` stores them with ``extra=("direct_at",)``."""
+    return read_arrivals(spark, path, STORED_ARRIVALS)
+
+
+def between_dates(df: DataFrame, dt_from: str | None = None, dt_to: str | None = None) -> DataFrame:
+    """Restrict a ``dt``-partitioned table to a range of dates, pruning its partitions."""
     if dt_from is not None:
         df = df.filter(F.col("dt") >= dt_from)
     if dt_to is not None:
@@ -27,10 +36,25 @@ def between_dates(df: DataFrame, dt_from: str | None = None, dt_to: str | None =
 
 
 def build_arrivals(
-    log: DataFrame, path: str, keys: Sequence[str] = ("train_no",), extra: Sequence[str] = ()
+    log: DataFrame,
+    path: str,
+    keys: Sequence[str] = ("train_no",),
+    extra: Sequence[str] = (),
+    dt_from: str | None = None,
+    dt_to: str | None = None,
+    lookback_days: int = 1,
 ) -> None:
-    """Recover arrivals from the log and store them by date."""
-    write_arrivals(extract_arrivals(log, keys, extra=extra), path)
+    """Recover arrivals from the log and store them by date, replacing the dates covered.
+
+    By default the whole log is used. With ``dt_from`` only later dates are rewritten, and
+    the ``lookback_days`` before it are read to know where each train was; a train silent for
+    longer than that starts afresh.
+    """
+    start = None
+    if dt_from is not None:
+        start = str(date.fromisoformat(dt_from) - timedelta(days=lookback_days))
+    found = extract_arrivals(between_dates(log, start, dt_to), keys, extra=extra)
+    write_arrivals(between_dates(found, dt_from, dt_to), path)
 
 
 def build_headway_mart(
@@ -47,7 +71,3 @@ def build_freshness_mart(
     """Replace the freshness mart; return it with its coverage and gap summaries."""
     mart = save_mart(freshness_mart(log, source_tz), name)
     return mart, coverage(mart), gap_summary(mart)
-
-
-def session_tables(spark: SparkSession, namespace: str) -> list[str]:
-    return [f"{namespace}.{r.tableName}" for r in spark.sql(f"SHOW TABLES IN {namespace}").collect()]

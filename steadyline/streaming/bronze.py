@@ -108,6 +108,21 @@ def compact_current(
     )
 
 
+def rebuild_current(
+    spark: SparkSession, log_path: str, path: str, dates: list[str], key: str = "event_id"
+) -> None:
+    """Replace the given dates of the state table by what the log says, after a lost write."""
+    rows = read_position_log(spark, log_path).filter(F.col("dt").isin(*dates)).drop("batch_id")
+    (
+        latest_per_key(rows, key, _VERSION)
+        .hint("rebalance", "dt")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt")
+        .parquet(path)
+    )
+
+
 def read_current(spark: SparkSession, path: str, key: str = "event_id") -> DataFrame:
     """The state table: one row per key, also between compactions."""
     return latest_per_key(_stored(spark, path), key, _VERSION).drop("dt")
