@@ -1,13 +1,14 @@
 """Time the headline queries on whole tables and print one JSON line.
 
-Each query runs twice over a ``noop`` sink (every row is computed, nothing is collected); the
-second run counts, so that JVM warm-up does not. Environment: ``BENCH_SF_DIR``, ``BENCH_CPUS``.
+Each query runs over a ``noop`` sink (every row is computed, nothing is collected): once to warm the
+JVM up, then three times, of which the median counts. Environment: ``BENCH_SF_DIR``, ``BENCH_CPUS``.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -51,6 +52,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            # Call-site capture for error messages; costs a stack walk per column expression.
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )
@@ -58,11 +61,11 @@ def main() -> None:
     timings = {}
     for name in HEADLINE:
         seconds(spark, name, sf_dir)
-        timings[name] = round(seconds(spark, name, sf_dir), 3)
+        timings[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(3)), 3)
     print(
         json.dumps(
             {
-                "metric": "headline queries, total of second runs",
+                "metric": "headline queries, total of medians",
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,

@@ -44,31 +44,40 @@ def normalize_events(rows: DataFrame, ingested_at: Column | None = None) -> Data
     return named.select(event_id_col().alias("event_id"), "line", *API_FIELDS.values(), "ingested_at")
 
 
-def _scalar(name: str, raw: Column) -> Column:
-    """Field text, or null where the field holds an object or array.
+def _nested_fields(raw: Column) -> Column:
+    """Names of the record fields that hold an object or array.
 
-    Only text that opens like a nested value pays for looking at its JSON type.
+    Null unless some field's text opens like one, so the normal record costs a few comparisons.
     """
-    text = F.col(name)
-    kind = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(raw), f"$.{name}", "variant")
-    )
-    return F.when(~text.rlike(r"^\s*[\[{]") | (kind == "STRING"), text)
+    opens = F.lit(False)
+    for name in RECORD_FIELDS:
+        text = F.col(name)
+        opens = opens | F.coalesce(text.startswith("{") | text.startswith("["), F.lit(False))
+    values = F.from_json(raw, "MAP<STRING, VARIANT>")
+    held = F.map_filter(values, lambda _, v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
+    return F.when(opens, F.map_keys(held))
 
 
 def parse_raw(df: DataFrame, value: str = "value") -> DataFrame:
     """Raw text → the twelve record fields and ``raw_json``; other input columns are kept.
 
-    Malformed text and records without an ``event_id`` are dropped. ``inline`` keeps the parse out of
-    reach of predicate pushdown, which would repeat it for every later filter on a field.
+    Fields are scalars: an object or array gives null. Malformed text and records without an
+    ``event_id`` are dropped. ``inline`` keeps the parse out of reach of predicate pushdown, which
+    would repeat it for every later filter on a field.
     """
     schema = ", ".join(f"{name} STRING" for name in (*RECORD_FIELDS, "_corrupt"))
     others = [c for c in df.columns if c != value]
     record = F.from_json(value, schema, {"columnNameOfCorruptRecord": "_corrupt"})
-    parsed = df.select(
-        *others, F.col(value).alias("raw_json"), F.inline(F.array(record))
-    ).filter("_corrupt IS NULL AND event_id IS NOT NULL")
-    fields = [_scalar(name, F.col("raw_json")).alias(name) for name in RECORD_FIELDS]
+    parsed = (
+        df.select(*others, F.col(value).alias("raw_json"), F.inline(F.array(record)))
+        .filter("_corrupt IS NULL AND event_id IS NOT NULL")
+        .withColumn("_nested", _nested_fields(F.col("raw_json")))
+    )
+    whole = F.col("_nested").isNull()
+    fields = [
+        F.when(whole | ~F.array_contains("_nested", name), F.col(name)).alias(name)
+        for name in RECORD_FIELDS
+    ]
     return parsed.select(*fields, "raw_json", *others).filter("event_id IS NOT NULL")
 
 

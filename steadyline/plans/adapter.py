@@ -20,49 +20,40 @@ WIDE_CUTOFF_SEC = 43_200
 LATE_SEC = 180
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
 def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
+def _one_of(index: str, values: tuple[str, ...]) -> str:
+    listed = ", ".join(f"'{value}'" for value in values)
+    return f"element_at(array({listed}), CAST({index} + 1 AS INT))"
+
+
+_K = "CAST(get_json_object(props, '$.k') AS BIGINT) % 10"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position per event, with a share of blank, missing and unreadable values."""
-    k = F.get_json_object("props", "$.k").cast("long") % 10
-    base = events(spark, sf_dir).select(
-        F.col("event_id").alias("seq"),
-        _pick(F.col("user_id") % 3, LINES).alias("line"),
-        _pick(F.col("user_id") % 3, LINE_CODES).alias("subway_id"),
-        F.col("user_id").cast("string").alias("train_no"),
-        F.when(~_every(89), F.concat(F.lit("S"), k.cast("string"))).alias("statn_id"),
-        F.concat(F.lit("station-"), k.cast("string")).alias("statn_nm"),
-        F.concat(F.lit("station-"), (F.col("user_id") % 10).cast("string")).alias("statn_tnm"),
-        F.when(_every(97), "2")
-        .otherwise((F.col("event_id") % 2).cast("string"))
-        .alias("updn_line"),
-        F.when(F.col("event_type") == "view", "0")
-        .when(F.col("event_type") == "click", "1")
-        .when(F.col("event_type") == "purchase", "2")
-        .otherwise("3")
-        .alias("train_sttus"),
-        F.when(F.col("value") > 100, "1").otherwise("0").alias("direct_at"),
-        F.lit("0").alias("lstcar_at"),
-        F.when(_every(100), "")
-        .when(_every(103), "bad-time")
-        .when(~_every(107), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .alias("recptn_dt"),
-        (
-            F.col("ts")
-            + F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 7).cast("decimal(8,6)")
-            )
-        ).alias("ingested_at"),
+    base = events(spark, sf_dir).selectExpr(
+        "event_id AS seq",
+        f"{_one_of('user_id % 3', LINES)} AS line",
+        f"{_one_of('user_id % 3', LINE_CODES)} AS subway_id",
+        "CAST(user_id AS STRING) AS train_no",
+        f"CASE WHEN event_id % 89 <> 0 THEN concat('S', {_K}) END AS statn_id",
+        f"concat('station-', {_K}) AS statn_nm",
+        "concat('station-', user_id % 10) AS statn_tnm",
+        "CASE WHEN event_id % 97 = 0 THEN '2' ELSE CAST(event_id % 2 AS STRING) END AS updn_line",
+        "CASE event_type WHEN 'view' THEN '0' WHEN 'click' THEN '1' WHEN 'purchase' THEN '2' "
+        "ELSE '3' END AS train_sttus",
+        "CASE WHEN value > 100 THEN '1' ELSE '0' END AS direct_at",
+        "'0' AS lstcar_at",
+        "CASE WHEN event_id % 100 = 0 THEN '' WHEN event_id % 103 = 0 THEN 'bad-time' "
+        "WHEN event_id % 107 <> 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS recptn_dt",
+        "ts + make_dt_interval(0, 0, 0, CAST(event_id % 7 AS DECIMAL(8, 6))) AS ingested_at",
     )
     return base.withColumn("event_id", event_id_col())
 
@@ -144,7 +135,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timetable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timetable API fields from the sign-up events: one scheduled arrival each."""
-    k = F.get_json_object("props", "$.k").cast("long") % 10
+    k = F.expr(_K)
     return (
         events(spark, sf_dir)
         .filter(F.col("event_type") == "signup")
