@@ -1,50 +1,42 @@
-"""Wall-clock arithmetic on TIMESTAMP_NTZ, independent of the session time zone."""
+"""Wall-clock arithmetic on TIMESTAMP_NTZ columns, independent of the session time zone."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DAY_SEC = 86_400
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def wall_clock(text: Column | str) -> Column:
+def wall_clock(text: str) -> Column:
     """Parse a receive-time text; unparseable text gives null instead of failing the job."""
-    return _col(text).try_cast("timestamp_ntz")
+    return F.col(text).try_cast("timestamp_ntz")
 
 
-def day_seconds(ts: Column | str) -> Column:
+def day_seconds(ts: str) -> Column:
     """Whole seconds since midnight."""
-    t = _col(ts)
-    return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return F.expr(f"hour({ts}) * 3600 + minute({ts}) * 60 + second({ts})")
 
 
-def wall_seconds(ts: Column | str) -> Column:
+def wall_seconds(ts: str) -> Column:
     """Whole seconds since 1970-01-01 00:00:00 on the same clock."""
-    t = _col(ts)
-    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date"))
-    return days.cast("long") * DAY_SEC + day_seconds(t)
+    return F.expr(
+        f"datediff(CAST({ts} AS DATE), DATE'1970-01-01') * 86400L"
+        f" + hour({ts}) * 3600 + minute({ts}) * 60 + second({ts})"
+    )
 
 
-def minute_of(ts: Column | str) -> Column:
+def minute_of(ts: str) -> Column:
     """The timestamp with its seconds removed."""
-    t = _col(ts)
-    none = F.lit(0)
-    return t - F.make_dt_interval(none, none, none, F.extract(F.lit("SECOND"), t))
+    return F.expr(f"{ts} - make_dt_interval(0, 0, 0, extract(SECOND FROM {ts}))")
 
 
-def date_text(ts: Column | str) -> Column:
+def date_text(ts: str) -> Column:
     """``yyyy-MM-dd`` of a timestamp."""
-    return _col(ts).cast("date").cast("string")
+    return F.expr(f"CAST(CAST({ts} AS DATE) AS STRING)")
 
 
-def clock_text_seconds(text: Column | str) -> Column:
+def clock_text_seconds(text: str) -> Column:
     """Seconds since midnight of ``HH:MM:SS`` text; anything else gives null."""
-    t = F.trim(_col(text))
+    t = F.trim(text)
     part = F.split(t, ":")
     seconds = (
         part.getItem(0).cast("int") * 3600

@@ -31,13 +31,14 @@ def freshness_mart(log: DataFrame, source_tz: str = "UTC") -> DataFrame:
     rows = log.filter(F.col("recptn_dt").isNotNull() & (F.col("recptn_dt") != "")).select(
         "line", "train_no", wall_clock("recptn_dt").alias("recptn_ts"), "ingested_at"
     )
-    received = wall_seconds(F.convert_timezone(F.lit(source_tz), F.lit("UTC"), "recptn_ts"))
+    in_utc = F.convert_timezone(F.lit(source_tz), F.lit("UTC"), "recptn_ts")
+    rows = rows.withColumn("received_utc", in_utc)
     return (
         rows.select(
             "line",
             "train_no",
             minute_of("recptn_ts").alias("minute_ts"),
-            (_epoch_seconds(rows, "ingested_at") - received).alias("_lag"),
+            (_epoch_seconds(rows, "ingested_at") - wall_seconds("received_utc")).alias("_lag"),
         )
         .groupBy("line", "minute_ts")
         .agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from steadyline.functions.clock import wall_seconds
 from steadyline.functions.labels import (
-    DIRECTION_CODES,
+    DIRECTIONS,
     day_type_col,
     direction_col,
     time_band_col,
@@ -28,7 +28,7 @@ _CUTOFFS_PER_BUCKET = 16
 
 def label_arrivals(arrivals: DataFrame) -> DataFrame:
     """Arrivals of the two known directions with direction, time band and day type."""
-    return arrivals.filter(F.col("updn_line").isin(*DIRECTION_CODES)).withColumns(
+    return arrivals.filter(F.col("updn_line").isin(*DIRECTIONS)).withColumns(
         {
             "direction": direction_col("updn_line"),
             "time_band": time_band_col("arrival_ts"),
@@ -53,7 +53,7 @@ def headways(
     keys = ["line", "statn_id", "updn_line", *extra_keys]
     width = max_headway_sec * _CUTOFFS_PER_BUCKET
     seconds = (
-        arrivals.filter(F.col("updn_line").isin(*DIRECTION_CODES))
+        arrivals.filter(F.col("updn_line").isin(*DIRECTIONS))
         .select(*keys, "statn_nm", "arrival_ts", wall_seconds("arrival_ts").alias("_sec"))
         .filter(F.col("_sec").isNotNull())
         .groupBy(*keys, "statn_nm", "_sec")

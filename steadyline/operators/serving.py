@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from steadyline.functions.labels import ALL, BANDS, RUSH_BANDS
@@ -58,13 +58,19 @@ def top_unstable_explore(
     return _worst_first(kept, n).select(*_TOP_COLUMNS, "n", "p50_sec", "p90_sec", "cv")
 
 
+def _mean_of_rounded(name: str) -> Column:
+    """Mean of a three-decimal column, summed exactly so that row order cannot shift a rounding."""
+    total = F.sum(F.col(name).cast("decimal(18,3)")).cast("double")
+    return F.round(total / F.count(name), 3)
+
+
 def mean_cv(mart: DataFrame, min_n: int = 10) -> DataFrame:
     """Mean CV, mean P50 and group count per line and time band."""
     return (
         mart.filter(F.col("headway_samples") >= min_n)
         .groupBy("line", "time_band")
         .agg(
-            F.round(F.avg("cv"), 3).alias("avg_cv"),
+            _mean_of_rounded("cv").alias("avg_cv"),
             F.round(F.avg("p50_sec"), 0).alias("avg_headway_sec"),
             F.count(F.lit(1)).alias("n_groups"),
         )
@@ -74,7 +80,7 @@ def mean_cv(mart: DataFrame, min_n: int = 10) -> DataFrame:
 def mean_cv_explore(explore: DataFrame) -> DataFrame:
     return explore.groupBy("line", "time_band").agg(
         F.count(F.lit(1)).alias("groups"),
-        F.round(F.avg("cv"), 3).alias("avg_cv"),
+        _mean_of_rounded("cv").alias("avg_cv"),
         F.round(F.avg("p50_sec"), 0).alias("avg_p50_sec"),
     )
 

@@ -2,7 +2,41 @@
 
 from __future__ import annotations
 
-from steadyline.plans.adapter import LATE_SEC, WIDE_CUTOFF_SEC
+from steadyline.functions import labels as L
+from steadyline.plans.adapter import LATE_SEC, LINES, WIDE_CUTOFF_SEC
+
+
+def _decode(code: str, meanings: dict, default: str | None = None) -> str:
+    cases = "".join(f" WHEN {key!r} THEN {text!r}" for key, text in meanings.items())
+    return f"(CASE {code}{cases}" + (f" ELSE {default!r}" if default else "") + " END)"
+
+
+def _direction(code: str = "updn_line") -> str:
+    return _decode(code, L.DIRECTIONS, L.UNKNOWN_DIRECTION)
+
+
+def _band(ts: str) -> str:
+    """Hour looked up in a list of 24 names."""
+    names, name = [], L.BANDS[-1]
+    for hour in range(24):
+        name = L.BAND_STARTS.get(hour, name)
+        names.append(name)
+    return f"({names})[hour({ts}) + 1]"
+
+
+def _day_type(ts: str) -> str:
+    return _decode(f"dayofweek({ts})", {0: L.HOLIDAY, 6: L.SATURDAY}, L.WEEKDAY)
+
+
+def _week_tag(ts: str) -> str:
+    weekday, saturday, sunday = L.WEEK_TAGS
+    days = {0: sunday, **{day: weekday for day in range(1, 6)}, 6: saturday}
+    return _decode(f"dayofweek({ts})", days)
+
+
+def _inout_tag(code: str = "updn_line") -> str:
+    return _decode(code, L.INOUT_OF_DIRECTION)
+
 
 _FIELDS = """event_id, line, subway_id, train_no, statn_id, statn_nm, statn_tnm, updn_line,
  train_sttus, direct_at, lstcar_at, recptn_dt"""
@@ -48,18 +82,12 @@ _VIEWS = {
     "arrivals": """
  SELECT line, train_no, statn_id, statn_nm, statn_tnm, updn_line, direct_at, seq,
   recptn_ts AS arrival_ts, strftime(recptn_ts, '%Y-%m-%d') AS dt
- FROM (SELECT *, lag(statn_id) OVER (PARTITION BY train_no ORDER BY recptn_ts, seq) AS prev
-  FROM timed WHERE recptn_ts IS NOT NULL)
- WHERE prev IS NULL OR statn_id <> prev""",
-    "labelled": """
- SELECT *,
-  CASE updn_line WHEN '0' THEN '상행' WHEN '1' THEN '하행' ELSE '미상' END AS direction,
-  CASE WHEN hour(arrival_ts) BETWEEN 5 AND 6 THEN '새벽'
-   WHEN hour(arrival_ts) BETWEEN 7 AND 9 THEN '출근'
-   WHEN hour(arrival_ts) BETWEEN 10 AND 16 THEN '점심'
-   WHEN hour(arrival_ts) BETWEEN 17 AND 19 THEN '퇴근' ELSE '밤' END AS time_band,
-  CASE dayofweek(arrival_ts) WHEN 0 THEN '휴일' WHEN 6 THEN '토요일' ELSE '평일' END AS day_type,
-  CAST(floor(epoch(arrival_ts)) AS BIGINT) AS sec
+ FROM timed WHERE recptn_ts IS NOT NULL
+ QUALIFY statn_id IS DISTINCT FROM lag(statn_id)
+  OVER (PARTITION BY train_no ORDER BY recptn_ts, seq)""",
+    "labelled": f"""
+ SELECT *, {_direction()} AS direction, {_band('arrival_ts')} AS time_band,
+  {_day_type('arrival_ts')} AS day_type, CAST(floor(epoch(arrival_ts)) AS BIGINT) AS sec
  FROM arrivals""",
     "freshness": """
  SELECT line, date_trunc('minute', TRY_CAST(recptn_dt AS TIMESTAMP)) AS minute_ts,
@@ -79,11 +107,10 @@ _VIEWS = {
   'C' || user_id AS train_no, strftime(ts, '%H:%M:%S') AS arrive_time,
   CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%H:%M:%S') ELSE '' END AS left_time,
   '0901' AS origin_station, '0938' AS dest_station, 'first' AS origin_nm, 'last' AS dest_nm,
-  CASE dayofweek(ts) WHEN 0 THEN '3' WHEN 6 THEN '2' ELSE '1' END AS week_tag,
-  CAST(event_id % 2 + 1 AS VARCHAR) AS inout_tag,
+  {week_tag} AS week_tag, CAST(event_id % 2 + 1 AS VARCHAR) AS inout_tag,
   CASE WHEN value > 100 THEN 'E' ELSE 'G' END AS express_yn, '' AS fl_flag,
   CASE WHEN event_id % 3 <> 0 THEN '0' ELSE '' END AS branch_line
- FROM events WHERE event_type = 'signup'""",
+ FROM events WHERE event_type = 'signup'""".replace("{week_tag}", _week_tag("ts")),
     "stations": """
  SELECT station_cd, fr_code, station_nm FROM (
   SELECT 'C' || (s_suppkey % 12) AS station_cd, s_suppkey,
@@ -93,11 +120,10 @@ _VIEWS = {
     "grid": """
  SELECT * FROM stations, (SELECT unnest(['1', '2', '3']) AS week_tag),
   (SELECT unnest(['1', '2']) AS inout_tag)""",
-    "asked": """
+    "asked": f"""
  SELECT seq, line, updn_line, direction, time_band, day_type, arrival_ts,
   statn_nm AS station_nm,
-  CASE dayofweek(arrival_ts) WHEN 0 THEN '3' WHEN 6 THEN '2' ELSE '1' END AS week_tag,
-  CASE updn_line WHEN '0' THEN '1' WHEN '1' THEN '2' END AS inout_tag,
+  {_week_tag('arrival_ts')} AS week_tag, {_inout_tag()} AS inout_tag,
   CAST(hour(arrival_ts) * 3600 + minute(arrival_ts) * 60 + second(arrival_ts) AS INTEGER)
    AS actual_sec
  FROM labelled""",
@@ -165,24 +191,22 @@ def _with(body: str, views: tuple[str, ...], extra: dict[str, str] | None = None
 def _headway_view(cutoff: int, extra_key: str = "") -> str:
     keys = "line, statn_id, direction" + (f", {extra_key}" if extra_key else "")
     return f"""
- SELECT * FROM (
-  SELECT line, statn_id, statn_nm, direction, time_band, day_type, direct_at, arrival_ts,
-   sec - lag(sec) OVER (PARTITION BY {keys} ORDER BY arrival_ts, statn_nm) AS headway_sec
-  FROM labelled WHERE updn_line IN ('0', '1'))
- WHERE headway_sec > 0 AND headway_sec <= {cutoff}"""
+ SELECT line, statn_id, statn_nm, direction, time_band, day_type, direct_at, arrival_ts,
+  sec - lag(sec) OVER (PARTITION BY {keys} ORDER BY arrival_ts, statn_nm) AS headway_sec
+ FROM labelled WHERE updn_line IN ('0', '1')
+ QUALIFY headway_sec BETWEEN 1 AND {cutoff}"""
 
 
 def _mart_view(extra_key: str = "") -> str:
     keys = "line, statn_id, direction, time_band, day_type" + (f", {extra_key}" if extra_key else "")
     return f"""
- SELECT {keys.replace("statn_id,", "statn_id, max(statn_nm) AS statn_nm,")},
-  count(*) AS headway_samples,
+ SELECT {keys}, max(statn_nm) AS statn_nm, count(*) AS headway_samples,
   quantile_disc(headway_sec, 0.5) AS p50_sec, quantile_disc(headway_sec, 0.9) AS p90_sec,
   round(avg(headway_sec), 0) AS mean_sec, round(stddev_samp(headway_sec), 1) AS std_sec,
-  round(stddev_samp(headway_sec) / nullif(avg(headway_sec), 0), 3) AS cv,
-  round(avg(CASE WHEN headway_sec > 1.5 * grp_p50 THEN 1 ELSE 0 END), 3) AS over_1p5x_ratio
- FROM headways JOIN (SELECT {keys}, quantile_disc(headway_sec, 0.5) AS grp_p50
-   FROM headways GROUP BY {keys}) USING ({keys})
+  round(stddev_samp(headway_sec) / avg(headway_sec), 3) AS cv,
+  round((count(*) FILTER (headway_sec > 1.5 * middle)) / count(*), 3) AS over_1p5x_ratio
+ FROM headways JOIN (SELECT {keys}, quantile_disc(headway_sec, 0.5) AS middle
+   FROM headways GROUP BY ALL) USING ({keys})
  GROUP BY {keys}"""
 
 
@@ -193,8 +217,8 @@ _EXPLORE = {
     "explore": """
  SELECT line, statn_id, statn_nm, direction, time_band, count(*) AS n,
   quantile_disc(headway_sec, 0.5) AS p50_sec, quantile_disc(headway_sec, 0.9) AS p90_sec,
-  round(stddev_samp(headway_sec) / nullif(avg(headway_sec), 0), 3) AS cv
- FROM headways GROUP BY 1, 2, 3, 4, 5 HAVING count(*) >= 15""",
+  round(stddev_samp(headway_sec) / avg(headway_sec), 3) AS cv
+ FROM headways GROUP BY ALL HAVING n >= 15""",
 }
 
 
@@ -222,21 +246,14 @@ _RANKED = """line, statn_nm, direction, time_band, headway_samples AS n, p50_sec
 
 _WORST = "ORDER BY cv DESC NULLS LAST, line, statn_id, statn_nm, direction, time_band, day_type"
 
-_EVENT_TIME = {
-    "time_band": """CASE WHEN hour(ts) BETWEEN 5 AND 6 THEN '새벽' WHEN hour(ts) BETWEEN 7 AND 9
- THEN '출근' WHEN hour(ts) BETWEEN 10 AND 16 THEN '점심' WHEN hour(ts) BETWEEN 17 AND 19
- THEN '퇴근' ELSE '밤' END""",
-    "day_type": "CASE dayofweek(ts) WHEN 0 THEN '휴일' WHEN 6 THEN '토요일' ELSE '평일' END",
-}
-
 ORACLE: dict[str, str] = {
     # sources and sinks
     "read_position_api": _with(
         f"SELECT {_API_COLUMNS} FROM positions WHERE (seq // 50) % 7 NOT IN (1, 2)", ("positions",)
     ),
     "read_position_api_errors": _with(
-        """SELECT DISTINCT line, 'ERROR-300' AS code, 'message' AS message
- FROM positions WHERE (seq // 50) % 7 = 2 GROUP BY line, seq // 50""".replace("DISTINCT ", ""),
+        """SELECT line, 'ERROR-300' AS code, 'message' AS message
+ FROM positions WHERE (seq // 50) % 7 = 2 GROUP BY line, seq // 50""",
         ("positions",),
     ),
     "stream_source": _with(
@@ -294,17 +311,13 @@ ORACLE: dict[str, str] = {
     ),
     "receive_ts_filter": _with("SELECT seq, recptn_ts FROM timed", ("timed",)),
     "direction_label": _with(
-        """SELECT seq, updn_line, CASE updn_line WHEN '0' THEN '상행' WHEN '1' THEN '하행'
- ELSE '미상' END AS direction FROM positions""",
-        ("positions",),
+        f"SELECT seq, updn_line, {_direction()} AS direction FROM positions", ("positions",)
     ),
-    "time_band_label": f"SELECT event_id, {_EVENT_TIME['time_band']} AS time_band FROM events",
-    "day_type_label": f"SELECT event_id, {_EVENT_TIME['day_type']} AS day_type FROM events",
+    "time_band_label": f"SELECT event_id, {_band('ts')} AS time_band FROM events",
+    "day_type_label": f"SELECT event_id, {_day_type('ts')} AS day_type FROM events",
     "week_tag_map": _with(
-        """SELECT seq, CASE dayofweek(TRY_CAST(recptn_dt AS TIMESTAMP)) WHEN 0 THEN '3'
- WHEN 6 THEN '2' WHEN 1 THEN '1' WHEN 2 THEN '1' WHEN 3 THEN '1' WHEN 4 THEN '1' WHEN 5 THEN '1'
- END AS week_tag, CASE updn_line WHEN '0' THEN '1' WHEN '1' THEN '2' END AS inout_tag
- FROM positions""",
+        f"""SELECT seq, {_week_tag('TRY_CAST(recptn_dt AS TIMESTAMP)')} AS week_tag,
+ {_inout_tag()} AS inout_tag FROM positions""",
         ("positions",),
     ),
     "minute_trunc": "SELECT event_id, date_trunc('minute', ts) AS minute_ts FROM events",
@@ -352,9 +365,9 @@ ORACLE: dict[str, str] = {
     "arrivals_lag_by_day": _with(
         """SELECT line, train_no, statn_id, statn_nm, statn_tnm, updn_line, seq,
  recptn_ts AS arrival_ts, strftime(recptn_ts, '%Y-%m-%d') AS dt
- FROM (SELECT *, lag(statn_id) OVER (PARTITION BY line, train_no, CAST(recptn_ts AS DATE)
-  ORDER BY recptn_ts, seq) AS prev FROM timed WHERE recptn_ts IS NOT NULL)
- WHERE prev IS NULL OR statn_id <> prev""",
+ FROM timed WHERE recptn_ts IS NOT NULL
+ QUALIFY statn_id IS DISTINCT FROM lag(statn_id) OVER (
+  PARTITION BY line, train_no, CAST(recptn_ts AS DATE) ORDER BY recptn_ts, seq)""",
         ("timed",),
     ),
     "arrivals_pattern": _with(
@@ -420,21 +433,19 @@ ORACLE: dict[str, str] = {
         ("freshness",),
     ),
     "gap_summary": _with(
-        """SELECT line, CAST(sum(CASE WHEN gap_min > 30 THEN 1 ELSE 0 END) AS BIGINT)
-  AS window_boundaries,
- CAST(sum(CASE WHEN gap_min > 1.5 AND gap_min <= 30 THEN 1 ELSE 0 END) AS BIGINT)
-  AS within_window_hiccups,
- round(max(CASE WHEN gap_min <= 30 THEN gap_min END), 1) AS max_hiccup_min
+        """SELECT line, count(*) FILTER (gap_min > 30) AS window_boundaries,
+ count(*) FILTER (gap_min > 1.5 AND gap_min <= 30) AS within_window_hiccups,
+ round(max(gap_min) FILTER (gap_min <= 30), 1) AS max_hiccup_min
  FROM gaps WHERE gap_min IS NOT NULL GROUP BY line""",
         ("gaps",),
     ),
     "mean_cv_by_line_band": _mart_sql(
-        """SELECT line, time_band, round(avg(cv), 3) AS avg_cv,
+        """SELECT line, time_band, round(avg(CAST(cv AS DECIMAL(18, 3))), 3) AS avg_cv,
  round(avg(p50_sec), 0) AS avg_headway_sec, count(*) AS n_groups
  FROM mart WHERE headway_samples >= 10 GROUP BY line, time_band"""
     ),
     "mean_cv_notebook": _with(
-        """SELECT line, time_band, count(*) AS groups, round(avg(cv), 3) AS avg_cv,
+        """SELECT line, time_band, count(*) AS groups, round(avg(CAST(cv AS DECIMAL(18, 3))), 3) AS avg_cv,
  round(avg(p50_sec), 0) AS avg_p50_sec FROM explore GROUP BY line, time_band""",
         ("labelled",),
         _EXPLORE,
@@ -451,18 +462,21 @@ ORACLE: dict[str, str] = {
     "arrivals_by_line": _with("SELECT line, count(*) AS cnt FROM arrivals GROUP BY line", ("arrivals",)),
     "dedup_ratio": _with(
         """SELECT (SELECT count(*) FROM records) AS log_rows,
- (SELECT count(*) FROM latest) AS current_rows,
- (SELECT count(*) FROM (SELECT statn_id, lag(statn_id)
-   OVER (PARTITION BY train_no ORDER BY TRY_CAST(recptn_dt AS TIMESTAMP), seq) AS prev
-  FROM records WHERE statn_id IS NOT NULL AND TRY_CAST(recptn_dt AS TIMESTAMP) IS NOT NULL)
-  WHERE prev IS NULL OR statn_id <> prev) AS arrival_rows""",
+ (SELECT count(*) FROM latest) AS current_rows, (SELECT count(*) FROM kept) AS arrival_rows""",
         ("latest",),
+        {
+            "kept": """
+ SELECT TRY_CAST(recptn_dt AS TIMESTAMP) AS moment, seq FROM records
+ WHERE statn_id IS NOT NULL AND moment IS NOT NULL
+ QUALIFY statn_id IS DISTINCT FROM lag(statn_id) OVER (
+  PARTITION BY train_no ORDER BY moment, seq)"""
+        },
     ),
     "mean_cv_pivot": _mart_sql(
         "SELECT line, "
         + ", ".join(
-            f"""coalesce(round(avg(cv) FILTER (WHERE time_band = '{band}'), 3), 0) AS "{band}\""""
-            for band in ("새벽", "출근", "점심", "퇴근", "밤")
+            f"""coalesce(round(avg(CAST(cv AS DECIMAL(18, 3))) FILTER (WHERE time_band = '{band}'), 3), 0) AS "{band}\""""
+            for band in L.BANDS
         )
         + " FROM mart WHERE headway_samples >= 10 GROUP BY line"
     ),
@@ -470,7 +484,7 @@ ORACLE: dict[str, str] = {
         "SELECT minute_ts, "
         + ", ".join(
             f"""CAST(sum(records) FILTER (WHERE line = '{line}') AS BIGINT) AS "{line}\""""
-            for line in ("1호선", "2호선", "9호선")
+            for line in LINES
         )
         + " FROM freshness GROUP BY minute_ts",
         ("freshness",),

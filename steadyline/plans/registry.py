@@ -229,10 +229,9 @@ def _(spark, sf):
 
 @_query("dt_partition_col")
 def _(spark, sf):
-    return adapter.positions(spark, sf).select(
-        "seq",
-        text_date_col().alias("log_dt"),
-        date_text(wall_clock("recptn_dt")).alias("arrival_dt"),
+    rows = adapter.positions(spark, sf).withColumn("recptn_ts", wall_clock("recptn_dt"))
+    return rows.select(
+        "seq", text_date_col().alias("log_dt"), date_text("recptn_ts").alias("arrival_dt")
     )
 
 
