@@ -59,9 +59,12 @@ def top_unstable_explore(
 
 
 def _mean_of_rounded(name: str) -> Column:
-    """Mean of a three-decimal column, summed exactly so that row order cannot shift a rounding."""
-    total = F.sum(F.col(name).cast("decimal(18,3)")).cast("double")
-    return F.round(total / F.count(name), 3)
+    """Mean of a three-decimal column, to three decimals.
+
+    Summed in whole thousandths: neither row order nor binary fractions can shift a rounding.
+    """
+    thousandths = F.sum(F.round(F.col(name) * 1000).cast("long"))
+    return F.round(thousandths / F.count(name)) / 1000
 
 
 def mean_cv(mart: DataFrame, min_n: int = 10) -> DataFrame:
