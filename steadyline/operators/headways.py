@@ -26,17 +26,6 @@ EXPLORE_MIN_SAMPLES = 15
 _CUTOFFS_PER_BUCKET = 16
 
 
-def label_arrivals(arrivals: DataFrame) -> DataFrame:
-    """Arrivals of the two known directions with direction, time band and day type."""
-    return arrivals.filter(F.col("updn_line").isin(*DIRECTIONS)).withColumns(
-        {
-            "direction": direction_col("updn_line"),
-            "time_band": time_band_col("arrival_ts"),
-            "day_type": day_type_col("arrival_ts"),
-        }
-    )
-
-
 def headways(
     arrivals: DataFrame,
     max_headway_sec: int = MAX_HEADWAY_SEC,

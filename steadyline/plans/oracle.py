@@ -271,7 +271,7 @@ ORACLE: dict[str, str] = {
         ("positions",),
     ),
     "append_log": _with(
-        f"SELECT seq, {_FIELDS}, nullif(dt, '') AS dt, seq % 2 AS batch_id FROM records", ("records",)
+        f"SELECT seq, {_FIELDS}, nullif(dt, '') AS dt, CAST(0 AS BIGINT) AS batch_id FROM records", ("records",)
     ),
     "upsert_current": _with(f"SELECT seq, {_FIELDS} FROM latest", ("latest",)),
     "mart_create_or_replace": _with("SELECT * FROM freshness", ("freshness",)),
