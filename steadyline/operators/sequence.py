@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,41 @@ def with_previous(
     return rows.drop("_bucket", "_head", "_more", "_slot")
 
 
+def _collapse(rows: DataFrame, within: WindowSpec, last: str, count: str) -> DataFrame:
+    """Reduce consecutive rows to the ones with ``_starts``, each standing for its whole run.
+
+    ``last`` becomes that of the run's final row, ``count`` the run's sum. ``_opens`` and ``_closes`` tell
+    whether the run is the first or last of its partition. Only neighbouring rows are compared, in
+    the one sort order the partition already has.
+    """
+    upto = within.rowsBetween(Window.unboundedPreceding, 0)
+    marked = rows.select(
+        "*",
+        F.sum(count).over(upto).alias("_upto"),
+        F.lag(last).over(within).alias("_prev_last"),
+        F.lead(F.lit(True), 1, False).over(within).alias("_more"),
+    ).withColumn("_before", F.col("_upto") - F.col(count))
+    # What closes a run is the start after it, or the partition's final row.
+    kept = marked.filter(F.col("_starts") | ~F.col("_more")).select(
+        "*",
+        F.lead("_starts").over(within).alias("_next_starts"),
+        F.lead("_before").over(within).alias("_next_before"),
+        F.lead("_upto").over(within).alias("_next_upto"),
+        F.lead("_prev_last").over(within).alias("_next_prev_last"),
+        F.lead(last).over(within).alias("_next_last"),
+    )
+    ends = F.when(F.col("_next_starts"), F.col("_next_before")).otherwise(F.col("_next_upto"))
+    final = F.when(F.col("_next_starts"), F.col("_next_prev_last")).otherwise(F.col("_next_last"))
+    alone = F.col("_next_starts").isNull()
+    return kept.filter("_starts").select(
+        *[c for c in rows.columns if c not in (last, count, "_starts")],
+        F.when(alone, F.col(last)).otherwise(final).alias(last),
+        F.when(alone, F.col(count)).otherwise(ends - F.col("_before")).alias(count),
+        (F.col("_before") == 0).alias("_opens"),
+        (~F.coalesce(F.col("_next_starts"), F.lit(False))).alias("_closes"),
+    )
+
+
 def match_runs(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,73 +100,32 @@ def match_runs(
     """One row per run of consecutive equal ``value``: the greedy ``A+`` pattern.
 
     Returns the keys, ``first_cols`` of the run's first row, the last ``order[0]`` of the run and its
-    length. Runs are found inside each (key, bucket); a piece touching a bucket border is then
-    joined to its neighbour, and pieces inside a bucket are final as they are.
+    length. Runs are found inside each (key, bucket); those touching a bucket border are then
+    joined to their neighbours, and the ones inside a bucket are final as they are.
     """
-    clock = order[0]
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     wanted = list(dict.fromkeys([*keys, *order, value, *first_cols]))
+    local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    first = F.row_number().over(local) == 1
+    rows = df.select(
+        *wanted,
+        F.col(order[0]).alias(last),
+        F.lit(1).cast("long").alias(rows_name),
+        bucket.alias("_bucket"),
+    ).withColumn("_starts", first | ~F.col(value).eqNullSafe(F.lag(value).over(local)))
+    pieces = _collapse(rows, local, last, rows_name)
 
-    marked = (
-        df.select(*wanted, bucket.alias("_bucket"))
-        .select(
-            "*",
-            F.row_number().over(local).alias("_rn"),
-            F.lag(value).over(local).alias("_prev"),
-            F.lag(clock).over(local).alias("_prev_clock"),
-            F.lead(F.lit(True), 1, False).over(local).alias("_more"),
-        )
-        .withColumn("_starts", (F.col("_rn") == 1) | ~F.col(value).eqNullSafe(F.col("_prev")))
-    )
-    # Between two starts nothing is needed; the bucket's last row closes its last piece.
-    pieces = (
-        marked.filter(F.col("_starts") | ~F.col("_more"))
-        .select(
-            "*",
-            F.lead("_starts").over(local).alias("_next_starts"),
-            F.lead("_rn").over(local).alias("_next_rn"),
-            F.lead("_prev_clock").over(local).alias("_closed_by_next"),
-            F.lead(clock).over(local).alias("_next_clock"),
-        )
-        .filter("_starts")
-        .withColumn(
-            "_rows",
-            F.when(F.col("_next_rn").isNull(), 1)
-            .when(F.col("_next_starts"), F.col("_next_rn") - F.col("_rn"))
-            .otherwise(F.col("_next_rn") - F.col("_rn") + 1),
-        )
-        .withColumn(
-            "_last",
-            F.when(F.col("_next_rn").isNull(), F.col(clock))
-            .when(F.col("_next_starts"), F.col("_closed_by_next"))
-            .otherwise(F.col("_next_clock")),
-        )
-        .withColumn("_opens", F.col("_rn") == 1)
-        .withColumn("_closes", ~F.coalesce(F.col("_next_starts"), F.lit(False)))
-        .withColumn("_slot", F.when(~(F.col("_opens") | F.col("_closes")), F.col("_bucket")))
-    )
-
+    inside = ~(F.col("_opens") | F.col("_closes"))
     across = Window.partitionBy(*keys, "_slot").orderBy("_bucket", *order)
     continues = (
         F.col("_opens")
         & (F.row_number().over(across) > 1)
         & F.col(value).eqNullSafe(F.lag(value).over(across))
     )
-    joined = pieces.withColumn("_new", F.when(continues, 0).otherwise(1)).withColumn(
-        "_run", F.sum("_new").over(across.rowsBetween(Window.unboundedPreceding, 0))
+    joined = (
+        pieces.withColumn("_slot", F.when(inside, F.col("_bucket")))
+        .withColumn("_starts", ~continues)
+        .drop("_opens", "_closes")
     )
-    at_start = F.struct(*[F.col(c) for c in first_cols])
-    return (
-        joined.groupBy(*keys, "_slot", "_run")
-        .agg(
-            F.min_by(at_start, F.struct(*order)).alias("_first"),
-            F.max("_last").alias(last),
-            F.sum("_rows").alias(rows_name),
-        )
-        .select(
-            *[k for k in keys if k not in first_cols],
-            *[F.col("_first").getField(c).alias(c) for c in first_cols],
-            last,
-            rows_name,
-        )
+    return _collapse(joined, across, last, rows_name).select(
+        *dict.fromkeys([*keys, *first_cols]), last, rows_name
     )
