@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from steadyline.llm import bpe, language, packing, token_files, toxicity
+from steadyline.llm import bpe, language, packing, rules, simhash, token_files, toxicity
 from steadyline.llm.common import remainder, table
 from steadyline.session import shared_folder
 
@@ -20,6 +20,12 @@ def token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pigeonhole_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5: fingerprints of 3-word shingles and the components of their links."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: byte-pair ids of whole texts and the texts they decode to, as digests."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +47,11 @@ def toxic_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8: measures and the verdict of the cascade."""
+    return rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
 def configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: pieces of at most 2048 ids packed into as few sequences as the program finds."""
     path = shared_folder(spark, "pieces")
@@ -61,10 +72,12 @@ def subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_bit_packing": token_bit_packing,
+    "op5_pigeonhole_simhash": pigeonhole_simhash,
     "op6_pair_encoding": pair_encoding,
     "op7_toxic_ngrams": toxic_ngrams,
+    "op8_rule_cascade": rule_cascade,
     "op9_configuration_packing": configuration_packing,
     "op10_subword_language": subword_language,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_rule_cascade": rules.ORACLE_SQL}
