@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from steadyline.llm import bpe, language, packing, rules, simhash, token_files, toxicity
+from steadyline.llm import bpe, language, packing, quality, rules, sharding, simhash, sketches, token_files, toxicity
 from steadyline.llm.common import remainder, table
 from steadyline.session import shared_folder
 
 
+def balanced_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1: 24 shards of equal row counts that keep equal texts together."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
 def token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: encode, write packed blocks, read them back."""
     path = shared_folder(spark, "token-ids")
@@ -20,6 +25,20 @@ def token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def passage_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op3: quality of whole texts, learned from labels outside the held-out third."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit_on(docs, labels.filter(remainder(3) != 1))
+    return quality.score_quality(docs, model).select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted", "n_passages", "top_passage"
+    )
+
+
+def bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op4: fingerprints of whole texts and of their edited versions, compared."""
+    return sketches.fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 def pigeonhole_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: fingerprints of 3-word shingles and the components of their links."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3)
@@ -71,7 +90,10 @@ def subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_balanced_propagation": balanced_propagation,
     "op2_token_bit_packing": token_bit_packing,
+    "op3_passage_attention": passage_attention,
+    "op4_bloom_lookup": bloom_lookup,
     "op5_pigeonhole_simhash": pigeonhole_simhash,
     "op6_pair_encoding": pair_encoding,
     "op7_toxic_ngrams": toxic_ngrams,
