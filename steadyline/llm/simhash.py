@@ -187,3 +187,162 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "component_id")
     return known.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+# Near-duplicates by similarity. Texts that share four fifths of their 5-word shingles share nearly all of
+# their words, so a fingerprint of the set of words lies closer than one of shingles: about 25 of 320 bits.
+SIMILARITY = 0.8
+_WIDE = 5  # longs in a wide fingerprint
+_BLOCK_BITS = 10
+# Blocks by group; any three blocks of a group make a bucket.
+_GROUPS = (range(0, 6), range(6, 12), range(12, 18), range(18, 25), range(25, 32))
+_WIDE_APART = 52
+_STEPS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
+def wide_fingerprint(text: str) -> tuple[list[int], list[int]]:
+    """Of the set of words of a text: five signed longs, and their bits as blocks of ten."""
+    digest = xxhash.xxh64_intdigest
+    own = set(text.encode("utf-8", "surrogatepass").translate(_LOWER).split())
+    hashes = np.array([digest(w, SEED) for w in own], np.uint64)
+    ones = np.zeros(64 * _WIDE, np.int64)
+    for at in range(0, len(hashes), _ROWS):
+        h = hashes[at : at + _ROWS, None] * _STEPS
+        h ^= h >> np.uint64(29)
+        h *= _STEPS[::-1]
+        h ^= h >> np.uint64(32)
+        bits = np.unpackbits(np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8 * _WIDE), axis=1, bitorder="little")
+        ones += bits.sum(0, dtype=np.int32)
+    bits = (2 * ones > len(hashes)).astype(np.uint8)
+    blocks = bits.reshape(-1, _BLOCK_BITS) @ (1 << np.arange(_BLOCK_BITS))
+    return np.packbits(bits, bitorder="little").view("<i8").tolist(), blocks.tolist()
+
+
+def _described(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, same, wide, blocks): ``same`` is a digest of the sequence of words."""
+
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            same, wide, blocks = [], [], []
+            for text in texts_of(batch):
+                words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+                same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
+                w, b = wide_fingerprint(text)
+                wide.append(w)
+                blocks.append(b)
+            return pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    pa.array(same, pa.string()),
+                    pa.array(wide, pa.list_(pa.int64())),
+                    pa.array(blocks, pa.list_(pa.int32())),
+                ],
+                ["doc_id", "text_hash", "same", "wide", "blocks"],
+            )
+
+        return work
+
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return in_arrow(read, "doc_id long, text_hash long, same string, wide array<long>, blocks array<int>", make)
+
+
+def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [
+                [_signed(xxhash.xxh64_intdigest(s, SEED)) for s in set(shingles(t, words))] for t in texts_of(batch)
+            ]
+            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
+
+        return work
+
+    return in_arrow(docs.select("node", "text"), "node long, set array<long>", make)
+
+
+def _candidates(reps: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes that share a bucket and are at most ``_WIDE_APART`` bits apart.
+
+    In a bucket of up to ``CROWDED`` nodes every pair is looked at. A crowded bucket, the mark of a large group of
+    near copies, pairs each node with one pivot, another one in each of its up to 130 buckets.
+    """
+    choices = F.array(*[F.array(*map(F.lit, c)) for g in _GROUPS for c in combinations(g, 3)])
+
+    def key(choice: Column, n: Column) -> Column:
+        i, j, k = (F.get("blocks", choice[x]).cast("long") for x in range(3))
+        return n.cast("long") * (1 << 30) + i * (1 << 20) + j * (1 << 10) + k
+
+    keyed = reps.select("node", F.explode(F.transform(choices, key)).alias("key"))
+    sizes = keyed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("pivot")
+    )
+    spark, path = reps.sparkSession, shared_folder(reps.sparkSession, "wide-buckets")
+    keyed.join(sizes.filter("n > 1").select("key", "n", F.col("pivot.node").alias("pivot")), "key").write.parquet(path)
+    shared = spark.read.parquet(path)
+    few = shared.filter(F.col("n") <= CROWDED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
+    two = F.transform(
+        "all", lambda a: F.transform(F.filter("all", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))
+    )
+    pairs = few.select(F.explode(F.flatten(two)).alias("p")).select("p.a", "p.b")
+    through = shared.filter((F.col("n") > CROWDED) & (F.col("node") != F.col("pivot"))).select(
+        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+    )
+    wide = reps.select("node", "wide")
+    compared = (
+        pairs.unionByName(through)
+        .distinct()
+        .join(wide.select(F.col("node").alias("a"), F.col("wide").alias("x")), "a")
+        .join(wide.select(F.col("node").alias("b"), F.col("wide").alias("y")), "b")
+    )
+    apart = sum((_apart(F.col("x")[i], F.col("y")[i]) for i in range(1, _WIDE)), _apart(F.col("x")[0], F.col("y")[0]))
+    return compared.filter(apart <= _WIDE_APART).select("a", "b")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, all columns, of which each near-duplicate group keeps one.
+
+    Texts with the same sequence of words (A-Z in any case) are copies. Others are linked when their sets of
+    ``words``-word shingles have a Jaccard similarity of ``similarity`` or more, checked exactly on pairs that
+    wide fingerprints bring together; groups are the components of the links. A group keeps its smallest
+    (doc_id, hash of the text), null ids last. Null texts and texts without a word are copies of one another;
+    repeated rows count as copies. An empty table stays empty.
+    """
+    spark = docs.sparkSession
+    path = shared_folder(spark, "described")
+    _described(docs).write.parquet(path)
+    known = spark.read.parquet(path)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    distinct = known.groupBy("same").agg(F.min(place).alias("first"), F.first("wide").alias("wide"), F.first("blocks").alias("blocks"))
+    distinct = distinct.withColumn("node", F.xxhash64("same"))
+    stored = shared_folder(spark, "distinct")
+    distinct.write.parquet(stored)
+    distinct = spark.read.parquet(stored)
+    found = shared_folder(spark, "candidates")
+    _candidates(distinct.select("node", "wide", "blocks")).write.parquet(found)
+    pairs = spark.read.parquet(found)
+    # Shingles of the texts that have a candidate, one copy of each.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    firsts = distinct.join(asked, "node").select("node", "first.doc_id", "first.text_hash")
+    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id_key"), "text_hash"]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
+    sets_path = shared_folder(spark, "shingles")
+    _shingle_sets(firsts.select("node", *key).join(texts, ["id_key", "text_hash"]), words).write.parquet(sets_path)
+    sets = spark.read.parquet(sets_path).groupBy("node").agg(F.first("set").alias("set"))
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"
+    )
+    common = F.size(F.array_intersect("x", "y"))
+    edges = both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    roots = components(spark, edges)
+    rooted = distinct.join(roots, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("k")).select("k.doc_id", "k.text_hash")
+    often = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
+    named = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id_key"), F.col("text_hash").alias("_text_hash")]
+    kept, often = kept.select(*named), often.select(*named)
+    marked = docs.withColumn("_id_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_text_hash", F.xxhash64("text"))
+    on = ["_id_key", "_text_hash"]
+    # Rows that are repeated as they are need one more step; without any this side is empty.
+    repeated = kept.join(often, on, "left_semi")
+    single = marked.join(kept.join(often, on, "left_anti"), on, "left_semi")
+    again = marked.join(repeated, on, "left_semi").dropDuplicates(on)
+    return single.unionByName(again).select(*docs.columns)

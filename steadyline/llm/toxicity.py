@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from steadyline.llm.common import in_arrow, labelled_sample, texts_of
+from steadyline.llm.common import in_arrow, labelled_sample, ship, texts_of
 from steadyline.llm.grams import gram_hashes, normal
 
 SIZES = (3, 4, 5, 6)
@@ -108,3 +108,16 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         "doc_id long, score double, predicted int",
         make,
     )
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of ``docs``, all columns, that the model does not call toxic; null texts are judged as empty ones."""
+    ship(docs.sparkSession)
+
+    def run(batches):
+        seen = np.zeros(1 << BITS, bool)
+        for batch in batches:
+            kept = [model.score(present_grams(t, seen)) < 0.5 for t in texts_of(batch)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
