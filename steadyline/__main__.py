@@ -9,7 +9,7 @@ from steadyline.plans import medallion
 from steadyline.session import build_session
 from steadyline.sources.payloads import parse_timetable_payloads
 from steadyline.sources.tables import export_tables
-from steadyline.sources.timetable_csv import write_timetable
+from steadyline.sources.timetable_csv import read_timetable, write_timetable
 from steadyline.streaming import bronze
 
 
@@ -31,6 +31,26 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--drain", action="store_true", help="stop when the source is exhausted")
 
+    job = jobs.add_parser("backfill", help="stored raw events → log and state tables, in one batch")
+    job.add_argument("--raw", required=True, help="Parquet of value and, where known, seq")
+    job.add_argument("--log", required=True)
+    job.add_argument("--current", required=True)
+    job.add_argument("--run-id", default="backfill")
+
+    job = jobs.add_parser("compact", help="state table or log → state table with one row per key, in a new folder")
+    job.add_argument("--source", required=True)
+    job.add_argument("--target", required=True)
+
+    job = jobs.add_parser("payloads", help="landed position payloads → keyed JSON records")
+    job.add_argument("--payloads", required=True, help="Parquet of (line, payload)")
+    job.add_argument("--out", required=True)
+
+    job = jobs.add_parser("delay", help="arrival events and timetable → delay tables")
+    job.add_argument("--arrivals", required=True)
+    job.add_argument("--timetable", required=True, help="CSV folder")
+    job.add_argument("--namespace", required=True)
+    job.add_argument("--late-sec", type=int, required=True)
+
     job = jobs.add_parser("arrivals", help="log → arrival events")
     job.add_argument("--log", required=True)
     job.add_argument("--out", required=True)
@@ -74,6 +94,21 @@ def main(argv: list[str] | None = None) -> None:
             trigger={"availableNow": True} if args.drain else None,
         )
         query.awaitTermination()
+    elif args.job == "backfill":
+        bronze.backfill(spark.read.parquet(args.raw), args.log, args.current, args.run_id)
+    elif args.job == "compact":
+        bronze.compact_current(spark, args.source, args.target)
+    elif args.job == "payloads":
+        medallion.events_from_payloads(spark.read.parquet(args.payloads)).write.parquet(args.out)
+    elif args.job == "delay":
+        names = ("arrival_delay", "delay_by_station", "delay_by_timeband")
+        written = medallion.build_delay_tables(
+            medallion.stored_arrivals(spark, args.arrivals),
+            read_timetable(spark, args.timetable),
+            {name: f"{args.namespace}.{name}" for name in names},
+            args.late_sec,
+        )
+        written["delay_by_timeband"].show(50, truncate=False)
     elif args.job == "arrivals":
         medallion.build_arrivals(
             bronze.read_position_log(spark, args.log),

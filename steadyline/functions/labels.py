@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The label texts that stored marts carry and serving queries match on.
-DIRECTIONS = {"0": "상행", "1": "하행"}
+UP, DOWN = "상행", "하행"
 UNKNOWN_DIRECTION = "미상"
 BANDS = ("새벽", "출근", "점심", "퇴근", "밤")
 RUSH_BANDS = ("출근", "퇴근")
@@ -15,37 +15,31 @@ SATURDAY = "토요일"
 HOLIDAY = "휴일"
 ALL = "(전체)"
 
-# First hour of each band through the day; the last one runs over midnight.
-BAND_STARTS = {5: "새벽", 7: "출근", 10: "점심", 17: "퇴근", 20: "밤"}
-
-# Timetable tags; the direction tag belonging to each direction code.
+# Direction codes of the position feed; timetable tags.
+DIRECTION_CODES = ("0", "1")
 WEEK_TAGS = ("1", "2", "3")
 INOUT_TAGS = ("1", "2")
-INOUT_OF_DIRECTION = {"0": "1", "1": "2"}
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _decode(code: Column, meanings: dict[str, str]) -> Column:
-    """The meaning of a code, null for an unknown one."""
-    pairs = [F.lit(text) for pair in meanings.items() for text in pair]
-    return F.try_element_at(F.create_map(*pairs), code)
-
-
 def direction_col(updn_line: Column | str = "updn_line") -> Column:
-    return F.coalesce(_decode(_col(updn_line), DIRECTIONS), F.lit(UNKNOWN_DIRECTION))
+    code = _col(updn_line)
+    return F.when(code == "0", UP).when(code == "1", DOWN).otherwise(UNKNOWN_DIRECTION)
 
 
 def time_band_col(ts: Column | str) -> Column:
-    """The band that started last before the hour; hours before the first belong to the night."""
+    """Fixed hours of the bands; the last one runs over midnight."""
     hour = F.hour(_col(ts))
-    night = BAND_STARTS[max(BAND_STARTS)]
-    band = F.when(hour < min(BAND_STARTS), night)
-    for start, name in sorted(BAND_STARTS.items(), reverse=True):
-        band = band.when(hour >= start, name)
-    return band.otherwise(night)
+    return (
+        F.when(hour.between(5, 6), "새벽")
+        .when(hour.between(7, 9), "출근")
+        .when(hour.between(10, 16), "점심")
+        .when(hour.between(17, 19), "퇴근")
+        .otherwise("밤")
+    )
 
 
 def day_type_col(ts: Column | str) -> Column:
@@ -62,7 +56,8 @@ def week_tag_col(ts: Column | str) -> Column:
 
 def inout_tag_col(updn_line: Column | str = "updn_line") -> Column:
     """Timetable direction tag of a position-feed direction code."""
-    return _decode(_col(updn_line), INOUT_OF_DIRECTION)
+    code = _col(updn_line)
+    return F.when(code == "0", "1").when(code == "1", "2")
 
 
 def label_col(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from steadyline.functions.clock import date_text, wall_seconds
@@ -32,30 +32,37 @@ def extract_arrivals(
     tie: Sequence[str] = ("seq",),
     extra: Sequence[str] = (),
     bucket_sec: int = 900,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a train, in time order, whose station differs from the row before.
 
     ``keys`` says what a train is: the train number alone by default, so a number reused on another
     line or day continues the same sequence; pass ``("line", "train_no", "dt")`` to separate them.
     ``tie`` orders equal receive times. ``extra`` carries further log columns (``direct_at``).
+    ``seed`` holds earlier arrivals that say where trains were before ``log`` begins; they are not returned.
     """
     rows = _timed(log).select(
         *dict.fromkeys([*ARRIVAL_FIELDS, *extra, *tie, "recptn_ts", "dt"])
     )
+    if seed is not None:
+        known = seed.withColumnRenamed("arrival_ts", "recptn_ts").select(*rows.columns)
+        rows = rows.withColumn("_seed", F.lit(False)).unionByName(known.withColumn("_seed", F.lit(True)))
 
     def changed() -> Column:
         return F.col("_prev_statn").isNull() | (F.col("statn_id") != F.col("_prev_statn"))
 
+    found = with_previous(
+        rows,
+        keys,
+        ("recptn_ts", *tie),
+        {"_prev_statn": "statn_id"},
+        _bucket("recptn_ts", bucket_sec),
+        keep=changed,
+    )
+    if seed is not None:
+        found = found.filter(~F.col("_seed")).drop("_seed")
     return (
-        with_previous(
-            rows,
-            keys,
-            ("recptn_ts", *tie),
-            {"_prev_statn": "statn_id"},
-            _bucket("recptn_ts", bucket_sec),
-            keep=changed,
-        )
-        .drop("_prev_statn")
+        found.drop("_prev_statn")
         .withColumnRenamed("recptn_ts", "arrival_ts")
     )
 
@@ -77,19 +84,21 @@ def arrival_runs(
     ).withColumnRenamed("recptn_ts", "arrival_ts")
 
 
-def section_traversal(
-    arrivals: DataFrame, tie: Sequence[str] = ("seq",), bucket_sec: int = 3600
-) -> DataFrame:
-    """Travel time between a train's consecutive arrivals of one day."""
+def section_traversal(arrivals: DataFrame, tie: Sequence[str] = ("seq",)) -> DataFrame:
+    """Travel time between a train's consecutive arrivals of one day.
+
+    A window holds the arrivals of one train on one day, which their number per day bounds.
+    """
     rows = arrivals.select(
         *dict.fromkeys(["line", "train_no", "dt", "statn_id", "statn_nm", "arrival_ts", *tie])
     )
-    linked = with_previous(
-        rows,
-        ("train_no", "dt"),
-        ("arrival_ts", *tie),
-        {"from_statn_id": "statn_id", "from_statn_nm": "statn_nm", "depart_ts": "arrival_ts"},
-        _bucket("arrival_ts", bucket_sec),
+    of_day = Window.partitionBy("train_no", "dt").orderBy("arrival_ts", *tie)
+    linked = rows.withColumns(
+        {
+            "from_statn_id": F.lag("statn_id").over(of_day),
+            "from_statn_nm": F.lag("statn_nm").over(of_day),
+            "depart_ts": F.lag("arrival_ts").over(of_day),
+        }
     )
     return linked.filter(F.col("depart_ts").isNotNull()).select(
         "line",

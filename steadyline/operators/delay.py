@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from steadyline.functions.clock import clock_text_seconds, day_seconds
@@ -19,28 +19,39 @@ from steadyline.functions.labels import (
 )
 
 SERVICE = ("station_nm", "week_tag", "inout_tag")
+# A service day runs from this second of the calendar day to the same of the next.
+SERVICE_START_SEC = 3 * 3600
+_DAY_SEC = 86_400
 
 
-def nearest_schedule(arrivals: DataFrame, timetable: DataFrame) -> DataFrame:
+def _service_seconds(seconds: Column, start: int) -> Column:
+    """Seconds since the midnight before the service day; after midnight they go on beyond 24 hours."""
+    return F.when(seconds < start, seconds + _DAY_SEC).otherwise(seconds)
+
+
+def nearest_schedule(
+    arrivals: DataFrame, timetable: DataFrame, service_start_sec: int = SERVICE_START_SEC
+) -> DataFrame:
     """Arrivals with the scheduled arrival closest in time and ``delay_sec = actual − scheduled``.
 
-    Station name, direction and week tag must agree; the match stays within the service day, and
-    of two equally close schedules the earlier one wins. Arrivals without any schedule drop.
+    Station name, direction and week tag must agree; the match stays within the service day, which
+    starts at ``service_start_sec``: 00:10 belongs to the day before and meets 24:09 or 00:09. Of two equally close schedules the earlier one wins. Arrivals without any schedule drop.
 
     The answer depends on the second of the day alone, so it is worked out once per (service,
-    second): both inputs shrink to distinct seconds, at most one day's worth per service, before
+    second): both inputs shrink to distinct seconds, about one day's worth per service, before
     they are ordered. Arrivals then join it on service and second, which spreads a busy station.
     """
     actual = arrivals.withColumns(
         {
             "station_nm": F.col("statn_nm"),
-            "week_tag": week_tag_col("arrival_ts"),
+            "week_tag": week_tag_col(F.expr(f"arrival_ts - make_dt_interval(0, 0, 0, {service_start_sec})")),
             "inout_tag": inout_tag_col("updn_line"),
-            "actual_sec": day_seconds("arrival_ts"),
+            "actual_sec": _service_seconds(day_seconds("arrival_ts"), service_start_sec),
         }
     )
+    planned = _service_seconds(clock_text_seconds("arrive_time"), service_start_sec)
     scheduled = (
-        timetable.select(*SERVICE, clock_text_seconds("arrive_time").alias("_sec"))
+        timetable.select(*SERVICE, planned.alias("_sec"))
         .filter(F.col("_sec").isNotNull())
         .distinct()
         .withColumn("_scheduled", F.col("_sec"))

@@ -125,12 +125,15 @@ def count_by(df: DataFrame, key: str, name: str = "cnt") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def layer_counts(log: DataFrame, current: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """Row counts of the three layers in one row: log ≥ current, log ≥ arrivals."""
+def layer_counts(log: DataFrame, arrivals: DataFrame, key: str = "event_id") -> DataFrame:
+    """Row counts of the three layers in one row: log ≥ current, log ≥ arrivals.
 
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("layer", F.lit(name))
-
-    counted = rows(log, "log_rows").unionByName(rows(current, "current_rows"))
-    counted = counted.unionByName(rows(arrivals, "arrival_rows"))
-    return counted.groupBy().pivot("layer", ["log_rows", "current_rows", "arrival_rows"]).sum("rows")
+    The state table has one row per key, so the log's distinct keys are its size.
+    """
+    counted = log.agg(
+        F.count(F.lit(1)).alias("log_rows"), F.count_distinct(key).alias("current_rows")
+    ).withColumn("arrival_rows", F.lit(None).cast("long"))
+    found = arrivals.agg(F.count(F.lit(1)).alias("arrival_rows"))
+    names = ["log_rows", "current_rows", "arrival_rows"]
+    both = counted.unionByName(found, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in names])

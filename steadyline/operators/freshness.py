@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -83,9 +81,9 @@ def gap_summary(
     )
 
 
-def heartbeat(freshness: DataFrame, lines: Sequence[str]) -> DataFrame:
-    """Minute × line matrix of records; minutes a line did not report stay null."""
-    return freshness.groupBy("minute_ts").pivot("line", list(lines)).sum("records")
+def heartbeat(freshness: DataFrame) -> DataFrame:
+    """Minute × line matrix of records over every line of the mart; minutes a line did not report stay null."""
+    return freshness.groupBy("minute_ts").pivot("line").sum("records")
 
 
 def heartbeat_series(freshness: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from steadyline.functions.clock import wall_seconds
 from steadyline.functions.labels import (
-    DIRECTIONS,
+    DIRECTION_CODES,
     day_type_col,
     direction_col,
     time_band_col,
@@ -22,8 +22,8 @@ MAX_HEADWAY_SEC = 900
 EXPLORE_MAX_HEADWAY_SEC = 600
 EXPLORE_MIN_SAMPLES = 15
 
-# Cutoffs per bucket: a bucket repeats one cutoff's worth of its predecessor, here a sixteenth.
-_CUTOFFS_PER_BUCKET = 16
+# Cutoffs per bucket: a bucket repeats one cutoff's worth of its predecessor, here a quarter.
+_CUTOFFS_PER_BUCKET = 4
 
 
 def headways(
@@ -34,19 +34,16 @@ def headways(
     """Whole seconds since the previous arrival at the same line, station and direction.
 
     Kept where ``0 < headway ≤ max_headway_sec``; labels belong to the later arrival. Arrivals
-    in the same second differ by zero and drop out, so they are merged before any ordering: a
-    group then holds at most one row per second and station name. The predecessor that counts is
-    never further away than the cutoff, hence groups are cut into time buckets, each preceded by
-    a copy of the last cutoff's worth of rows of the bucket before.
+    in the same second differ by zero and drop out; the first of them has the headway. The
+    predecessor that counts is never further away than the cutoff, hence groups are cut into time
+    buckets, each preceded by a copy of the last cutoff's worth of rows of the bucket before.
     """
     keys = ["line", "statn_id", "updn_line", *extra_keys]
     width = max_headway_sec * _CUTOFFS_PER_BUCKET
     seconds = (
-        arrivals.filter(F.col("updn_line").isin(*DIRECTIONS))
+        arrivals.filter(F.col("updn_line").isin(*DIRECTION_CODES))
         .select(*keys, "statn_nm", "arrival_ts", wall_seconds("arrival_ts").alias("_sec"))
         .filter(F.col("_sec").isNotNull())
-        .groupBy(*keys, "statn_nm", "_sec")
-        .agg(F.min("arrival_ts").alias("arrival_ts"))
     )
     home = F.floor(F.col("_sec") / width)
     near_end = F.pmod(F.col("_sec"), F.lit(width)) >= width - max_headway_sec

@@ -146,13 +146,19 @@ def timetable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("9"), k.cast("string")).alias("FR_CODE"),
             F.concat(F.lit("station-"), k.cast("string")).alias("STATION_NM"),
             F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("TRAIN_NO"),
-            F.date_format("ts", "HH:mm:ss").alias("ARRIVETIME"),
+            # Half of the times after midnight are written as hours from 24 on.
+            F.when(
+                (F.hour("ts") < 2) & _every(2),
+                F.concat((F.hour("ts") + 24).cast("string"), F.date_format("ts", ":mm:ss")),
+            )
+            .otherwise(F.date_format("ts", "HH:mm:ss"))
+            .alias("ARRIVETIME"),
             F.when(~_every(5), F.date_format("ts", "HH:mm:ss")).alias("LEFTTIME"),
             F.lit("0901").alias("ORIGINSTATION"),
             F.lit("0938").alias("DESTSTATION"),
             F.lit("first").alias("SUBWAYSNAME"),
             F.lit("last").alias("SUBWAYENAME"),
-            week_tag_col("ts").alias("WEEK_TAG"),
+            week_tag_col(F.expr("ts - make_dt_interval(0, 3, 0, 0)")).alias("WEEK_TAG"),
             inout_tag_col((F.col("event_id") % 2).cast("string")).alias("INOUT_TAG"),
             F.when(F.col("value") > 100, "E").otherwise("G").alias("EXPRESS_YN"),
             F.lit("").alias("FL_FLAG"),

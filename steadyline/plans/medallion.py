@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from steadyline.operators.arrivals import extract_arrivals
+from steadyline.operators.arrivals import ARRIVAL_FIELDS, extract_arrivals
+from steadyline.operators.delay import (
+    arrival_delay,
+    delay_by_station,
+    delay_by_timeband,
+    nearest_schedule,
+)
+from steadyline.operators.events import normalize_events
 from steadyline.operators.freshness import coverage, freshness_mart, gap_summary
 from steadyline.operators.headways import MAX_HEADWAY_SEC, headway_mart
 from steadyline.operators.serving import top_unstable
+from steadyline.sources.payloads import parse_position_payloads, to_keyed_json
 from steadyline.sources.tables import read_arrivals, save_mart, write_arrivals
 
 
@@ -35,6 +42,13 @@ def between_dates(df: DataFrame, dt_from: str | None = None, dt_to: str | None =
     return df
 
 
+def _last_known(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each train's last stored arrival: where it was when the range begins."""
+    rest = [c for c in stored.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct("arrival_ts", "seq"))
+    return stored.groupBy(*keys).agg(last.alias("_row")).select(*keys, "_row.*")
+
+
 def build_arrivals(
     log: DataFrame,
     path: str,
@@ -42,19 +56,47 @@ def build_arrivals(
     extra: Sequence[str] = (),
     dt_from: str | None = None,
     dt_to: str | None = None,
-    lookback_days: int = 1,
 ) -> None:
-    """Recover arrivals from the log and store them by date, replacing the dates covered.
+    """Recover arrivals from the log and store them by date, as one run over the whole log would.
 
-    By default the whole log is used. With ``dt_from`` only later dates are rewritten, and
-    the ``lookback_days`` before it are read to know where each train was; a train silent for
-    longer than that starts afresh.
+    By default the whole log is used and the table replaced. With ``dt_from`` only that part of the log is
+    read; where each train was before is its last stored arrival, however long it was silent. The dates before
+    must be stored, by a run with the same ``keys`` and ``extra``.
     """
-    start = None
-    if dt_from is not None:
-        start = str(date.fromisoformat(dt_from) - timedelta(days=lookback_days))
-    found = extract_arrivals(between_dates(log, start, dt_to), keys, extra=extra)
-    write_arrivals(between_dates(found, dt_from, dt_to), path)
+    seed = None
+    if dt_from is not None and "dt" not in keys:
+        names = [*dict.fromkeys([*ARRIVAL_FIELDS, *extra, "seq", "arrival_ts", "dt"])]
+        kinds = dict(part.strip().split(" ") for part in STORED_ARRIVALS.split(","))
+        schema = ", ".join(f"{name} {kinds.get(name, 'STRING')}" for name in names)
+        stored = read_arrivals(log.sparkSession, path, schema)
+        seed = _last_known(between_dates(stored, None, dt_from).filter(F.col("dt") < dt_from), keys)
+    found = extract_arrivals(between_dates(log, dt_from, dt_to), keys, extra=extra, seed=seed)
+    write_arrivals(between_dates(found, dt_from, dt_to), path, dt_from=dt_from, dt_to=dt_to)
+
+
+def build_delay_tables(
+    arrivals: DataFrame, timetable: DataFrame, names: dict[str, str], late_sec: int
+) -> dict[str, DataFrame]:
+    """Replace ``arrival_delay``, ``delay_by_station`` and ``delay_by_timeband``; return them as stored.
+
+    ``names`` gives the table of each. The summaries read the stored delays, so matching runs once.
+    """
+    columns = ["line", "train_no", "station_nm", "direction", "time_band", "day_type", "arrival_ts",
+               "actual_sec", "scheduled_sec", "delay_sec", "is_delayed", "dt"]
+    matched = arrival_delay(nearest_schedule(arrivals, timetable), late_sec).select(*columns)
+    delays = save_mart(matched, names["arrival_delay"])
+    return {
+        "arrival_delay": delays,
+        "delay_by_station": save_mart(delay_by_station(delays), names["delay_by_station"]),
+        "delay_by_timeband": save_mart(delay_by_timeband(delays), names["delay_by_timeband"]),
+    }
+
+
+def events_from_payloads(payloads: DataFrame) -> DataFrame:
+    """Landed API responses (line, payload) → keyed JSON records (key, value), as the producer sends them."""
+    rows, _errors = parse_position_payloads(payloads)
+    events = normalize_events(rows, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"))
+    return to_keyed_json(events)
 
 
 def build_headway_mart(

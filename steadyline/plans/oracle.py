@@ -2,40 +2,28 @@
 
 from __future__ import annotations
 
-from steadyline.functions import labels as L
 from steadyline.plans.adapter import LATE_SEC, LINES, WIDE_CUTOFF_SEC
 
 
-def _decode(code: str, meanings: dict, default: str | None = None) -> str:
-    cases = "".join(f" WHEN {key!r} THEN {text!r}" for key, text in meanings.items())
-    return f"(CASE {code}{cases}" + (f" ELSE {default!r}" if default else "") + " END)"
-
-
 def _direction(code: str = "updn_line") -> str:
-    return _decode(code, L.DIRECTIONS, L.UNKNOWN_DIRECTION)
+    return f"(CASE {code} WHEN '0' THEN '상행' WHEN '1' THEN '하행' ELSE '미상' END)"
 
 
 def _band(ts: str) -> str:
-    """Hour looked up in a list of 24 names."""
-    names, name = [], L.BANDS[-1]
-    for hour in range(24):
-        name = L.BAND_STARTS.get(hour, name)
-        names.append(name)
-    return f"({names})[hour({ts}) + 1]"
+    return f"""(CASE WHEN hour({ts}) BETWEEN 5 AND 6 THEN '새벽' WHEN hour({ts}) BETWEEN 7 AND 9 THEN '출근'
+ WHEN hour({ts}) BETWEEN 10 AND 16 THEN '점심' WHEN hour({ts}) BETWEEN 17 AND 19 THEN '퇴근' ELSE '밤' END)"""
 
 
 def _day_type(ts: str) -> str:
-    return _decode(f"dayofweek({ts})", {0: L.HOLIDAY, 6: L.SATURDAY}, L.WEEKDAY)
+    return f"(CASE dayofweek({ts}) WHEN 0 THEN '휴일' WHEN 6 THEN '토요일' ELSE '평일' END)"
 
 
 def _week_tag(ts: str) -> str:
-    weekday, saturday, sunday = L.WEEK_TAGS
-    days = {0: sunday, **{day: weekday for day in range(1, 6)}, 6: saturday}
-    return _decode(f"dayofweek({ts})", days)
+    return f"(CASE WHEN dayofweek({ts}) = 0 THEN '3' WHEN dayofweek({ts}) = 6 THEN '2' WHEN {ts} IS NOT NULL THEN '1' END)"
 
 
 def _inout_tag(code: str = "updn_line") -> str:
-    return _decode(code, L.INOUT_OF_DIRECTION)
+    return f"(CASE {code} WHEN '0' THEN '1' WHEN '1' THEN '2' END)"
 
 
 _FIELDS = """event_id, line, subway_id, train_no, statn_id, statn_nm, statn_tnm, updn_line,
@@ -104,13 +92,15 @@ _VIEWS = {
   'C' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 10) AS station_cd,
   '9' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 10) AS fr_code,
   'station-' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 10) AS station_nm,
-  'C' || user_id AS train_no, strftime(ts, '%H:%M:%S') AS arrive_time,
+  'C' || user_id AS train_no,
+  CASE WHEN hour(ts) < 2 AND event_id % 2 = 0 THEN (hour(ts) + 24) || strftime(ts, ':%M:%S')
+   ELSE strftime(ts, '%H:%M:%S') END AS arrive_time,
   CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%H:%M:%S') ELSE '' END AS left_time,
   '0901' AS origin_station, '0938' AS dest_station, 'first' AS origin_nm, 'last' AS dest_nm,
   {week_tag} AS week_tag, CAST(event_id % 2 + 1 AS VARCHAR) AS inout_tag,
   CASE WHEN value > 100 THEN 'E' ELSE 'G' END AS express_yn, '' AS fl_flag,
   CASE WHEN event_id % 3 <> 0 THEN '0' ELSE '' END AS branch_line
- FROM events WHERE event_type = 'signup'""".replace("{week_tag}", _week_tag("ts")),
+ FROM events WHERE event_type = 'signup'""".replace("{week_tag}", _week_tag("(ts - INTERVAL 3 HOUR)")),
     "stations": """
  SELECT station_cd, fr_code, station_nm FROM (
   SELECT 'C' || (s_suppkey % 12) AS station_cd, s_suppkey,
@@ -123,12 +113,13 @@ _VIEWS = {
     "asked": f"""
  SELECT seq, line, updn_line, direction, time_band, day_type, arrival_ts,
   statn_nm AS station_nm,
-  {_week_tag('arrival_ts')} AS week_tag, {_inout_tag()} AS inout_tag,
-  CAST(hour(arrival_ts) * 3600 + minute(arrival_ts) * 60 + second(arrival_ts) AS INTEGER)
-   AS actual_sec
+  {_week_tag('(arrival_ts - INTERVAL 3 HOUR)')} AS week_tag, {_inout_tag()} AS inout_tag,
+  CAST(hour(arrival_ts) * 3600 + minute(arrival_ts) * 60 + second(arrival_ts)
+   + CASE WHEN hour(arrival_ts) < 3 THEN 86400 ELSE 0 END AS INTEGER) AS actual_sec
  FROM labelled""",
     "offered": """
  SELECT DISTINCT station_nm, week_tag, inout_tag, CAST(split_part(arrive_time, ':', 1) AS INTEGER) * 3600
+  + CASE WHEN CAST(split_part(arrive_time, ':', 1) AS INTEGER) < 3 THEN 86400 ELSE 0 END
   + CAST(split_part(arrive_time, ':', 2) AS INTEGER) * 60
   + CAST(split_part(arrive_time, ':', 3) AS INTEGER) AS scheduled_sec
  FROM timetable""",
@@ -286,9 +277,17 @@ ORACLE: dict[str, str] = {
     ),
     "station_list": _with("SELECT * FROM stations", ("stations",)),
     "timetable_csv": _with(f"SELECT {_TIMETABLE_COLUMNS} FROM timetable", ("timetable",)),
-    "export_csv": """SELECT 'log' AS name, 'steadyline_export_log' AS "table", count(*) AS rows,
- false AS failed FROM events
- UNION ALL SELECT 'absent', 'steadyline_no_such_table', NULL, true""",
+    "export_csv": _with(
+        """SELECT CAST(seq AS VARCHAR) AS seq, line, train_no, statn_id, statn_nm, updn_line,
+ nullif(recptn_dt, '') AS recptn_dt FROM positions""",
+        ("positions",),
+    ),
+    "arrivals_incremental": _with(
+        """SELECT line, train_no, statn_id, statn_nm, statn_tnm, updn_line, seq, arrival_ts, dt
+ FROM arrivals QUALIFY row_number()
+ OVER (PARTITION BY line, train_no, statn_id, arrival_ts ORDER BY seq DESC) = 1""",
+        ("arrivals",),
+    ),
     "table_scan_count": "SELECT count(*) AS log_rows FROM events",
     # projections, filters, scalar functions
     "normalize_event": _with(
@@ -476,7 +475,7 @@ ORACLE: dict[str, str] = {
         "SELECT line, "
         + ", ".join(
             f"""coalesce(round(avg(CAST(cv AS DECIMAL(18, 3))) FILTER (WHERE time_band = '{band}'), 3), 0) AS "{band}\""""
-            for band in L.BANDS
+            for band in ('새벽', '출근', '점심', '퇴근', '밤')
         )
         + " FROM mart WHERE headway_samples >= 10 GROUP BY line"
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from steadyline.functions.identity import event_id_col, text_date_col
 from steadyline.operators import arrivals as arr
 from steadyline.operators import delay, events, freshness, serving
 from steadyline.operators import headways as hw
-from steadyline.plans import adapter
-from steadyline.plans.adapter import LATE_SEC, LINES, WIDE_CUTOFF_SEC
+from steadyline.plans import adapter, medallion
+from steadyline.plans.adapter import LATE_SEC, WIDE_CUTOFF_SEC
 from steadyline.session import shared_folder
 from steadyline.sources import payloads, tables
 from steadyline.sources.timetable_csv import read_timetable, write_timetable
@@ -32,6 +33,11 @@ def _query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def _fresh(name: str) -> str:
+    """A catalog name that no other run uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return arr.extract_arrivals(adapter.positions(spark, sf), extra=("direct_at",))
 
@@ -96,7 +102,6 @@ def _drained(spark: SparkSession, sf: str) -> tuple[str, str]:
         current,
         shared_folder(spark, "progress"),
         trigger={"availableNow": True},
-        compact_every=1,
     )
     query.awaitTermination()
     return log, current
@@ -139,17 +144,15 @@ def _(spark, sf):
     path = shared_folder(spark, "current")
     for _delivery in range(2):
         bronze.upsert_current(_stamped(spark, sf), path)
-    return spark.read.schema(bronze.CURRENT_SCHEMA).parquet(path).select(*_STORED)
+    return bronze.read_current(spark, path).select(*_STORED)
 
 
 @_query("mart_create_or_replace")
 def _(spark, sf):
-    name, location = "steadyline_gold.freshness", shared_folder(spark, "mart")
+    name, location = f"{_fresh('steadyline_gold')}.freshness", shared_folder(spark, "mart")
     mart = _freshness(spark, sf)
-    spark.sql(
-        f"CREATE NAMESPACE IF NOT EXISTS steadyline_gold LOCATION '{shared_folder(spark, 'gold')}'"
-    )
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    namespace, gold = name.split(".")[0], shared_folder(spark, "gold")
+    spark.sql(f"CREATE NAMESPACE {namespace} LOCATION '{gold}'")
     tables.save_mart(mart.filter("records > 1"), name, location)
     return tables.save_mart(mart, name, location)
 
@@ -182,20 +185,29 @@ def _(spark, sf):
 
 @_query("export_csv")
 def _(spark, sf):
-    adapter.positions(spark, sf).withColumn("raw_json", F.lit("{}")).createOrReplaceTempView(
-        "steadyline_export_log"
-    )
-    return tables.export_tables(
-        spark,
-        {"log": "steadyline_export_log", "absent": "steadyline_no_such_table"},
-        shared_folder(spark, "export"),
-    ).select("name", "table", "rows", F.col("error").isNotNull().alias("failed"))
+    names = ["seq", "line", "train_no", "statn_id", "statn_nm", "updn_line", "recptn_dt"]
+    view, out = _fresh("steadyline_export"), shared_folder(spark, "export")
+    rows = adapter.positions(spark, sf).select(*names)
+    rows.withColumn("raw_json", F.lit("{}")).createOrReplaceTempView(view)
+    tables.export_tables(spark, {"log": view, "absent": _fresh("steadyline_absent")}, out)
+    return spark.read.csv(f"{out}/log", header=True, escape='"').select(*names)
+
+
+@_query("arrivals_incremental")
+def _(spark, sf):
+    path = shared_folder(spark, "arrivals")
+    log = adapter.positions(spark, sf).withColumn("dt", text_date_col())
+    medallion.build_arrivals(log, path)
+    for dt_from in ("2024-01-11", "2024-01-21"):  # later parts again
+        medallion.build_arrivals(log, path, dt_from=dt_from)
+    return tables.read_arrivals(spark, path, arr.extract_arrivals(log).schema)
 
 
 @_query("table_scan_count")
 def _(spark, sf):
-    adapter.positions(spark, sf).createOrReplaceTempView("steadyline_log")
-    return tables.scan_count(spark, "steadyline_log", "log_rows")
+    view = _fresh("steadyline_log")
+    adapter.positions(spark, sf).createOrReplaceTempView(view)
+    return tables.scan_count(spark, view, "log_rows")
 
 
 # ---- projections, filters, scalar functions --------------------------------------------------
@@ -454,9 +466,7 @@ def _(spark, sf):
 @_query("dedup_ratio")
 def _(spark, sf):
     log = _stamped(spark, sf)
-    return events.layer_counts(
-        log, events.bronze_current(adapter.raw_records(spark, sf)), arr.extract_arrivals(log)
-    )
+    return events.layer_counts(log, arr.extract_arrivals(log))
 
 
 @_query("mean_cv_pivot")
@@ -466,7 +476,7 @@ def _(spark, sf):
 
 @_query("heartbeat_pivot")
 def _(spark, sf):
-    return freshness.heartbeat(_freshness(spark, sf), LINES)
+    return freshness.heartbeat(_freshness(spark, sf))
 
 
 @_query("express_split")

@@ -32,10 +32,12 @@ def build_session(app_name: str = "steadyline", master: str | None = None, **con
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    On a cluster that setting names storage every executor reaches. Where it is unset
-    (tests on one machine) a temporary folder stands in.
+    On a cluster that setting names storage every executor reaches, and it is required there. In one
+    process (tests) a temporary folder stands in where it is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="steadyline-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -40,19 +40,45 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {namespace}")
 
 
-def write_arrivals(arrivals: DataFrame, path: str, tie: tuple[str, ...] = ("seq",)) -> None:
-    """Store arrivals by date, one row per key; rerunning replaces the dates it covers.
-
-    The rebalance hint sizes the files of a date and splits a large date over several tasks.
+def write_arrivals(
+    arrivals: DataFrame,
+    path: str,
+    tie: tuple[str, ...] = ("seq",),
+    dt_from: str | None = None,
+    dt_to: str | None = None,
+) -> None:
+    """Store arrivals by date, one row per key.
+
+    Without a range the whole table is replaced. With one its dates are replaced: those without arrivals
+    now are cleared, others stay. The rebalance hint sizes the files of a date and splits a large one.
     """
+    ranged = dt_from is not None or dt_to is not None
     (
         one_row_per_key(arrivals, tie)
         .hint("rebalance", "dt")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if ranged else "static")
         .partitionBy("dt")
         .parquet(path)
     )
+    if ranged:
+        _clear_dates(arrivals, path, dt_from, dt_to)
+
+
+def _clear_dates(kept: DataFrame, path: str, dt_from: str | None, dt_to: str | None) -> None:
+    """Remove the folders of dates in the range that ``kept`` has no row of."""
+    spark = kept.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    stored = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("dt=")]
+    within = [
+        p for p in stored
+        if (dt_from is None or p.getName()[3:] >= dt_from) and (dt_to is None or p.getName()[3:] <= dt_to)
+    ]
+    wanted = {r.dt for r in kept.select("dt").distinct().collect()}  # at most the dates of the range
+    for folder in within:
+        if folder.getName()[3:] not in wanted:
+            files.delete(folder, True)
 
 
 def read_arrivals(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from steadyline.sources.payloads import TIMETABLE_COLUMNS
 
@@ -21,6 +22,10 @@ def write_timetable(timetable: DataFrame, path: str) -> None:
 
 
 def read_timetable(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text; missing values as ``''``."""
-    schema = ", ".join(f"{name} STRING" for name in TIMETABLE_COLUMNS)
-    return spark.read.csv(path, schema=schema, header=True, escape='"').fillna("")
+    """All columns as text, found by their names in the header; missing values as ``''``.
+
+    Columns may come in any order and others may stand between them; a missing one is an error.
+    """
+    stored = spark.read.csv(path, header=True, escape='"')
+    stored = stored.toDF(*[name.removeprefix(_BOM) for name in stored.columns])
+    return stored.select(*[F.col(name).cast("string").alias(name) for name in TIMETABLE_COLUMNS]).fillna("")

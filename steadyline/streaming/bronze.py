@@ -1,8 +1,8 @@
 """Raw event stream → append-only position log and latest-state table.
 
-One micro-batch feeds both tables, so the source is read once. Both writes tolerate a replay: the
-log overwrites the replayed batch's own partitions, and the state table resolves versions of a
-key by their sequence number whenever it is read or compacted.
+One micro-batch feeds both tables, so the source is read once. Each write goes to a folder of its own,
+named by the run that made it and the batch's number: a replay of a batch replaces itself, and no other
+run can reach it. The state table keeps every batch's latest rows; readers take the last one per key.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ from pyspark.sql.types import StructType
 from steadyline.operators.events import RECORD_FIELDS, bronze_log, latest_per_key
 
 _FIELDS = ", ".join(f"{name} STRING" for name in RECORD_FIELDS)
-LOG_SCHEMA = f"{_FIELDS}, raw_json STRING, seq BIGINT, ingested_at TIMESTAMP, dt STRING, batch_id BIGINT"
-CURRENT_SCHEMA = f"{_FIELDS}, raw_json STRING, seq BIGINT, ingested_at TIMESTAMP, dt STRING"
+_STORED = f"{_FIELDS}, raw_json STRING, seq BIGINT, ingested_at TIMESTAMP, dt STRING"
+LOG_SCHEMA = f"{_STORED}, run_id STRING, batch_id BIGINT"
+CURRENT_SCHEMA = LOG_SCHEMA
 
 # Versions of a record: the later sequence number wins, a replayed copy changes nothing.
 _VERSION = ("seq", "ingested_at")
-# More touched dates than this are compacted by a scan without a partition filter.
-_MAX_LISTED_DATES = 400
 
 
 def read_events(
@@ -33,8 +32,8 @@ def read_events(
 ) -> DataFrame:
     """An unbounded source read from its beginning, as ``value`` text (plus ``seq`` where it has one).
 
-    Kafka's ``seq`` is the record offset: versions of a key share a partition, so their offsets
-    order them. File sources provide ``seq`` through their schema.
+    Kafka's ``seq`` is the record offset: versions of a key share a partition if the producer keys its
+    records, so their offsets order them. File sources provide ``seq`` through their schema.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -45,87 +44,69 @@ def read_events(
     return reader.options(**options).load(path)
 
 
-def write_position_log(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Append a micro-batch of log rows by date. Replaying the batch replaces its own rows."""
+def _write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
     (
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows.withColumn("run_id", F.lit(run_id))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "batch_id")
+        .partitionBy("dt", "run_id", "batch_id")
         .parquet(path)
     )
 
 
+def write_position_log(batch: DataFrame, batch_id: int, path: str, run_id: str = "batch") -> None:
+    """Append a batch of log rows by date. Replaying a batch of the same run replaces its own rows."""
+    _write_batch(batch, path, run_id, batch_id)
+
+
 def read_position_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
 def upsert_current(
-    batch: DataFrame, path: str, key: str = "event_id", compact: bool = True
+    batch: DataFrame, path: str, batch_id: int = 0, run_id: str = "batch", key: str = "event_id"
 ) -> None:
-    """Bring the state table up to the batch: one row per key, the last arrival wins.
+    """Bring the state table up to the batch: its latest row of each key joins the stored versions."""
+    _write_batch(latest_per_key(batch, key, _VERSION), path, run_id, batch_id)
 
-    The batch is reduced to its latest rows and added to their dates. A key fixes its date, so
-    compaction rewrites only the dates the batch touches; with ``compact=False`` it is left to a
-    later batch and readers resolve versions meanwhile.
-    """
-    spark = batch.sparkSession
-    changes = latest_per_key(batch, key, _VERSION)
-    changes.write.mode("append").partitionBy("dt").parquet(path)
-    if compact:
-        compact_current(spark, path, batch.select("dt"), key)
+
+def read_current(spark: SparkSession, path: str, key: str = "event_id") -> DataFrame:
+    """The state table: one row per key, the last arrival."""
+    stored = spark.read.schema(CURRENT_SCHEMA).parquet(path)
+    return latest_per_key(stored, key, _VERSION).drop("dt", "run_id", "batch_id")
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CURRENT_SCHEMA).parquet(path)
+def _of_dates(rows: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Rows of the dates in ``dates.dt``; a blank date is stored as null and meets both."""
+    if dates is None:
+        return rows
+    asked = dates.select(F.nullif("dt", F.lit("")).alias("_dt")).distinct()
+    return rows.join(asked, F.nullif(rows["dt"], F.lit("")).eqNullSafe(F.col("_dt")), "left_semi")
 
 
 def compact_current(
-    spark: SparkSession, path: str, dates: DataFrame | None = None, key: str = "event_id"
+    spark: SparkSession, source: str, target: str, dates: DataFrame | None = None, key: str = "event_id"
 ) -> None:
-    """Fold the stored versions of the given dates (``dt`` column) to one row per key.
+    """Write one row per key of a state table (or of some of its dates) to ``target``, a folder of its own.
 
-    Must not run beside another writer of the table: call it from the writing query or while
-    that is stopped.
+    Neither the state table nor the log is touched (the source may be a log: that rebuilds the state), so
+    a run that fails loses nothing. A key fixes its date, so dates can be done apart.
     """
-    rows = _stored(spark, path)
-    if dates is not None:
-        listed = dates.select("dt").distinct().limit(_MAX_LISTED_DATES + 1).collect()
-        if len(listed) <= _MAX_LISTED_DATES:
-            # A blank date is stored as the default partition and reads back as null.
-            names = [r.dt for r in listed if r.dt]
-            touched = F.col("dt").isin(names)
-            if len(names) < len(listed):
-                touched = touched | F.col("dt").isNull()
-            rows = rows.filter(touched)
-    (
-        latest_per_key(rows, key, _VERSION)
-        .hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
-
-
-def rebuild_current(
-    spark: SparkSession, log_path: str, path: str, dates: list[str], key: str = "event_id"
-) -> None:
-    """Replace the given dates of the state table by what the log says, after a lost write."""
-    rows = read_position_log(spark, log_path).filter(F.col("dt").isin(*dates)).drop("batch_id")
+    rows = _of_dates(spark.read.schema(CURRENT_SCHEMA).parquet(source), dates)
+    latest = latest_per_key(rows.drop("run_id", "batch_id"), key, _VERSION)
     (
-        latest_per_key(rows, key, _VERSION)
+        latest.withColumn("run_id", F.lit("compacted"))
+        .withColumn("batch_id", F.lit(0).cast("long"))
         .hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
+        .write.partitionBy("dt", "run_id", "batch_id")
+        .parquet(target)
     )
 
 
-def read_current(spark: SparkSession, path: str, key: str = "event_id") -> DataFrame:
-    """The state table: one row per key, also between compactions."""
-    return latest_per_key(_stored(spark, path), key, _VERSION).drop("dt")
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the engine keeps with a checkpoint; a fresh checkpoint has a fresh one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
 def start_bronze(
@@ -134,29 +115,26 @@ def start_bronze(
     current_path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    compact_every: int = 120,
 ) -> StreamingQuery:
     """Start the fan-out of one source stream into both tables.
 
     ``trigger`` defaults to a micro-batch every 30 seconds; pass ``{"availableNow": True}`` to drain
-    and stop. The state table is compacted every ``compact_every`` batches (an hour's worth by
-    default), over the dates those batches touched; the write of a batch stays proportional to it.
+    and stop. A source without ``seq`` is ordered by the time of its batch alone.
     """
+    if "seq" not in source.columns:
+        source = source.withColumn("seq", F.lit(None).cast("long"))
     records = bronze_log(source)
+    run: list[str] = []
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
+        if not run:
+            run.append(_run_id(batch.sparkSession, checkpoint))
         batch.persist()
         try:
-            write_position_log(batch, batch_id, log_path)
-            upsert_current(batch, current_path, compact=False)
+            write_position_log(batch, batch_id, log_path, run[0])
+            upsert_current(batch, current_path, batch_id, run[0])
         finally:
             batch.unpersist()
-        if (batch_id + 1) % compact_every == 0:
-            spark = batch.sparkSession
-            recent = read_position_log(spark, log_path).filter(
-                F.col("batch_id") > batch_id - compact_every
-            )
-            compact_current(spark, current_path, recent.select("dt"))
 
     return (
         records.writeStream.foreachBatch(fan_out)
@@ -166,7 +144,10 @@ def start_bronze(
     )
 
 
-def backfill_log(raw: DataFrame, path: str, batch_id: int = -1) -> None:
-    """Batch form of the log write, for bootstrap and replays of stored raw records."""
-    rows = bronze_log(raw).hint("rebalance", "dt")
-    write_position_log(rows, batch_id, path)
+def backfill(raw: DataFrame, log_path: str, current_path: str, run_id: str = "backfill") -> None:
+    """Batch form of the fan-out, for bootstrap and replays of stored raw records."""
+    if "seq" not in raw.columns:
+        raw = raw.withColumn("seq", F.lit(None).cast("long"))
+    rows = bronze_log(raw)
+    write_position_log(rows.hint("rebalance", "dt"), 0, log_path, run_id)
+    upsert_current(rows, current_path, 0, run_id)

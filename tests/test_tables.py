@@ -5,13 +5,14 @@ from __future__ import annotations
 import glob
 import json
 import os
+from datetime import date, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from steadyline.__main__ import main
 from steadyline.operators.arrivals import extract_arrivals
 from steadyline.operators.events import bronze_current, bronze_log
+from steadyline.operators.freshness import heartbeat
 from steadyline.plans import medallion
 from steadyline.sources import tables
 from steadyline.sources.payloads import TIMETABLE_COLUMNS
@@ -59,50 +60,61 @@ def test_log_replay(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("compact", [True, False])
-def test_upsert(spark, tmp_path, compact):
+def test_upsert(spark, tmp_path):
     path = str(tmp_path / "current")
-    for rows in (DAY1, DAY2, DAY1):
-        bronze.upsert_current(bronze_log(raw(spark, rows)), path, compact=compact)
-        if rows is DAY1:
-            stored = {r.event_id: r.seq for r in bronze.read_current(spark, path).collect()}
-    assert stored == {"T-A-1-2024-01-01": 4, "U-A-1-": 3, "T-B-1-2024-01-02": 5}
-    rows = spark.read.schema(bronze.CURRENT_SCHEMA).parquet(path).count()
-    assert rows == 3 if compact else rows > 3
-    bronze.compact_current(spark, path)
-    assert spark.read.schema(bronze.CURRENT_SCHEMA).parquet(path).count() == 3
-
-
-def test_compaction_leaves_other_dates_alone(spark, tmp_path):
-    path = str(tmp_path / "current")
-    bronze.upsert_current(bronze_log(raw(spark, DAY1 + DAY2)), path)
-    before = sorted(glob.glob(f"{path}/dt=2024-01-02/*.parquet"))
-    bronze.upsert_current(bronze_log(raw(spark, DAY1)), path)
-    assert sorted(glob.glob(f"{path}/dt=2024-01-02/*.parquet")) == before
-    assert {r.seq for r in bronze.read_current(spark, path).collect()} == {3, 4, 5}
+    for batch_id, rows in ((0, DAY1), (1, DAY2), (0, DAY1)):
+        bronze.upsert_current(bronze_log(raw(spark, rows)), path, batch_id)
+    want = {"T-A-1-2024-01-01": 4, "U-A-1-": 3, "T-B-1-2024-01-02": 5}
+    assert {r.event_id: r.seq for r in bronze.read_current(spark, path).collect()} == want
+
+
+def _files(path):
+    return sorted(glob.glob(f"{path}/**/*.parquet", recursive=True))
+
+
+def test_compaction_writes_elsewhere(spark, tmp_path):
+    path, target, part = (str(tmp_path / n) for n in ("current", "new", "part"))
+    for batch_id, rows in ((0, DAY1), (1, DAY2)):
+        bronze.upsert_current(bronze_log(raw(spark, rows)), path, batch_id)
+    before = _files(path)
+    bronze.compact_current(spark, path, target)
+    assert _files(path) == before
+    assert {r.seq for r in bronze.read_current(spark, target).collect()} == {3, 4, 5}
+    assert spark.read.parquet(target).count() == 3
+    dates = spark.createDataFrame([("",), ("2024-01-02",)], "dt STRING")
+    bronze.compact_current(spark, path, part, dates)
+    assert {r.seq for r in bronze.read_current(spark, part).collect()} == {3, 5}
+
+
+def test_compaction_of_many_dates(spark, tmp_path):
+    path, target = str(tmp_path / "current"), str(tmp_path / "new")
+    days = [str(date(2022, 1, 1) + timedelta(days=i)) for i in range(450)]
+    rows = [record(i, "T", "A", f"{day} 08:00:00") for i, day in enumerate(days)]
+    bronze.upsert_current(bronze_log(raw(spark, rows)).coalesce(1), path)
+    dates = spark.createDataFrame([(day,) for day in days[10:]], "dt STRING")
+    bronze.compact_current(spark, path, target, dates)
+    assert {r.seq for r in bronze.read_current(spark, target).collect()} == set(range(10, 450))
 
 
-def test_rebuild_from_log(spark, tmp_path):
-    log, path = str(tmp_path / "log"), str(tmp_path / "current")
-    bronze.backfill_log(raw(spark, DAY1 + DAY2), log)
-    bronze.rebuild_current(spark, log, path, ["2024-01-01", "2024-01-02"])
-    assert {r.seq for r in bronze.read_current(spark, path).collect()} == {4, 5}
+def test_rebuild_from_log_restores_the_blank_date(spark, tmp_path):
+    log, current, target = (str(tmp_path / n) for n in ("log", "current", "new"))
+    bronze.backfill(raw(spark, DAY1 + DAY2), log, current)
+    bronze.compact_current(spark, log, target)
+    for path in (current, target):
+        assert {r.seq for r in bronze.read_current(spark, path).collect()} == {3, 4, 5}
 
 
 def _land(spark, path, rows):
     raw(spark, rows).coalesce(1).write.mode("append").parquet(path)
 
 
-@pytest.mark.parametrize("compact_every", [1, 2, 100])
-def test_stream_equals_batch(spark, tmp_path, compact_every):
+def test_stream_equals_batch(spark, tmp_path):
     landed, log, current, progress = (str(tmp_path / n) for n in ("in", "log", "cur", "chk"))
     _land(spark, landed, DAY1)
 
     def drain():
         source = bronze.read_events(spark, "parquet", landed, RAW, maxFilesPerTrigger="1")
-        bronze.start_bronze(
-            source, log, current, progress, {"availableNow": True}, compact_every
-        ).awaitTermination()
+        bronze.start_bronze(source, log, current, progress, {"availableNow": True}).awaitTermination()
 
     drain()
     _land(spark, landed, DAY2)
@@ -116,22 +128,65 @@ def test_stream_equals_batch(spark, tmp_path, compact_every):
     assert got == {(r.seq, r.event_id) for r in bronze_current(everything).collect()}
 
 
-def test_lost_progress_replays_the_same_batches(spark, tmp_path):
-    landed, log, current = (str(tmp_path / n) for n in ("in", "log", "cur"))
-    _land(spark, landed, DAY1 + DAY2)
-    for attempt in range(2):
+def test_two_runs_keep_each_others_rows(spark, tmp_path):
+    """Fresh checkpoints number their batches from 0 again; rows of one date come from both."""
+    log, current = str(tmp_path / "log"), str(tmp_path / "cur")
+    for run, rows in enumerate((DAY1, DAY2)):
+        landed = str(tmp_path / f"in{run}")
+        _land(spark, landed, rows)
         source = bronze.read_events(spark, "parquet", landed, RAW)
         bronze.start_bronze(
-            source, log, current, str(tmp_path / f"chk{attempt}"), {"availableNow": True}
+            source, log, current, str(tmp_path / f"chk{run}"), {"availableNow": True}
         ).awaitTermination()
-    assert bronze.read_position_log(spark, log).count() == 5
+    assert sorted(r.seq for r in bronze.read_position_log(spark, log).collect()) == [1, 2, 3, 4, 5]
     assert {r.seq for r in bronze.read_current(spark, current).collect()} == {3, 4, 5}
 
 
 def test_text_source(spark, tmp_path):
-    (tmp_path / "a.txt").write_text('{"event_id":"x"}\nplain\n')
-    source = bronze.read_events(spark, "text", str(tmp_path))
+    landed, log, current = (str(tmp_path / n) for n in ("in", "log", "cur"))
+    os.mkdir(landed)
+    with open(f"{landed}/a.txt", "w") as file:
+        file.write("".join(value + "\n" for _, value in DAY1) + "plain\n")
+    source = bronze.read_events(spark, "text", landed)
     assert source.isStreaming and source.columns == ["value"]
+    bronze.start_bronze(
+        source, log, current, str(tmp_path / "chk"), {"availableNow": True}
+    ).awaitTermination()
+    assert bronze.read_position_log(spark, log).count() == 3
+    assert bronze.read_current(spark, current).count() == 2
+
+
+def _polled(spark, rows):
+    return bronze_log(raw(spark, rows)).withColumn("direct_at", F.lit("0"))
+
+
+def test_incremental_equals_full_after_silence(spark, tmp_path):
+    """A train seen at the same station again after three days has not arrived anew."""
+    path = str(tmp_path / "arrivals")
+    log = _polled(spark, [record(1, "T", "A", "2024-01-01 08:00:00"), record(2, "T", "A", "2024-01-04 08:00:00"),
+                          record(3, "T", "B", "2024-01-04 09:00:00")])
+    medallion.build_arrivals(log, path, extra=("direct_at",))
+    want = sorted(map(tuple, medallion.stored_arrivals(spark, path).collect()))
+    assert len(want) == 2
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_from="2024-01-04")
+    assert sorted(map(tuple, medallion.stored_arrivals(spark, path).collect())) == want
+
+
+def test_rerun_clears_dates_without_arrivals(spark, tmp_path):
+    path = str(tmp_path / "arrivals")
+    log = _polled(spark, [record(1, "T", "A", "2024-01-01 08:00:00"), record(2, "T", "A", "2024-01-04 08:00:00")])
+    by_day = ("line", "train_no", "dt")
+
+    def dates():
+        return sorted(r.dt for r in medallion.stored_arrivals(spark, path).collect())
+
+    medallion.build_arrivals(log, path, by_day, extra=("direct_at",))
+    assert dates() == ["2024-01-01", "2024-01-04"]
+    medallion.build_arrivals(log, path, extra=("direct_at",))
+    assert dates() == ["2024-01-01"]
+    medallion.build_arrivals(log, path, by_day, extra=("direct_at",))
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_from="2024-01-02")
+    assert dates() == ["2024-01-01"]
 
 
 def test_arrivals_rerun_and_date_range(spark, tmp_path):
@@ -183,6 +238,19 @@ def test_timetable_bytes_and_round_trip(spark, tmp_path):
     assert read_timetable(spark, path).collect() == df.collect()
 
 
+def test_timetable_columns_are_found_by_name(spark, tmp_path):
+    row = tuple(f"v-{name}" for name in TIMETABLE_COLUMNS)
+    df = spark.createDataFrame([row], list(TIMETABLE_COLUMNS))
+    df.select(*reversed(df.columns)).write.csv(str(tmp_path / "t"), header=True)
+    assert read_timetable(spark, str(tmp_path / "t")).collect() == df.collect()
+
+
+def test_heartbeat_shows_every_line(spark):
+    mart = spark.createDataFrame([("a", 1, 5), ("b", 1, 6), ("3", 2, 7)], "line STRING, minute_ts INT, records BIGINT")
+    got = {tuple(sorted(r.asDict().items())) for r in heartbeat(mart).collect()}
+    assert got == {(("3", None), ("a", 5), ("b", 6), ("minute_ts", 1)), (("3", 7), ("a", None), ("b", None), ("minute_ts", 2))}
+
+
 def test_export(spark, tmp_path):
     spark.range(10).withColumn("raw_json", F.lit("{}")).createOrReplaceTempView("export_me")
     report = tables.export_tables(
@@ -207,6 +275,22 @@ def test_jobs(spark, tmp_path):
           "--option", "maxFilesPerTrigger=1", "--log", paths["log"], "--current", paths["cur"],
           "--checkpoint", paths["chk"], "--drain"])
     main(["arrivals", "--log", paths["log"], "--out", paths["arr"]])
+    main(["backfill", "--raw", paths["in"], "--log", paths["log"] + "2", "--current", paths["cur"] + "2"])
+    main(["compact", "--source", paths["log"], "--target", paths["cur"] + "3"])
+    states = [bronze.read_current(spark, paths["cur"] + n).select("event_id", "seq").collect() for n in ("", "2", "3")]
+    assert sorted(states[0]) == sorted(states[1]) == sorted(states[2])
+    planned = [tuple({"station_nm": "nA", "week_tag": "1", "inout_tag": "1", "arrive_time": "08:00:00"}.get(n, "")
+                     for n in TIMETABLE_COLUMNS)]
+    write_timetable(spark.createDataFrame(planned, list(TIMETABLE_COLUMNS)), paths["csv"] + "-t")
+    main(["delay", "--arrivals", paths["arr"], "--timetable", paths["csv"] + "-t",
+          "--namespace", "gold_delay", "--late-sec", "180"])
+    summed = spark.table("gold_delay.delay_by_station").first()
+    assert summed.arrivals == spark.table("gold_delay.arrival_delay").count() > 0
+    payload = json.dumps({"realtimePositionList": [{"trainNo": "7", "statnId": "A", "recptnDt": "2024-01-01 08:00:00"}]})
+    spark.createDataFrame([("2호선", payload)], "line STRING, payload STRING").write.parquet(paths["in"] + "-api")
+    main(["payloads", "--payloads", paths["in"] + "-api", "--out", paths["in"] + "-keyed"])
+    (keyed,) = spark.read.parquet(paths["in"] + "-keyed").collect()
+    assert keyed.key == "7" and json.loads(keyed.value)["event_id"] == "7-A--2024-01-01"
     main(["headway-mart", "--arrivals", paths["arr"], "--table", "gold_jobs.headway"])
     main(["freshness-mart", "--log", paths["log"], "--table", "gold_jobs.freshness"])
     main(["export", "--out", paths["csv"], "h=gold_jobs.headway", "f=gold_jobs.freshness"])
