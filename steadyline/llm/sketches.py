@@ -25,6 +25,9 @@ PART_DIGESTS = 6
 # Cells per table of the sketch that is written as the fingerprint.
 WRITTEN_CELLS = 8
 ROUNDS = 8
+# Documents of a range of ids that meets in one window, about; ranges whose borders are looked up.
+_RANGE_ROWS = 2000
+_COARSE = 500
 
 _PIECE = r"[^ \n]+(?: [^ \n]+){0," + str(PIECE_WORDS - 1) + "}"
 # Bits of a digest that choose its cell in each table; the low bits choose the part.
@@ -165,6 +168,27 @@ def written(cells: Cells) -> Column:
     return F.lower(F.array_join(each, ""))
 
 
+def _edges(docs: DataFrame) -> tuple[list[int], int]:
+    """Borders of at most ``_COARSE`` ranges of doc_id with about as many rows each, and their fine parts.
+
+    The last border is beyond the largest id. Only these few numbers reach the driver.
+    """
+    rows = docs.agg(F.count("doc_id").alias("n")).first().n
+    coarse = max(1, min(_COARSE, rows // _RANGE_ROWS))
+    shares = F.array(*[F.lit(i / coarse) for i in range(coarse + 1)])
+    found = docs.agg(F.percentile_approx("doc_id", shares, 10_000).alias("q")).first().q or [0]
+    return sorted({*found[:-1], found[-1] + 1} if len(found) > 1 else {found[0], found[0] + 1}), -(-rows // (coarse * _RANGE_ROWS)) or 1
+
+
+def _range_of(doc_id: Column, edges: list[int], parts: int) -> Column:
+    """The number of an id's range: never smaller for a larger id, -1 for null; a function of the id alone."""
+    borders = F.array(*[F.lit(e).cast("long") for e in edges])
+    coarse = F.size(F.filter(borders, lambda e: e <= doc_id))
+    low, high = F.get(borders, coarse - 1), F.get(borders, coarse)
+    fine = F.least(F.lit(parts - 1), F.floor((doc_id - low) / (high - low) * parts))
+    return F.when(doc_id.isNull(), -1).otherwise(coarse.cast("long") * parts + fine)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next): every text with that of the next document in ascending doc_id; the first follows the last.
 
@@ -172,25 +196,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     dealt out by ranges of doc_id and looked at within their range; only the first text of each range
     travels to the range before it.
     """
-    ranged = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
-        .withColumn("range", F.spark_partition_id())
-    )
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    edges, parts = _edges(read)
+    ranged = read.withColumns({"tie": F.xxhash64("text"), "range": _range_of(F.col("doc_id"), edges, parts)})
     heads = ranged.groupBy("range").agg(F.min_by("text", F.struct("doc_id", "tie")).alias("head"))
-    # The numbers of the ranges alone, one row each.
+    # The numbers of the ranges alone, one narrow row for some two thousand documents.
     order = Window.orderBy("range")
-    follower = heads.select(
-        "range",
-        F.coalesce(F.lead("range").over(order), F.min("range").over(order.rowsBetween(Window.unboundedPreceding, 0))).alias("follower"),
-    )
+    first = F.min("range").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    follower = ranged.select("range").distinct().select("range", F.coalesce(F.lead("range").over(order), first).alias("follower"))
     border = follower.join(heads.select(F.col("range").alias("follower"), "head"), "follower").select("range", "head")
     within = Window.partitionBy("range").orderBy("doc_id", "tie")
     return (
-        ranged.withColumn("next", F.lead("text").over(within))
+        ranged.withColumns({"next": F.lead("text").over(within), "last": F.lead(F.lit(False), 1, True).over(within)})
         .join(border, "range")
-        .select("doc_id", "text", F.coalesce("next", "head").alias("next"))
+        .select("doc_id", "text", F.when(F.col("last"), F.col("head")).otherwise(F.col("next")).alias("next"))
     )
 
 
