@@ -15,6 +15,10 @@ from steadyline.llm.grams import gram_hashes, normal
 SIZES = (3, 4, 5, 6)
 BITS = 18
 FIT_ROWS = 6000
+# Standard errors by which an n-gram's two shares must differ; of 2**18 chance differences, two or so reach it.
+SIGNIFICANT = 4.5
+# Share of either class that must hold an n-gram; rarer ones come from copies of a few texts.
+LEAST_SHARE = 0.02
 FIT_CHARS = 20_000
 
 
@@ -42,7 +46,9 @@ def present_grams(text: str, seen: np.ndarray) -> np.ndarray:
 def fit(sample: list[tuple[str, int]], epochs: int = 12, rate: float = 0.3, ridge: float = 2e-5, seed: int = 7) -> ToxicityModel:
     """Logistic regression on ``ratio[h] * (h is present)``.
 
-    ``ratio`` is the logarithm of an n-gram's smoothed share of toxic texts over its share of others.
+    ``ratio`` is the logarithm of an n-gram's smoothed share of toxic texts over its share of others;
+    it is 0, and the n-gram without effect, where the shares do not differ significantly
+    or both are tiny.
     Steps are scaled for each weight by its past gradients; both classes weigh the same. A sample
     with one class, or none, gives a model that answers 0 (or 1 where all rows are toxic).
     """
@@ -52,11 +58,15 @@ def fit(sample: list[tuple[str, int]], epochs: int = 12, rate: float = 0.3, ridg
         return ToxicityModel(np.zeros(size, np.float32), 30.0 if len(goal) and goal[0] else -30.0)
     seen = np.zeros(size, bool)
     rows = [present_grams(text, seen).astype(np.int32) for text, _ in sample]
-    share = []
+    share, n = [], []
     for y in (0, 1):
         own = [r for r, g in zip(rows, goal, strict=True) if g == y]
         share.append((np.bincount(np.concatenate(own), minlength=size) + 1.0) / (len(own) + 2.0))
+        n.append(len(own))
     ratio = np.log(share[1] / share[0])
+    pooled = (share[0] * n[0] + share[1] * n[1]) / sum(n)
+    error = np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
+    ratio[(np.abs(share[1] - share[0]) < SIGNIFICANT * error) | (np.maximum(*share) < LEAST_SHARE)] = 0
     weight, bias = np.zeros(size), 0.0
     past, past_bias = np.full(size, 1e-8), 1e-8
     balance = np.where(goal == 1, 0.5 / goal.mean(), 0.5 / (1 - goal.mean()))
