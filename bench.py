@@ -33,6 +33,10 @@ HEADLINE = (
     "json_extract",
     "bronze_batch_current",
     "read_position_api",
+    "append_log",
+    "upsert_current",
+    "stream_source",
+    "arrivals_incremental",
 )
 
 
