@@ -113,7 +113,11 @@ def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     )
     pairs = members.select(F.explode(F.flatten(near)).alias("p")).select("p.a", "p.b")
 
-    crowd = shared.filter(F.col("n") > CROWDED).select("fp").distinct()
+    crowded = shared_folder(spark, "crowded")
+    shared.filter(F.col("n") > CROWDED).select("fp").distinct().write.parquet(crowded)
+    # Each of these becomes about a thousand rows, so they are dealt out evenly: distinct values by ranges.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    crowd = spark.read.schema("fp long").parquet(crowded).repartitionByRange(parts, "fp")
     one = [1 << i for i in range(64)]
     # Two of any three differing bits lie in the same half.
     two = [x | y for half in (one[:32], one[32:]) for x, y in combinations(half, 2)]
