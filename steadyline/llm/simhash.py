@@ -200,6 +200,9 @@ _WIDE = 5  # longs in a wide fingerprint
 _BLOCK_BITS = 10
 # Blocks by group; any three blocks of a group make a bucket.
 _GROUPS = (range(0, 6), range(6, 12), range(12, 18), range(18, 25), range(25, 32))
+# First choice of three blocks in each group, and the groups compared in each round.
+_FIRST_CHOICE = [sum(len(list(combinations(g, 3))) for g in _GROUPS[:n]) for n in range(len(_GROUPS) + 1)]
+_ROUNDS = ((0, 1), (1, 3), (3, 5))
 _WIDE_APART = 52
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -264,12 +267,8 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return in_arrow(docs.select("node", "text"), "node long, set array<long>", make)
 
 
-def _candidates(reps: DataFrame) -> DataFrame:
-    """(a, b): pairs of nodes that share a bucket and are at most ``_WIDE_APART`` bits apart.
-
-    In a bucket of up to ``CROWDED`` nodes every pair is looked at. A crowded bucket, the mark of a large group of
-    near copies, pairs each node with one pivot, another one in each of its up to 130 buckets.
-    """
+def _buckets(reps: DataFrame) -> DataFrame:
+    """(key, node, n, pivot): nodes of every bucket of two or more, the bucket's size, one node of it by a hash."""
     choices = F.array(*[F.array(*map(F.lit, c)) for g in _GROUPS for c in combinations(g, 3)])
 
     def key(choice: Column, n: Column) -> Column:
@@ -282,7 +281,15 @@ def _candidates(reps: DataFrame) -> DataFrame:
     )
     spark, path = reps.sparkSession, shared_folder(reps.sparkSession, "wide-buckets")
     keyed.join(sizes.filter("n > 1").select("key", "n", F.col("pivot.node").alias("pivot")), "key").write.parquet(path)
-    shared = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _candidates(shared: DataFrame, wide: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(a, b): pairs of nodes that share a bucket, are not connected yet and at most ``_WIDE_APART`` bits apart.
+
+    In a bucket of up to ``CROWDED`` nodes every pair is looked at. A crowded bucket, the mark of a large group of
+    near copies, pairs each node with one pivot, another one in each of its up to 130 buckets.
+    """
     few = shared.filter(F.col("n") <= CROWDED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
     two = F.transform(
         "all", lambda a: F.transform(F.filter("all", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))
@@ -291,12 +298,13 @@ def _candidates(reps: DataFrame) -> DataFrame:
     through = shared.filter((F.col("n") > CROWDED) & (F.col("node") != F.col("pivot"))).select(
         F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
     )
-    wide = reps.select("node", "wide")
-    compared = (
-        pairs.unionByName(through)
-        .distinct()
-        .join(wide.select(F.col("node").alias("a"), F.col("wide").alias("x")), "a")
-        .join(wide.select(F.col("node").alias("b"), F.col("wide").alias("y")), "b")
+    found = pairs.unionByName(through).distinct()
+    if roots is not None:
+        for end in ("a", "b"):
+            found = found.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+        found = found.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    compared = found.join(wide.select(F.col("node").alias("a"), F.col("wide").alias("x")), "a").join(
+        wide.select(F.col("node").alias("b"), F.col("wide").alias("y")), "b"
     )
     apart = sum((_apart(F.col("x")[i], F.col("y")[i]) for i in range(1, _WIDE)), _apart(F.col("x")[0], F.col("y")[0]))
     return compared.filter(apart <= _WIDE_APART).select("a", "b")
@@ -321,23 +329,31 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY)
     stored = shared_folder(spark, "distinct")
     distinct.write.parquet(stored)
     distinct = spark.read.parquet(stored)
-    found = shared_folder(spark, "candidates")
-    _candidates(distinct.select("node", "wide", "blocks")).write.parquet(found)
-    pairs = spark.read.parquet(found)
-    # Shingles of the texts that have a candidate, one copy of each.
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    firsts = distinct.join(asked, "node").select("node", "first.doc_id", "first.text_hash")
+    shared = _buckets(distinct.select("node", "blocks"))
+    # Shingles of the texts that share a bucket, one copy of each.
+    firsts = distinct.join(shared.select("node").distinct(), "node").select("node", "first.doc_id", "first.text_hash")
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id_key"), "text_hash"]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
     sets_path = shared_folder(spark, "shingles")
-    _shingle_sets(firsts.select("node", *key).join(texts, ["id_key", "text_hash"]), words).write.parquet(sets_path)
-    sets = spark.read.parquet(sets_path).groupBy("node").agg(F.first("set").alias("set"))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b"
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    edges = both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-    roots = components(spark, edges)
+    asked = firsts.select("node", *key).join(texts, ["id_key", "text_hash"])
+    _shingle_sets(asked, words).groupBy("node").agg(F.first("set").alias("set")).write.parquet(sets_path)
+    sets = spark.read.parquet(sets_path)
+    # The groups of blocks in rounds: what a round has connected needs no comparison in the next.
+    roots, links_at = None, []
+    for first, last in _ROUNDS:
+        choice = F.shiftright("key", 30)
+        part = shared.filter((choice >= _FIRST_CHOICE[first]) & (choice < _FIRST_CHOICE[last]))
+        found = shared_folder(spark, "candidates")
+        _candidates(part, distinct.select("node", "wide"), roots).write.parquet(found)
+        both = (
+            spark.read.schema("a long, b long").parquet(found)
+            .join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+        )
+        common = F.size(F.array_intersect("x", "y"))
+        links_at.append(shared_folder(spark, "links"))
+        both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b").write.parquet(links_at[-1])
+        roots = components(spark, spark.read.schema("a long, b long").parquet(*links_at))
     rooted = distinct.join(roots, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("k")).select("k.doc_id", "k.text_hash")
     often = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
