@@ -17,13 +17,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE_WORDS = 8
+PIECE_WORDS = 16
 # Cells per table at the first try and at the retries.
-TABLE_CELLS = (4, 16, 64, 256)
+TABLE_CELLS = (8, 32, 128, 512)
 # Digests of both versions that a part is meant for.
-PART_DIGESTS = 6
+PART_DIGESTS = 12
 # Cells per table of the sketch that is written as the fingerprint.
-WRITTEN_CELLS = 8
+WRITTEN_CELLS = 2
 ROUNDS = 8
 # Documents of a range of ids that meets in one window, about; ranges whose borders are looked up.
 _RANGE_ROWS = 2000
