@@ -13,16 +13,17 @@ import os
 import re
 import string
 import unicodedata
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
-# Remembered units and pieces: two generations of this many each, no longer than this.
-_REMEMBERED = 150_000
+# Remembered units: two generations of this many each, no longer than this; tails of punctuation.
+_REMEMBERED = 250_000
 _UNIT_CHARS = 48
+_TAILS = 10_000
 
 _CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 _RUN = re.compile(r"\s\s")
+_SPACED = re.compile(r" \S+$")
 _PUNCTUATION = string.punctuation.replace("'", "")
 
 
@@ -54,20 +55,6 @@ class Remembered(dict):
         return value
 
 
-def units_of(text: str, keeps_space: bool) -> list[str]:
-    """Cut a text where white space begins.
-
-    ``keeps_space``: the encoder has tokens for white space, so a unit keeps the run that it begins with;
-    otherwise units are the parts between single blanks and line ends, and empty ones do no harm.
-    """
-    if not keeps_space:
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-    if _RUN.search(text):
-        return _CUT.split(text)
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return [first, *[u if u[:1] == "\n" else " " + u for u in rest]]
-
-
 class UnitEncoder:
     """Encode texts to little-endian unsigned 32-bit ids, exactly as the library encodes the whole text."""
 
@@ -82,7 +69,10 @@ class UnitEncoder:
         self.model = self.tokenizer.model
         # With one pre-tokenizer that is byte-level, white space is kept and case matters.
         self.keeps_space = isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
-        self.units, self.pieces = Remembered(), Remembered()
+        self.lead = " " if self.keeps_space else ""
+        # Ids of units by what follows their blank; a key that begins with a line end has no blank before it.
+        self.units = Remembered()
+        self.tails: dict[str, bytes] = {}
         self.alphabet = byte_alphabet()
 
     @property
@@ -90,44 +80,54 @@ class UnitEncoder:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.find(piece)
-        if found is not None:
-            return found
-        plain = piece
-        if not self.keeps_space and not piece.isascii():
-            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ")  # no special final form
+        """Ids of one pre-token, straight from the merge model."""
         if not self.keeps_space:
-            plain = plain.lower()
-        if not plain.isascii() or plain[0] in " \n":
-            plain = "".join([self.alphabet[b] for b in plain.encode()])
-        return self.pieces.learn(piece, np.array([t.id for t in self.model.tokenize(plain)], "<u4").tobytes())
+            if not piece.isascii():
+                piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")  # no special final form
+            piece = piece.lower()
+        if not piece.isascii() or piece[0] in " \n":
+            piece = "".join([self.alphabet[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _unit(self, unit: str) -> bytes:
+        """Ids of a unit given without its blank."""
         found = self.units.find(unit)
         if found is not None:
             return found
+        fresh_line = self.keeps_space and unit[:1] == "\n"
         if len(unit) > _UNIT_CHARS:
-            return self._whole(unit)
+            return self._whole(unit if fresh_line else self.lead + unit)
         body = unit.rstrip(_PUNCTUATION)
-        word = body[1:] if body[:1] in (" ", "\n") else body
-        if not word.isalpha() or "İ" in word:  # its lower case is more than letters
-            return self.units.learn(unit, self._whole(unit))
-        if body[0] == "\n":
+        word = body[1:] if fresh_line else body
+        if not word.isalpha() or "İ" in word:  # the lower case of İ is more than letters
+            ids = self._whole(unit if fresh_line else self.lead + unit)
+        elif len(body) < len(unit):
+            tail = unit[len(body) :]
+            if tail not in self.tails:
+                if len(self.tails) > _TAILS:
+                    self.tails.clear()
+                self.tails[tail] = self._piece(tail)
+            ids = self._unit(body) + self.tails[tail]
+        elif fresh_line:
             ids = self._piece("\n") + self._piece(word)
         else:
-            ids = self._piece(body)
-        if len(body) < len(unit):
-            ids += self._piece(unit[len(body) :])
+            ids = self._piece(self.lead + word)
         return self.units.learn(unit, ids)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         known, unit = self.units.get, self._unit
-        return b"".join([known(u) or unit(u) for u in units_of(text, self.keeps_space)])
+        if not self.keeps_space:
+            rest = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            return b"".join([known(u) or unit(u) for u in rest if u])
+        if _RUN.search(text):  # units with longer runs of white space
+            return b"".join([unit(u[1:]) if _SPACED.match(u) else self._whole(u) for u in _CUT.split(text)])
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return b"".join([self._whole(first) if first else b"", *[known(u) or unit(u) for u in rest]])
 
 
 @lru_cache(maxsize=4)
