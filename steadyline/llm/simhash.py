@@ -13,6 +13,7 @@ distance three or less such a centre exists, so no link is lost and work stays i
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from steadyline.llm.common import in_arrow, texts_of
+from steadyline.llm.common import in_arrow, ship, texts_of
 from steadyline.session import shared_folder
 
 DISTANCE = 3
@@ -193,73 +194,97 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     return known.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-# Near-duplicates by similarity. Texts that share four fifths of their 5-word shingles share nearly all of
-# their words, so a fingerprint of the set of words lies closer than one of shingles: about 25 of 320 bits.
+# Near-duplicates by similarity: a lossless search. Of two sets at similarity s, each shares at least s of its own size
+# with the other; so under any one order of all shingles their prefixes, all but that share and one more, meet.
 SIMILARITY = 0.8
-_WIDE = 5  # longs in a wide fingerprint
-_BLOCK_BITS = 10
-# Blocks by group; any three blocks of a group make a bucket.
-_GROUPS = (range(0, 6), range(6, 12), range(12, 18), range(18, 25), range(25, 32))
-# First choice of three blocks in each group, and the groups compared in each round.
-_FIRST_CHOICE = [sum(len(list(combinations(g, 3))) for g in _GROUPS[:n]) for n in range(len(_GROUPS) + 1)]
-_ROUNDS = ((0, 1), (1, 3), (3, 5))
-_WIDE_APART = 52
-_STEPS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-def wide_fingerprint(text: str) -> tuple[list[int], list[int]]:
-    """Of the set of words of a text: five signed longs, and their bits as blocks of ten."""
-    digest = xxhash.xxh64_intdigest
-    own = set(text.encode("utf-8", "surrogatepass").translate(_LOWER).split())
-    hashes = np.array([digest(w, SEED) for w in own], np.uint64)
-    ones = np.zeros(64 * _WIDE, np.int64)
-    for at in range(0, len(hashes), _ROWS):
-        h = hashes[at : at + _ROWS, None] * _STEPS
-        h ^= h >> np.uint64(29)
-        h *= _STEPS[::-1]
-        h ^= h >> np.uint64(32)
-        bits = np.unpackbits(np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8 * _WIDE), axis=1, bitorder="little")
-        ones += bits.sum(0, dtype=np.int32)
-    bits = (2 * ones > len(hashes)).astype(np.uint8)
-    blocks = bits.reshape(-1, _BLOCK_BITS) @ (1 << np.arange(_BLOCK_BITS))
-    return np.packbits(bits, bitorder="little").view("<i8").tolist(), blocks.tolist()
+# Shingles are ordered by document frequency in one text of so many, rarest first. The order decides the
+# work alone; shingles beyond the most frequent ones that are remembered count as rare.
+_SAMPLED = 16
+_SEEN_OFTEN = 3
+_REMEMBERED = 1_000_000
+# Up to so many texts that share a shingle are paired; more are compared by blocks.
+_PAIRED = 12
+_BLOCK = 512
+_COLUMNS = 4096
+
+
+def _hashes(text: str, words: int) -> np.ndarray:
+    """XXH64 of the distinct shingles, ascending."""
+    own = {xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)}
+    return np.sort(np.fromiter(own, np.uint64, len(own)).view(np.int64))
+
+
+def _needed(size: int, similarity: float) -> int:
+    """Shingles that a set of ``size`` shares at least with any set it is linked to."""
+    return max(1, math.ceil(similarity * size - 1e-6))
+
+
+def prefix(hashes: np.ndarray, similarity: float, often: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The rarest shingles, one more than a linked set can lack. ``often``, ascending, was seen ``times``."""
+    if not len(hashes):
+        return hashes
+    rank = np.zeros(len(hashes), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, hashes), len(often) - 1)
+        rank = np.where(often[at] == hashes, times[at], 0)
+    return hashes[np.lexsort((hashes, rank))][: len(hashes) - _needed(len(hashes), similarity) + 1]
+
 
+def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of the sampled texts, ascending, and in how many of them they are."""
+
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [_hashes(t, words) for t in texts_of(batch)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else [], pa.int64())], ["shingle"])
+
+        return work
+
+    sampled = docs.select("text").filter(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(_SAMPLED)) == 0)
+    counted = in_arrow(sampled, "shingle long", make).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.filter(F.col("n") >= _SEEN_OFTEN).orderBy(F.desc("n"), "shingle").limit(_REMEMBERED).toArrow()
+    often, times = (rows.column(c).to_numpy() for c in ("shingle", "n"))
+    order = np.argsort(often)
+    return often[order], times[order]
 
-def _described(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, same, wide, blocks): ``same`` is a digest of the sequence of words."""
+
+def _described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(doc_id, text_hash, same, size, prefix): ``same`` is a digest of the sequence of words."""
+    often, times = _frequent(docs, words)
+    shared = docs.sparkSession.sparkContext.broadcast((often, times))
 
     def make():
+        often, times = shared.value
+
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            same, wide, blocks = [], [], []
+            same, sizes, prefixes = [], [], []
             for text in texts_of(batch):
-                words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-                same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-                w, b = wide_fingerprint(text)
-                wide.append(w)
-                blocks.append(b)
+                own = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+                same.append(xxhash.xxh3_128_hexdigest(b" ".join(own)))
+                hashes = _hashes(text, words)
+                sizes.append(len(hashes))
+                prefixes.append(prefix(hashes, similarity, often, times))
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("text_hash"),
                     pa.array(same, pa.string()),
-                    pa.array(wide, pa.list_(pa.int64())),
-                    pa.array(blocks, pa.list_(pa.int32())),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_hash", "same", "wide", "blocks"],
+                ["doc_id", "text_hash", "same", "size", "prefix"],
             )
 
         return work
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return in_arrow(read, "doc_id long, text_hash long, same string, wide array<long>, blocks array<int>", make)
+    return in_arrow(read, "doc_id long, text_hash long, same string, size int, prefix array<long>", make)
 
 
 def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [
-                [_signed(xxhash.xxh64_intdigest(s, SEED)) for s in set(shingles(t, words))] for t in texts_of(batch)
-            ]
+            sets = [_hashes(t, words) for t in texts_of(batch)]
             return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
 
         return work
@@ -267,93 +292,162 @@ def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return in_arrow(docs.select("node", "text"), "node long, set array<long>", make)
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _buckets(reps: DataFrame) -> DataFrame:
-    """(key, node, n, pivot): nodes of every bucket of two or more, the bucket's size, one node of it by a hash."""
-    choices = F.array(*[F.array(*map(F.lit, c)) for g in _GROUPS for c in combinations(g, 3)])
+    """(key, n, node, size, pos): the nodes of each shingle that two or more prefixes hold, and its place in them.
 
-    def key(choice: Column, n: Column) -> Column:
-        i, j, k = (F.get("blocks", choice[x]).cast("long") for x in range(3))
-        return n.cast("long") * (1 << 30) + i * (1 << 20) + j * (1 << 10) + k
+    Of shingles with the same nodes, told by two checksums of them, the first in order stays.
+    """
+    keyed = reps.select("node", "size", F.posexplode("prefix").alias("pos", "key"))
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = _stored(keyed.join(counts, "key"), "prefixes")
+    sums = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
+    alike = shared.groupBy("key", "n").agg(F.min("pos").alias("pos"), *sums).groupBy("n", "sum1", "sum2").agg(F.min_by("key", "pos").alias("key"))
+    return _stored(shared.join(alike.select("key"), "key"), "buckets")
 
-    keyed = reps.select("node", F.explode(F.transform(choices, key)).alias("key"))
-    sizes = keyed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("pivot")
-    )
-    spark, path = reps.sparkSession, shared_folder(reps.sparkSession, "wide-buckets")
-    keyed.join(sizes.filter("n > 1").select("key", "n", F.col("pivot.node").alias("pivot")), "key").write.parquet(path)
-    return spark.read.parquet(path)
 
+def _pairs(few: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of nodes that share a bucket and whose sizes and places allow a link, see ``_fitting``."""
+    members = few.groupBy("key").agg(F.collect_list(F.struct("node", "size", "pos")).alias("all"))  # at most _PAIRED
 
-def _candidates(shared: DataFrame, wide: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(a, b): pairs of nodes that share a bucket, are not connected yet and at most ``_WIDE_APART`` bits apart.
+    def fit(a: Column, b: Column) -> Column:
+        rest = F.least(a["size"] - a["pos"], b["size"] - b["pos"])
+        alike = F.least(a["size"], b["size"]) >= similarity * F.greatest(a["size"], b["size"]) - 1e-6
+        return alike & (rest >= similarity / (1 + similarity) * (a["size"] + b["size"]) - 1e-6)
 
-    In a bucket of up to ``CROWDED`` nodes every pair is looked at. A crowded bucket, the mark of a large group of
-    near copies, pairs each node with one pivot, another one in each of its up to 130 buckets.
-    """
-    few = shared.filter(F.col("n") <= CROWDED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
     two = F.transform(
-        "all", lambda a: F.transform(F.filter("all", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))
+        "all",
+        lambda a: F.transform(
+            F.filter("all", lambda b: (b["node"] > a["node"]) & fit(a, b)),
+            lambda b: F.struct(a["node"].alias("a"), b["node"].alias("b")),
+        ),
     )
-    pairs = few.select(F.explode(F.flatten(two)).alias("p")).select("p.a", "p.b")
-    through = shared.filter((F.col("n") > CROWDED) & (F.col("node") != F.col("pivot"))).select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+    return members.select(F.explode(F.flatten(two)).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _tree(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that make the components of all linked pairs of ``sets``; every pair is compared."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[column]  # what only one set has is in no intersection
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((n, n), np.float32)
+    for low in range(0, int(column.max(initial=-1)) + 1, _COLUMNS):
+        a, b = np.searchsorted(column, [low, low + _COLUMNS])
+        has = np.zeros((n, _COLUMNS), np.float32)
+        has[owner[a:b], column[a:b] - low] = 1
+        common += has @ has.T
+    both = common.astype(np.float64)
+    linked = (both > 0) & (both >= similarity * (sizes[:, None] + sizes[None, :] - both))
+    out, left = [], np.ones(n, bool)
+    for start in range(n):
+        if not left[start]:
+            continue
+        left[start], reached = False, [start]
+        while reached:
+            at = reached.pop()
+            new = np.flatnonzero(linked[at] & left)
+            left[new] = False
+            reached += new.tolist()
+            out += [(at, k) for k in new.tolist()]
+    return out
+
+
+def _fitting(blocks: DataFrame, similarity: float) -> DataFrame:
+    """Of each (key, i, j) the (key, i, j, node) that another node there may be linked to.
+
+    At the first shingle in order that two sets share, they have at most what follows in both in common; that
+    must suffice. Later shared shingles may turn a pair away, as the first one does not.
+    """
+    ship(blocks.sparkSession)
+
+    def work(group: pa.Table) -> pa.Table:
+        size, rest = (group.column(c).to_numpy() for c in ("size", "rest"))
+        alike = np.minimum.outer(size, size) >= similarity * np.maximum.outer(size, size) - 1e-6
+        alike &= np.minimum.outer(rest, rest) >= similarity / (1 + similarity) * np.add.outer(size, size) - 1e-6
+        np.fill_diagonal(alike, False)
+        return group.select(["key", "i", "j", "node"]).filter(pa.array(alike.any(1)))
+
+    narrow = blocks.select("key", "i", "j", "node", "size", (F.col("size") - F.col("pos")).alias("rest"))
+    return narrow.groupBy("key", "i", "j").applyInArrow(work, "key long, i int, j int, node long")
+
+
+def _block_links(blocks: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that make the components of all linked pairs within each (key, i, j) of ``blocks``."""
+    ship(blocks.sparkSession)
+
+    def work(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_numpy()
+        own = group.column("set").combine_chunks()
+        found = _tree([s.values.to_numpy(zero_copy_only=False) for s in own], similarity)
+        a, b = (nodes[[f[k] for f in found]] if found else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    fitting = _stored(_fitting(blocks, similarity), "blocks")
+    return fitting.join(sets, "node").groupBy("key", "i", "j").applyInArrow(work, "a long, b long")
+
+
+def _links_of_buckets(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links whose components are those of all linked pairs of nodes that share a bucket.
+
+    Few nodes are paired. More are dealt into blocks; each block is compared within itself, then with
+    every other block of its bucket, unless the bucket is one component by then.
+    """
+    spark = shared.sparkSession
+    both = (
+        _stored(_pairs(shared.filter(F.col("n") <= _PAIRED), similarity), "candidates")
+        .join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
     )
-    found = pairs.unionByName(through).distinct()
-    if roots is not None:
-        for end in ("a", "b"):
-            found = found.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-        found = found.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    compared = found.join(wide.select(F.col("node").alias("a"), F.col("wide").alias("x")), "a").join(
-        wide.select(F.col("node").alias("b"), F.col("wide").alias("y")), "b"
+    common = F.size(F.array_intersect("x", "y"))
+    linked = both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    count = F.ceil(F.col("n") / _BLOCK).cast("int")
+    many = _stored(
+        shared.filter(F.col("n") > _PAIRED).select(
+            "key", "node", "size", "pos", count.alias("blocks"), F.pmod(F.xxhash64("node", "key"), count).cast("int").alias("block")
+        ),
+        "crowded",
     )
-    apart = sum((_apart(F.col("x")[i], F.col("y")[i]) for i in range(1, _WIDE)), _apart(F.col("x")[0], F.col("y")[0]))
-    return compared.filter(apart <= _WIDE_APART).select("a", "b")
+    within = _block_links(many.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "node", "size", "pos"), sets, similarity)
+    first = _stored(linked.unionByName(within), "links")
+    roots = components(spark, first)
+    several = many.filter("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ends = several.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block")))
+    across = several.join(ends.select("key"), "key").select("key", "node", "size", "pos", "block", other.alias("other"))
+    across = across.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "size", "pos")
+    return first.unionByName(_stored(_block_links(across, sets, similarity), "links"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, of which each near-duplicate group keeps one.
 
     Texts with the same sequence of words (A-Z in any case) are copies. Others are linked when their sets of
-    ``words``-word shingles have a Jaccard similarity of ``similarity`` or more, checked exactly on pairs that
-    wide fingerprints bring together; groups are the components of the links. A group keeps its smallest
+    ``words``-word shingles have a Jaccard similarity of ``similarity`` or more; no such pair is missed. Groups
+    are the components of the links. A group keeps its smallest
     (doc_id, hash of the text), null ids last. Null texts and texts without a word are copies of one another;
     repeated rows count as copies. An empty table stays empty.
     """
     spark = docs.sparkSession
-    path = shared_folder(spark, "described")
-    _described(docs).write.parquet(path)
-    known = spark.read.parquet(path)
+    known = _stored(_described(docs, words, similarity), "described")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    distinct = known.groupBy("same").agg(F.min(place).alias("first"), F.first("wide").alias("wide"), F.first("blocks").alias("blocks"))
-    distinct = distinct.withColumn("node", F.xxhash64("same"))
-    stored = shared_folder(spark, "distinct")
-    distinct.write.parquet(stored)
-    distinct = spark.read.parquet(stored)
-    shared = _buckets(distinct.select("node", "blocks"))
+    distinct = known.groupBy("same").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    distinct = _stored(distinct.withColumn("node", F.xxhash64("same")), "distinct")
+    shared = _buckets(distinct.select("node", "size", "prefix"))
     # Shingles of the texts that share a bucket, one copy of each.
     firsts = distinct.join(shared.select("node").distinct(), "node").select("node", "first.doc_id", "first.text_hash")
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id_key"), "text_hash"]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
-    sets_path = shared_folder(spark, "shingles")
     asked = firsts.select("node", *key).join(texts, ["id_key", "text_hash"])
-    _shingle_sets(asked, words).groupBy("node").agg(F.first("set").alias("set")).write.parquet(sets_path)
-    sets = spark.read.parquet(sets_path)
-    # The groups of blocks in rounds: what a round has connected needs no comparison in the next.
-    roots, links_at = None, []
-    for first, last in _ROUNDS:
-        choice = F.shiftright("key", 30)
-        part = shared.filter((choice >= _FIRST_CHOICE[first]) & (choice < _FIRST_CHOICE[last]))
-        found = shared_folder(spark, "candidates")
-        _candidates(part, distinct.select("node", "wide"), roots).write.parquet(found)
-        both = (
-            spark.read.schema("a long, b long").parquet(found)
-            .join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        )
-        common = F.size(F.array_intersect("x", "y"))
-        links_at.append(shared_folder(spark, "links"))
-        both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b").write.parquet(links_at[-1])
-        roots = components(spark, spark.read.schema("a long, b long").parquet(*links_at))
+    sets = _stored(_shingle_sets(asked, words).groupBy("node").agg(F.first("set").alias("set")), "shingles")
+    roots = components(spark, _links_of_buckets(shared, sets, similarity))
     rooted = distinct.join(roots, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("k")).select("k.doc_id", "k.text_hash")
     often = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")

@@ -330,6 +330,49 @@ def test_one_of_each_group_stays(spark, messy, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+def _contiguous(chance, count):
+    """Texts and versions with a tail replaced or text appended, at similarities around 0.8."""
+    rows = []
+    for n in range(count):
+        size = chance.choice((60, 150, 400))
+        base = [f"w{chance.randrange(5000)}" for _ in range(size)]
+        own = size - 4  # shingles
+        if n % 2:
+            cut = round(own * chance.choice((0.08, 0.1, 0.105, 0.12)))
+            other = base[: size - cut] + [f"t{chance.randrange(5000)}" for _ in range(cut)]
+        else:
+            more = round(own * chance.choice((0.19, 0.24, 0.249, 0.27)))
+            other = base + [f"a{chance.randrange(5000)}" for _ in range(more)]
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(other))]
+    return rows
+
+
+def test_contiguous_edits_are_near_copies(spark):
+    rows = _contiguous(random.Random(12), 120)
+    docs = spark.createDataFrame([(i, t, *[None] * 10) for i, t in rows], SCHEMA)
+    want = sorted(rows[i][0] for i in keep_one(rows))
+    assert 120 < len(want) < 200
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
+
+
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "_BLOCK", 16)
+    monkeypatch.setattr(simhash, "_COLUMNS", 64)
+    chance = random.Random(13)
+    rows, base = [], [f"w{k}" for k in range(100)]
+    for n in range(150):
+        changed = list(base)
+        for _ in range(chance.randint(1, 8)):
+            changed[chance.randrange(100)] = f"c{n}"
+        rows.append((n, " ".join(changed)))
+    for n in range(40):  # one component
+        rows.append((200 + n, " ".join([*(f"v{k}" for k in range(100)), f"end{n}"])))
+    docs = spark.createDataFrame([(i, t, *[None] * 10) for i, t in rows], SCHEMA)
+    want = sorted(rows[i][0] for i in keep_one(rows))
+    assert 3 < len(want) < 150
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
+
+
 # ---- op8
 
 
