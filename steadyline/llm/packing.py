@@ -22,7 +22,12 @@ from steadyline.llm.token_files import bits_for, pack
 from steadyline.llm.units import encoder
 
 CAPACITY = 2048
+# A bound that no input is known to reach: each round covers ``_STEP`` of a length, or doubles the slack.
 ROUNDS = 800
+_STEP = 1 / 12
+# Share of the greatest price that a configuration may lack, at first and at the end.
+_SLACK = 0.005
+_MOST_SLACK = 0.05
 _RATE = 0.5  # how strongly a length that lags behind gains price
 _LARGE = 0.1  # extra price of large pieces, which few others fit beside
 
@@ -35,29 +40,43 @@ PIECES = (
 Configuration = dict[int, int]
 
 
-def dearest(price: np.ndarray, capacity: int) -> Configuration:
-    """Knapsack by dynamic programming: the lengths of greatest total price that fit in ``capacity``.
+def values(price: np.ndarray, capacity: int) -> np.ndarray:
+    """Knapsack by dynamic programming: the greatest total price of lengths that fit in each capacity.
 
     ``price[l]`` is -inf for lengths not on offer.
     """
     best = np.zeros(capacity + 1)
-    taken = np.zeros(capacity + 1, np.int64)
     for c in range(1, capacity + 1):
+        best[c] = max(best[c - 1], (best[c - 1 :: -1] + price[1 : c + 1]).max())
+    return best
+
+
+def _near_dearest(
+    first: int, price: np.ndarray, best: np.ndarray, slack: float, free: np.ndarray, wish: np.ndarray
+) -> Configuration | None:
+    """A configuration with ``first`` whose price lacks at most ``slack`` of the greatest, of lengths still ``free``.
+
+    Among the lengths that keep the price the one of the greatest ``wish`` is taken.
+    """
+    capacity = len(best) - 1
+    out: Configuration = {}
+    k, c = first, capacity
+    slack -= best[capacity] - price[first] - best[capacity - first]
+    while slack >= 0:
+        out[k] = out.get(k, 0) + 1
+        c -= k
+        if not c or not best[c]:
+            return out
         value = best[c - 1 :: -1] + price[1 : c + 1]
-        k = int(value.argmax())
-        if value[k] > best[c - 1]:
-            best[c], taken[c] = value[k], k + 1
-        else:
-            best[c] = best[c - 1]
-    out: Counter = Counter()
-    c = capacity
-    while c > 0:
-        if taken[c]:
-            out[int(taken[c])] += 1
-            c -= int(taken[c])
-        else:
-            c -= 1
-    return dict(out)
+        score = np.where(value >= best[c] - slack, wish[1 : c + 1], 0)
+        for used, n in out.items():
+            if used <= c and free[used] <= n:
+                score[used - 1] = 0
+        k = int(score.argmax()) + 1
+        if not score[k - 1]:
+            return out if best[c] <= slack else None
+        slack = max(0.0, slack - (best[c] - value[k - 1]))
+    return None
 
 
 def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[Configuration, int]]:
@@ -84,14 +103,14 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[Configuration, int]
     return [(dict(k), n) for k, n in sorted(merged.items())]
 
 
-def configurations(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Configuration, int]]:
-    """How often to use which configuration so that ``counts[l]`` pieces of each length l are covered exactly.
+def program(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[Counter, np.ndarray]:
+    """Uses of configurations, and the pieces of each length that they leave.
 
-    The program. Each round prices the lengths, finds the dearest configuration, and adds to its use
-    half of what the scarcest of its lengths allows. A price is a share of the capacity, more for lengths that
-    few fit beside, times a factor that falls with each covered share of its pieces.
-    Rounding. Uses are rounded down; a length of which no configuration gets a whole use leaves the program.
-    The pieces that remain, a few for each length, are packed best-fit decreasing.
+    Each round prices the lengths and lets every length gain about the same share of its pieces, ``_STEP``: for one
+    length after the other, those that lag first, a configuration with it is used whose price lacks at most ``slack``
+    of the greatest. A price is a share of the capacity, more for lengths that few fit beside, times a factor that
+    falls with each covered share of its pieces. Uses are whole from the start. A round without any use
+    doubles the slack; beyond ``_MOST_SLACK``, or without pieces, the program ends.
     """
     left = counts.astype(np.int64).copy()
     left[0] = 0
@@ -99,20 +118,42 @@ def configurations(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = R
     if left[capacity]:
         out[((capacity, 1),)] += int(left[capacity])
         left[capacity] = 0
-    offered = left >= 2
     total = np.maximum(left, 1).astype(float)
     share = np.arange(capacity + 1) / capacity
+    random = np.random.default_rng(len(left))
+    slack = _SLACK
     for _ in range(rounds):
-        if not offered.any():
+        if not left.any() or slack > _MOST_SLACK:
             break
-        price = np.where(offered, share * (1 + _LARGE * share) * np.exp(_RATE * left / total), -np.inf)
-        config = dearest(price, capacity)
-        times = int(min(left[k] / n for k, n in config.items()) / 2)
-        for k, n in config.items():
-            left[k] -= n * times
-            offered[k] &= left[k] >= 2 * n
-        if times:
-            out[tuple(sorted(config.items()))] += times
+        price = np.where(left > 0, share * (1 + _LARGE * share) * np.exp(_RATE * left / total), -np.inf)
+        best = values(price, capacity)
+        free = np.minimum(left, np.ceil(total * _STEP).astype(np.int64))
+        chance = random.random(capacity + 1)
+        wish = np.where(free > 0, left / total + chance, 0)
+        used = 0
+        for length in np.argsort(-(left / total), kind="stable").tolist():
+            while free[length] > 0:
+                config = _near_dearest(length, price, best, slack * best[capacity], free, wish)
+                if config is None:
+                    break
+                times = min(int(free[k]) // n for k, n in config.items())
+                for k, n in config.items():
+                    left[k] -= n * times
+                    free[k] -= n * times
+                    wish[k] = left[k] / total[k] + chance[k] if free[k] > 0 else 0
+                out[tuple(sorted(config.items()))] += times
+                used += times
+        if not used:
+            slack *= 2
+    return out, left
+
+
+def configurations(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Configuration, int]]:
+    """How often to use which configuration so that ``counts[l]`` pieces of each length l are covered exactly.
+
+    The program covers nearly all pieces; the few that it leaves are packed best-fit decreasing.
+    """
+    out, left = program(counts, capacity, rounds)
     for config, n in _best_fit(left, capacity):
         out[tuple(sorted(config.items()))] += n
     return [(dict(k), n) for k, n in sorted(out.items())]

@@ -216,6 +216,16 @@ def test_configurations_cover_every_piece():
         assert sum(n for _, n in plan) <= bound + 1 + bound // 25
 
 
+def test_the_program_places_nearly_all_pieces(monkeypatch):
+    left, best_fit = [], packing._best_fit
+    monkeypatch.setattr(packing, "_best_fit", lambda rest, capacity: (left.append(rest.copy()), best_fit(rest, capacity))[1])
+    lengths = np.random.default_rng(6).lognormal(6, 1, 50_000).astype(np.int64)
+    counts = np.bincount(np.clip(lengths, 1, 2047), minlength=2049)
+    plan = packing.configurations(counts)
+    assert left[0].sum() < 0.02 * counts.sum()
+    assert sum(n for _, n in plan) <= 1.005 * (counts @ np.arange(2049)) / 2048 + 1
+
+
 def _check_packed(rows, texts, capacity, end):
     tokenizer = Tokenizer.from_file(BYTE)
     want = Counter()
