@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from steadyline.llm import bpe, language, packing, quality, rules, sharding, simhash, sketches, token_files, toxicity
+from steadyline.llm import (
+    bpe,
+    language,
+    minhash,
+    packing,
+    phrases,
+    quality,
+    ranking,
+    rules,
+    sharding,
+    simhash,
+    sketches,
+    token_files,
+    toxicity,
+)
 from steadyline.llm.common import remainder, table
 from steadyline.session import shared_folder
 
@@ -89,6 +103,21 @@ def subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op11: components of 4-word shingle sets with 80 % or more of their union in common."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+def dense_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op12: each benchmark item's 50 best documents."""
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op13: each language's 2000 best phrases of two to four words."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_balanced_propagation": balanced_propagation,
     "op2_token_bit_packing": token_bit_packing,
@@ -100,6 +129,14 @@ QUERIES = {
     "op8_rule_cascade": rule_cascade,
     "op9_configuration_packing": configuration_packing,
     "op10_subword_language": subword_language,
+    "op11_superminhash": superminhash,
+    "op12_dense_search": dense_search,
+    "op13_phrase_parsing": phrase_mining,
 }
 
-ORACLE: dict[str, str] = {"op8_rule_cascade": rules.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op8_rule_cascade": rules.ORACLE_SQL,
+    "op11_superminhash": minhash.ORACLE_SQL,
+    "op12_dense_search": ranking.ORACLE_SQL,
+    "op13_phrase_parsing": phrases.ORACLE_SQL,
+}

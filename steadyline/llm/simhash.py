@@ -4,16 +4,13 @@ Fingerprints link when at most ``DISTANCE`` of their 64 bits differ. They are cu
 three differing bits leave at least three blocks equal, so each pair of linked fingerprints agrees on
 one of the twenty choices of three blocks (31 to 33 bits). A choice and its bits are a bucket.
 
-Equal fingerprints count once. In a bucket of few fingerprints all pairs are verified. Fingerprints of
-a crowded bucket are linked through *centres* instead, without any pair: everything within one bit of
-a centre and everything within two bits of it lies within three bits of one another's neighbours there,
-so all of it belongs to one component as soon as one fingerprint lies within one bit. For every pair at
-distance three or less such a centre exists, so no link is lost and work stays in proportion.
+Equal fingerprints count once. In a bucket of few fingerprints all pairs are verified as columns. A crowded
+bucket is dealt into blocks, each compared whole within a task; two blocks then meet only where their
+components still differ. What a block emits is a spanning forest: fewer links than fingerprints.
 """
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
@@ -23,12 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from steadyline.llm.common import in_arrow, ship, texts_of
-from steadyline.session import shared_folder
+from steadyline.llm.grouping import components, crossing, dealt, forest, stored
 
 DISTANCE = 3
 SEED = 42
-# Buckets of more fingerprints than this are linked through centres. Both ways give the same components.
+# Buckets of more fingerprints than this are compared in blocks. Both ways give the same components.
 CROWDED = 12
+BLOCK = 512
 _BLOCKS = (11, 11, 11, 11, 10, 10)
 _ROWS = 1 << 15
 
@@ -60,18 +58,23 @@ def fingerprint(text: str, words: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fp) of every row: the fingerprint as a signed long; a null text counts as empty."""
+def _fingerprinted(texts: DataFrame, words: int) -> DataFrame:
+    """``texts`` with the fingerprint ``fp`` in place of the text; the other columns are longs."""
+    others = [c for c in texts.columns if c != "text"]
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = pa.array([fingerprint(t, words) for t in texts_of(batch)], pa.int64())
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "fp"])
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), found], [*others, "fp"])
 
         return work
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return in_arrow(read, "doc_id long, fp long", make)
+    return in_arrow(texts, ", ".join(f"{c} long" for c in [*others, "fp"]), make)
+
+
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, fp) of every row: the fingerprint as a signed long; a null text counts as empty."""
+    return _fingerprinted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words)
 
 
 def _signed(bits: int) -> int:
@@ -90,22 +93,39 @@ def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _flips(fp: Column, flips: list[int]) -> Column:
-    return F.array(*[fp.bitwiseXOR(F.lit(_signed(x))) for x in flips])
+def _near(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(rows[:, None] ^ columns[None, :]) <= DISTANCE
+
+
+def _block_links(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """(a, b): a spanning forest of the links within each group; ``side`` as in ``grouping.crossing``."""
+    ship(groups.sparkSession)
+
+    def work(group: pa.Table) -> pa.Table:
+        fps, side = group.column("node").to_numpy(), group.column("side").to_numpy()
+        if side.any():
+            rows, columns = fps[side == 0], fps[side == 1]
+            found = forest(_near(rows, columns), other=True)
+        else:
+            rows = columns = fps
+            found = forest(_near(fps, fps) & ~np.eye(len(fps), dtype=bool))
+        a, b = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
+        return pa.table({"a": rows[a], "b": columns[b]})
+
+    return groups.select(*keys, "side", "node").groupBy(*keys).applyInArrow(work, "a long, b long")
 
 
 def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     """(a, b): links whose components are those of all pairs of ``distinct.fp`` at most ``DISTANCE`` bits apart."""
+    keys = ["choice", "bits"]
     keyed = distinct.select(
-        "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()])).alias("choice", "bits")
+        F.col("fp").alias("node"), F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()])).alias(*keys)
     )
-    sizes = keyed.groupBy("choice", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    path = shared_folder(spark, "buckets")
-    keyed.join(sizes, ["choice", "bits"]).write.parquet(path)
-    shared = spark.read.parquet(path)
+    sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = stored(keyed.join(sizes, keys), "buckets")
 
     few = shared.filter(F.col("n") <= CROWDED)
-    members = few.groupBy("choice", "bits").agg(F.collect_list("fp").alias("fps"))  # at most CROWDED
+    members = few.groupBy(*keys).agg(F.collect_list("node").alias("fps"))  # at most CROWDED
     near = F.transform(
         "fps",
         lambda a: F.transform(
@@ -114,60 +134,13 @@ def links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     )
     pairs = members.select(F.explode(F.flatten(near)).alias("p")).select("p.a", "p.b")
 
-    crowded = shared_folder(spark, "crowded")
-    shared.filter(F.col("n") > CROWDED).select("fp").distinct().write.parquet(crowded)
-    # Each of these becomes about a thousand rows, so they are dealt out evenly: distinct values by ranges.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    crowd = spark.read.schema("fp long").parquet(crowded).repartitionByRange(parts, "fp")
-    one = [1 << i for i in range(64)]
-    # Two of any three differing bits lie in the same half.
-    two = [x | y for half in (one[:32], one[32:]) for x, y in combinations(half, 2)]
-    close = crowd.select("fp", F.explode(_flips(F.col("fp"), [0, *one])).alias("centre"))
-    centres = close.groupBy("centre").agg(F.min("fp").alias("a"))
-    far = crowd.select("fp", F.explode(_flips(F.col("fp"), two)).alias("centre"))
-    through = close.unionByName(far).join(centres, "centre").select("a", F.col("fp").alias("b")).filter("a <> b")
-    return pairs.unionByName(through).distinct()
-
-
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each linked node reaches, over undirected ``edges`` (a, b).
-
-    Alternating large-star and small-star steps: a node's neighbours are attached to the smallest of
-    them. Only minima per node are gathered, so a node may have any number of neighbours. Each step is
-    written to the shared folder, which ends its lineage. Without edges there is no row.
-    """
-    path = shared_folder(spark, "edges")
-    edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct().write.parquet(path)
-    seen = None
-    while True:
-        now = spark.read.parquet(path)
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (
-            both.join(least.select("a", F.least("a", "m").alias("m")), "a")
-            .filter(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .filter("a <> b")
-            .distinct()
-        )
-        path = shared_folder(spark, "edges")
-        large.write.parquet(path)
-        now = spark.read.parquet(path)  # b < a throughout
-        least = now.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            now.join(least, "a")
-            .select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
-            .select("e.a", F.col("e.m").alias("b"))
-            .filter("a <> b")
-            .distinct()
-        )
-        path = shared_folder(spark, "edges")
-        small.write.parquet(path)
-    return spark.read.parquet(path).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    many = stored(dealt(shared.filter(F.col("n") > CROWDED), keys, BLOCK), "crowded")
+    within = _block_links(many.withColumn("side", F.lit(0)), [*keys, "block"])
+    first = stored(pairs.unionByName(within).distinct(), "links")
+    rooted = many.filter("blocks > 1").join(components(spark, first), "node", "left")
+    rooted = stored(rooted.select(*keys, "node", F.coalesce("root", "node").alias("root")), "rooted")
+    across = _block_links(crossing(rooted, keys, BLOCK), [*keys, "i", "j"])
+    return first.unionByName(across)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
@@ -178,285 +151,43 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     An empty table gives no row. Extra columns are ignored.
     """
     spark = docs.sparkSession
-    path = shared_folder(spark, "fingerprints")
-    fingerprints(docs, words).write.parquet(path)
-    known = spark.read.parquet(path)
+    known = stored(fingerprints(docs, words), "fingerprints")
     distinct = known.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    stored = shared_folder(spark, "distinct")
-    distinct.write.parquet(stored)
-    distinct = spark.read.parquet(stored)
-    roots = components(spark, links(spark, distinct))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
+    classes = _classes(stored(distinct, "distinct")).select("fp", F.col("least").alias("component_id"))
     return known.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-# Near-duplicates by similarity: a lossless search. Of two sets at similarity s, each shares at least s of its own size
-# with the other; so under any one order of all shingles their prefixes, all but that share and one more, meet.
-SIMILARITY = 0.8
-# Shingles are ordered by document frequency in one text of so many, rarest first. The order decides the
-# work alone; shingles beyond the most frequent ones that are remembered count as rare.
-_SAMPLED = 16
-_SEEN_OFTEN = 3
-_REMEMBERED = 1_000_000
-# Up to so many texts that share a shingle are paired; more are compared by blocks.
-_PAIRED = 12
-_BLOCK = 512
-_COLUMNS = 4096
-
-
-def _hashes(text: str, words: int) -> np.ndarray:
-    """XXH64 of the distinct shingles, ascending."""
-    own = {xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)}
-    return np.sort(np.fromiter(own, np.uint64, len(own)).view(np.int64))
-
-
-def _needed(size: int, similarity: float) -> int:
-    """Shingles that a set of ``size`` shares at least with any set it is linked to."""
-    return max(1, math.ceil(similarity * size - 1e-6))
-
-
-def prefix(hashes: np.ndarray, similarity: float, often: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The rarest shingles, one more than a linked set can lack. ``often``, ascending, was seen ``times``."""
-    if not len(hashes):
-        return hashes
-    rank = np.zeros(len(hashes), np.int64)
-    if len(often):
-        at = np.minimum(np.searchsorted(often, hashes), len(often) - 1)
-        rank = np.where(often[at] == hashes, times[at], 0)
-    return hashes[np.lexsort((hashes, rank))][: len(hashes) - _needed(len(hashes), similarity) + 1]
-
-
-def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of the sampled texts, ascending, and in how many of them they are."""
-
-    def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [_hashes(t, words) for t in texts_of(batch)]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else [], pa.int64())], ["shingle"])
-
-        return work
-
-    sampled = docs.select("text").filter(F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(_SAMPLED)) == 0)
-    counted = in_arrow(sampled, "shingle long", make).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.filter(F.col("n") >= _SEEN_OFTEN).orderBy(F.desc("n"), "shingle").limit(_REMEMBERED).toArrow()
-    often, times = (rows.column(c).to_numpy() for c in ("shingle", "n"))
-    order = np.argsort(often)
-    return often[order], times[order]
-
-
-def _described(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(doc_id, text_hash, same, size, prefix): ``same`` is a digest of the sequence of words."""
-    often, times = _frequent(docs, words)
-    shared = docs.sparkSession.sparkContext.broadcast((often, times))
-
-    def make():
-        often, times = shared.value
-
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            same, sizes, prefixes = [], [], []
-            for text in texts_of(batch):
-                own = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-                same.append(xxhash.xxh3_128_hexdigest(b" ".join(own)))
-                hashes = _hashes(text, words)
-                sizes.append(len(hashes))
-                prefixes.append(prefix(hashes, similarity, often, times))
-            return pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_hash"),
-                    pa.array(same, pa.string()),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "text_hash", "same", "size", "prefix"],
-            )
-
-        return work
-
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return in_arrow(read, "doc_id long, text_hash long, same string, size int, prefix array<long>", make)
-
-
-def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [_hashes(t, words) for t in texts_of(batch)]
-            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"])
-
-        return work
-
-    return in_arrow(docs.select("node", "text"), "node long, set array<long>", make)
-
-
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _buckets(reps: DataFrame) -> DataFrame:
-    """(key, n, node, size, pos): the nodes of each shingle that two or more prefixes hold, and its place in them.
-
-    Of shingles with the same nodes, told by two checksums of them, the first in order stays.
-    """
-    keyed = reps.select("node", "size", F.posexplode("prefix").alias("pos", "key"))
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = _stored(keyed.join(counts, "key"), "prefixes")
-    sums = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
-    alike = shared.groupBy("key", "n").agg(F.min("pos").alias("pos"), *sums).groupBy("n", "sum1", "sum2").agg(F.min_by("key", "pos").alias("key"))
-    return _stored(shared.join(alike.select("key"), "key"), "buckets")
-
-
-def _pairs(few: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all pairs of nodes that share a bucket and whose sizes and places allow a link, see ``_fitting``."""
-    members = few.groupBy("key").agg(F.collect_list(F.struct("node", "size", "pos")).alias("all"))  # at most _PAIRED
-
-    def fit(a: Column, b: Column) -> Column:
-        rest = F.least(a["size"] - a["pos"], b["size"] - b["pos"])
-        alike = F.least(a["size"], b["size"]) >= similarity * F.greatest(a["size"], b["size"]) - 1e-6
-        return alike & (rest >= similarity / (1 + similarity) * (a["size"] + b["size"]) - 1e-6)
-
-    two = F.transform(
-        "all",
-        lambda a: F.transform(
-            F.filter("all", lambda b: (b["node"] > a["node"]) & fit(a, b)),
-            lambda b: F.struct(a["node"].alias("a"), b["node"].alias("b")),
-        ),
+def _classes(distinct: DataFrame) -> DataFrame:
+    """(fp, least): of (fp, first), the smallest ``first`` of the fingerprint's component."""
+    spark = distinct.sparkSession
+    roots = components(spark, links(spark, distinct.select("fp")))
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    return members.select(F.explode(F.flatten(two)).alias("p")).select("p.a", "p.b").distinct()
-
-
-def _tree(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links that make the components of all linked pairs of ``sets``; every pair is compared."""
-    n, sizes = len(sets), np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(n), sizes)
-    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[column]  # what only one set has is in no intersection
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    common = np.zeros((n, n), np.float32)
-    for low in range(0, int(column.max(initial=-1)) + 1, _COLUMNS):
-        a, b = np.searchsorted(column, [low, low + _COLUMNS])
-        has = np.zeros((n, _COLUMNS), np.float32)
-        has[owner[a:b], column[a:b] - low] = 1
-        common += has @ has.T
-    both = common.astype(np.float64)
-    linked = (both > 0) & (both >= similarity * (sizes[:, None] + sizes[None, :] - both))
-    out, left = [], np.ones(n, bool)
-    for start in range(n):
-        if not left[start]:
-            continue
-        left[start], reached = False, [start]
-        while reached:
-            at = reached.pop()
-            new = np.flatnonzero(linked[at] & left)
-            left[new] = False
-            reached += new.tolist()
-            out += [(at, k) for k in new.tolist()]
-    return out
-
-
-def _fitting(blocks: DataFrame, similarity: float) -> DataFrame:
-    """Of each (key, i, j) the (key, i, j, node) that another node there may be linked to.
-
-    At the first shingle in order that two sets share, they have at most what follows in both in common; that
-    must suffice. Later shared shingles may turn a pair away, as the first one does not.
-    """
-    ship(blocks.sparkSession)
-
-    def work(group: pa.Table) -> pa.Table:
-        size, rest = (group.column(c).to_numpy() for c in ("size", "rest"))
-        alike = np.minimum.outer(size, size) >= similarity * np.maximum.outer(size, size) - 1e-6
-        alike &= np.minimum.outer(rest, rest) >= similarity / (1 + similarity) * np.add.outer(size, size) - 1e-6
-        np.fill_diagonal(alike, False)
-        return group.select(["key", "i", "j", "node"]).filter(pa.array(alike.any(1)))
-
-    narrow = blocks.select("key", "i", "j", "node", "size", (F.col("size") - F.col("pos")).alias("rest"))
-    return narrow.groupBy("key", "i", "j").applyInArrow(work, "key long, i int, j int, node long")
-
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return rooted.join(least, "root").select("fp", "least")
 
-def _block_links(blocks: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links that make the components of all linked pairs within each (key, i, j) of ``blocks``."""
-    ship(blocks.sparkSession)
-
-    def work(group: pa.Table) -> pa.Table:
-        nodes = group.column("node").to_numpy()
-        own = group.column("set").combine_chunks()
-        found = _tree([s.values.to_numpy(zero_copy_only=False) for s in own], similarity)
-        a, b = (nodes[[f[k] for f in found]] if found else np.zeros(0, np.int64) for k in (0, 1))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    fitting = _stored(_fitting(blocks, similarity), "blocks")
-    return fitting.join(sets, "node").groupBy("key", "i", "j").applyInArrow(work, "a long, b long")
+def one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, of which each component of linked fingerprints keeps one.
 
-
-def _links_of_buckets(shared: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links whose components are those of all linked pairs of nodes that share a bucket.
-
-    Few nodes are paired. More are dealt into blocks; each block is compared within itself, then with
-    every other block of its bucket, unless the bucket is one component by then.
+    A component keeps its smallest (doc_id, hash of the text), null ids last. Null texts and texts without a word
+    have fingerprint 0 and are one group with whatever links to it. Rows that repeat doc_id and text count as copies. An empty
+    table stays empty.
     """
-    spark = shared.sparkSession
-    both = (
-        _stored(_pairs(shared.filter(F.col("n") <= _PAIRED), similarity), "candidates")
-        .join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    linked = both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-    count = F.ceil(F.col("n") / _BLOCK).cast("int")
-    many = _stored(
-        shared.filter(F.col("n") > _PAIRED).select(
-            "key", "node", "size", "pos", count.alias("blocks"), F.pmod(F.xxhash64("node", "key"), count).cast("int").alias("block")
-        ),
-        "crowded",
-    )
-    within = _block_links(many.select("key", F.col("block").alias("i"), F.col("block").alias("j"), "node", "size", "pos"), sets, similarity)
-    first = _stored(linked.unionByName(within), "links")
-    roots = components(spark, first)
-    several = many.filter("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = several.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block")))
-    across = several.join(ends.select("key"), "key").select("key", "node", "size", "pos", "block", other.alias("other"))
-    across = across.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "size", "pos")
-    return first.unionByName(_stored(_block_links(across, sets, similarity), "links"))
-
-
-def one_of_each(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, all columns, of which each near-duplicate group keeps one.
-
-    Texts with the same sequence of words (A-Z in any case) are copies. Others are linked when their sets of
-    ``words``-word shingles have a Jaccard similarity of ``similarity`` or more; no such pair is missed. Groups
-    are the components of the links. A group keeps its smallest
-    (doc_id, hash of the text), null ids last. Null texts and texts without a word are copies of one another;
-    repeated rows count as copies. An empty table stays empty.
-    """
-    spark = docs.sparkSession
-    known = _stored(_described(docs, words, similarity), "described")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    distinct = known.groupBy("same").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    distinct = _stored(distinct.withColumn("node", F.xxhash64("same")), "distinct")
-    shared = _buckets(distinct.select("node", "size", "prefix"))
-    # Shingles of the texts that share a bucket, one copy of each.
-    firsts = distinct.join(shared.select("node").distinct(), "node").select("node", "first.doc_id", "first.text_hash")
-    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id_key"), "text_hash"]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
-    asked = firsts.select("node", *key).join(texts, ["id_key", "text_hash"])
-    sets = _stored(_shingle_sets(asked, words).groupBy("node").agg(F.first("set").alias("set")), "shingles")
-    roots = components(spark, _links_of_buckets(shared, sets, similarity))
-    rooted = distinct.join(roots, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("k")).select("k.doc_id", "k.text_hash")
-    often = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-    named = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id_key"), F.col("text_hash").alias("_text_hash")]
-    kept, often = kept.select(*named), often.select(*named)
-    marked = docs.withColumn("_id_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_text_hash", F.xxhash64("text"))
     on = ["_id_key", "_text_hash"]
+    id_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    known = stored(_fingerprinted(texts, words), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    distinct = stored(known.groupBy("fp").agg(F.min(place).alias("first")), "distinct")
+    kept = _classes(distinct).select("least").distinct().select("least.doc_id", "least.text_hash")
+    often = known.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    named = [F.col("doc_id").isNull().alias("_none"), id_key.alias("_id_key"), F.col("text_hash").alias("_text_hash")]
+    kept, often = stored(kept.select(*named), "kept"), often.select(*named)
+    on = ["_none", *on]
+    marked = docs.withColumns({"_none": F.col("doc_id").isNull(), "_id_key": id_key, "_text_hash": F.xxhash64("text")})
     # Rows that are repeated as they are need one more step; without any this side is empty.
-    repeated = kept.join(often, on, "left_semi")
     single = marked.join(kept.join(often, on, "left_anti"), on, "left_semi")
-    again = marked.join(repeated, on, "left_semi").dropDuplicates(on)
+    again = marked.join(kept.join(often, on, "left_semi"), on, "left_semi").dropDuplicates(on)
     return single.unionByName(again).select(*docs.columns)
