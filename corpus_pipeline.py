@@ -28,8 +28,8 @@ def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8 or more)."""
-    return simhash.one_of_each(docs)
+    """One document of each component of fingerprints of 3-word shingles at most 3 bits apart."""
+    return simhash.one_of_each(docs, words=3)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
