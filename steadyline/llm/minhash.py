@@ -15,6 +15,8 @@ spanning forest of the links leaves a block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from steadyline.llm import sieve
 from steadyline.llm.common import in_arrow, ship, texts_of
 from steadyline.llm.grouping import components, crossing, forest, stored
-from steadyline.llm.simhash import SEED, shingles
+from steadyline.llm.simhash import LOWER
+from steadyline.llm.wordhash import Words, joined, mixed, together
 
 PLACES = 128
 BANDS = 32
@@ -34,17 +37,25 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of unsigned 64-bit integers that scatters them."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """XXH64 of the distinct shingles, ascending; a text of fewer words is one shingle, one without words has none."""
-    own = {xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)}
-    return np.sort(np.fromiter(own, np.uint64, len(own)))
+def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
+    """Hashes of each text's distinct shingles, ascending; a text of fewer words is one shingle, one without words has none."""
+    blank = [b" ".join(t.encode("utf-8", "surrogatepass").translate(LOWER).split()) for t in texts]
+    for part in together([len(t) for t in blank]):
+        known = Words(blank[part])
+        starts, hashes = known.starts().tolist(), known.hashes
+        whole = np.zeros(len(hashes), np.uint64)
+        for k in range(words):
+            whole = joined(whole, np.append(hashes[k:], np.zeros(min(k, len(hashes)), np.uint64)))
+        for low, high in zip(starts, starts[1:], strict=False):
+            if high - low >= words:
+                yield np.unique(whole[low : high - words + 1])
+            elif high > low:
+                short = np.zeros(1, np.uint64)
+                for k in range(low, high):
+                    short = joined(short, hashes[k : k + 1])
+                yield short
+            else:
+                yield np.zeros(0, np.uint64)
 
 
 def signature(elements: np.ndarray, places: int = PLACES) -> np.ndarray:
@@ -90,8 +101,7 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             same, sizes, bands = [], [], []
-            for text in texts_of(batch):
-                own = shingle_set(text, words)
+            for own in shingle_sets(texts_of(batch), words):
                 same.append(xxhash.xxh3_128_hexdigest(own.tobytes()) if len(own) else None)
                 sizes.append(len(own))
                 bands.append(band_keys(signature(own)).view(np.int64) if len(own) else None)
@@ -111,15 +121,15 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     The sieve lets the texts of wanted rows through (and few others), so only these are hashed and moved.
     """
     place = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text_hash").alias("place")
-    table = docs.sparkSession.sparkContext.broadcast(sieve.build(wanted.select(place), "place"))
+    table = sieve.sent(wanted.select(place), "place")
 
     def make():
-        bits = table.value
+        bits = sieve.opened(table)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = sieve.passes(bits, batch.column("place").to_numpy().view(np.uint64))
             batch = batch.filter(pa.array(keep))
-            sets = pa.array([shingle_set(t, words).view(np.int64) for t in texts_of(batch)], pa.list_(pa.int64()))
+            sets = pa.array([s.view(np.int64) for s in shingle_sets(texts_of(batch), words)], pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), sets], ["doc_id", "text_hash", "set"])
 
         return work
@@ -190,7 +200,11 @@ def _links(docs: DataFrame, distinct: DataFrame, words: int, percent: int) -> Da
     first = stored(_block_links(blocks.unionByName(centres).withColumn("side", F.lit(0)), ["least", "block"], sets, percent), "links")
     # Then, in each bucket, nodes whose components still differ.
     rooted = shared.join(components(spark, first), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    groups = stored(crossing(stored(rooted, "rooted"), ["key"], BLOCK), "crossing")
+    rooted = stored(rooted, "rooted")
+    # Of buckets with the same nodes, told by their number and two checksums, one will do.
+    sums = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
+    alike = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *sums).groupBy("n", "sum1", "sum2").agg(F.min("key").alias("key"))
+    groups = stored(crossing(rooted.join(alike.select("key"), "key"), ["key"], BLOCK), "crossing")
     return first.unionByName(_block_links(groups, ["key", "i", "j"], sets, percent))
 
 

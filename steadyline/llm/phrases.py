@@ -6,36 +6,38 @@ trigger, and equal passages fall into equal chunks wherever they stand. Distinct
 the dictionary: a passage that thousands of documents share is looked into once. An n-gram of up to four words belongs to the chunk
 in which it starts before the overlap, and lies within it; so each occurrence counts once, with the chunk's frequency.
 
-Counting goes by length. An n-gram can be frequent only if both its shorter parts are, so each round counts hashes
-of n-grams whose parts passed the round before, tested with a bit table of fixed size (``sieve``). A last
-round counts the phrases that are left as texts, exactly. Hashes and tables turn phrases away early, they never decide a count.
+Counting takes three rounds over the dictionary. The first counts hashes of pairs; the second those of triples both of whose
+pairs are frequent; the last counts as texts, exactly, the words of frequent pairs, these pairs, frequent triples, and
+sequences of four words both of whose triples are frequent. What is frequent is told by bit tables of fixed size
+(``sieve``). Hashes and tables turn phrases away early, they never decide a count.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from steadyline.llm import sieve
 from steadyline.llm.common import in_arrow, ship, texts_of
 from steadyline.llm.grouping import stored
-from steadyline.llm.minhash import mixed
+from steadyline.llm.wordhash import Words, joined, mixed, together
 
 LONGEST = 4
 OVERLAP = LONGEST - 1
 # One window in so many is a trigger; chunks without one end after so many tokens.
 EVERY = 64
 CHUNK = 4096
-# A task remembers the hashes of so many words before it starts anew.
-_REMEMBERED = 1_000_000
+# A task sends its counts on when it holds so many phrases.
+_HELD = 500_000
 # Phrases of a language are ranked in this many parts first.
 _PARTS = 256
-_FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 # Characters that end a piece, all shown as a full stop; tabs as blanks.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -43,69 +45,80 @@ _BREAK = b"."
 _MAP = bytes(46 if c in _ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def tokens_of(text: str) -> list[bytes]:
-    """Words in order, and a full stop wherever a piece ends."""
+def tokens_of(text: str) -> bytes:
+    """Words in order and a full stop wherever a piece ends, with one blank between them."""
     whole = text.encode("utf-8", "surrogatepass").translate(_MAP).replace(_BREAK, b" . ")
-    return [t for t in whole.split(b" ") if t]
-
-
-class Words(dict):
-    """Hash of each word, computed once; zero for a break."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        found = self[word] = 0 if word == _BREAK else xxhash.xxh64_intdigest(word) or 1
-        return found
-
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
-
-
-def chunk_starts(hashes: np.ndarray) -> list[int]:
-    """Where the chunks of one text begin: at 0, at triggers, and ``CHUNK`` tokens after a start without one."""
-    if len(hashes) <= OVERLAP:
-        return [0]
-    window = np.zeros(len(hashes) - OVERLAP, np.uint64)
-    for k in range(OVERLAP):  # a start leaves at least one token after its window
-        window = mixed(window * _FACTOR + hashes[k : len(hashes) - OVERLAP + k])
-    triggers = np.flatnonzero(window % np.uint64(EVERY) == 0)
-    starts = [0]
-    for at in triggers.tolist():
-        if at:
-            starts += range(starts[-1] + CHUNK, at, CHUNK)
-            starts.append(at)
-    return [*starts, *range(starts[-1] + CHUNK, len(hashes) - OVERLAP, CHUNK)]
-
-
-def parse(tokens: list[bytes], words: Words) -> list[tuple[bytes, bool, int]]:
-    """Chunks (text, last, words of its own): all but the last end with the window that the next begins with."""
-    hashes = words.of(tokens)
-    starts = chunk_starts(hashes)
-    before = np.concatenate([[0], np.cumsum(hashes != 0)])
-    out = []
-    for start, end in zip(starts, [*starts[1:], len(tokens)], strict=True):
-        last = end == len(tokens)
-        out.append((b" ".join(tokens[start : end if last else end + OVERLAP]), last, int(before[end] - before[start])))
+    return b" ".join(t for t in whole.split(b" ") if t)
+
+
+def _shifted(values: np.ndarray, by: int) -> np.ndarray:
+    """Each place has the value ``by`` places on; zero beyond the end."""
+    if not by:
+        return values
+    out = np.zeros_like(values)
+    out[:-by] = values[by:]
     return out
 
 
+def _is_word(words: Words) -> np.ndarray:
+    at = words.distinct.index(_BREAK)
+    return words.ids != at.as_py()
+
+
+def parse(texts: list[bytes]) -> Iterator[tuple[int, bytes, bool, int]]:
+    """Chunks (text, tokens, last, words of its own): all but the last end with the window that the next begins with.
+
+    A chunk begins where its text does, at each trigger, and ``CHUNK`` tokens after a start without one.
+    """
+    words = Words(texts)
+    if not len(words.ids):
+        return
+    begins, counts = words.starts()[:-1], words.counts
+    owner = np.repeat(np.arange(len(texts)), counts)
+    place = np.arange(len(owner)) - begins[owner]
+    window = np.zeros(len(owner), np.uint64)
+    for k in range(OVERLAP):
+        window = joined(window, _shifted(words.hashes, k))
+    room = counts[owner] - place > OVERLAP  # a start leaves at least one token after its window
+    first = (place == 0) | (room & (window % np.uint64(EVERY) == 0))
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(owner))
+    long = np.flatnonzero(ends - starts > CHUNK)
+    if len(long):
+        more = [np.arange(starts[k] + CHUNK, ends[k], CHUNK) for k in long]
+        more = np.concatenate(more)
+        starts = np.union1d(starts, more[room[more]])
+        ends = np.append(starts[1:], len(owner))
+    last = ends == (begins + counts)[owner[starts]]
+    sizes = np.diff(np.frombuffer(words.distinct.buffers()[1], np.int64)[: len(words.distinct) + 1])
+    at = np.concatenate([[0], np.cumsum(sizes[words.ids] + 1)])  # bytes before each token, blanks included
+    before = np.concatenate([[0], np.cumsum(_is_word(words))])
+    own = before[ends] - before[starts]
+    upto = np.where(last, ends, ends + OVERLAP)
+    for text, low, high, is_last, n in zip(
+        owner[starts].tolist(),
+        (at[starts] - at[begins[owner[starts]]]).tolist(),
+        (at[upto] - at[begins[owner[starts]]]).tolist(),
+        last.tolist(),
+        own.tolist(),
+        strict=True,
+    ):
+        yield text, texts[text][low : high - 1], is_last, n
+
+
 def dictionary(docs: DataFrame) -> DataFrame:
     """(lang, chunk, last, words, times): the distinct chunks of all texts of a language and their frequencies."""
 
     def make():
-        words = Words()
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            langs, chunks, last, own = [], [], [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
-                for chunk, is_last, n in parse(tokens_of(text), words):
-                    if n:
-                        langs.append(lang)
-                        chunks.append(chunk)
-                        last.append(is_last)
-                        own.append(n)
-            columns = [pa.array(langs, pa.string()), pa.array(chunks, pa.string()), pa.array(last, pa.bool_()), pa.array(own, pa.int64())]
+            found = []
+            langs = batch.column("lang").to_pylist()
+            texts = [tokens_of(t) for t in texts_of(batch)]
+            for part in together([len(t) for t in texts]):
+                own = langs[part]
+                found += [(own[text], chunk, last, n) for text, chunk, last, n in parse(texts[part]) if n]
+            kinds = (pa.string(), pa.string(), pa.bool_(), pa.int64())
+            columns = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
             return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "last", "words"])
 
         return work
@@ -116,117 +129,163 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
 
 class Grams:
-    """The n-grams of a batch of chunks: hashes by place and length, and which places may start one of them."""
-
-    def __init__(self, batch: pa.RecordBatch, words: Words, tables: list[np.ndarray]):
-        lists = [c.as_py().encode("utf-8", "surrogatepass").split(b" ") for c in batch.column("chunk")]
-        sizes = np.array([len(t) for t in lists], np.int64)
-        self.tokens = [t for own in lists for t in own]
-        self.chunk = np.repeat(np.arange(len(lists)), sizes)
-        self.times = batch.column("times").to_numpy()
+    """The n-grams of some chunks: hashes by place and length, and which places may start one."""
+
+    def __init__(self, batch: pa.RecordBatch, longest: int, pairs: np.ndarray | None = None, triples: np.ndarray | None = None):
+        words = Words([c.as_py().encode("utf-8", "surrogatepass") for c in batch.column("chunk")])
+        self.words = words
+        counts = words.counts
+        self.chunk = np.repeat(np.arange(len(counts)), counts)
+        self.times = batch.column("times").to_numpy()[self.chunk]
         self.langs = batch.column("lang").to_pylist()
-        hashes = words.of(self.tokens)
+        seen: dict[str, int] = {}
+        language = np.array([seen.setdefault(x, len(seen)) for x in self.langs], np.int64)
+        self.language = language[self.chunk]
+        left = np.repeat(words.starts()[1:], counts) - np.arange(len(self.chunk))  # tokens to the chunk's end
         last = batch.column("last").to_numpy(zero_copy_only=False)
-        within = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        left = np.repeat(sizes, sizes) - within  # tokens from here to the chunk's end
-        self.own = np.repeat(last, sizes) | (left > OVERLAP)
-        lang = np.array([xxhash.xxh64_intdigest(x) for x in self.langs], np.uint64)[self.chunk]
-        self.hash, possible = [], []
-        gram, whole = lang, np.ones(len(hashes), bool)
-        for n in range(1, LONGEST + 1):
-            ahead, inside = _shifted(hashes, n - 1), left >= n
-            whole = whole & inside & (ahead != 0)
-            gram = mixed(gram * _FACTOR + ahead)
+        self.own = last[self.chunk] | (left > OVERLAP)
+        gram = np.array([xxhash.xxh64_intdigest(x) for x in seen], np.uint64)[self.language]
+        whole, word = np.ones(len(left), bool), _is_word(words)
+        self.hash, self.possible = [], []
+        for n in range(1, longest + 1):
+            whole = whole & (left >= n) & _shifted(word, n - 1)
+            gram = joined(gram, _shifted(words.hashes, n - 1))
             may = whole
-            if n > 1:  # both parts of one word less
-                may = whole & possible[-1] & _shifted(possible[-1], 1)
-            if n <= len(tables):
+            if n > 2:  # both parts of one word less
+                may = whole & self.possible[-1] & _shifted(self.possible[-1], 1)
+            table = {2: pairs, 3: triples}.get(n)
+            if table is not None:
                 may = may.copy()
                 at = np.flatnonzero(may)
-                may[at] = sieve.passes(tables[n - 1], gram[at])
+                may[at] = sieve.passes(table, gram[at])
             self.hash.append(gram)
-            possible.append(may)
-        self.possible = possible
+            self.possible.append(may)
 
     def places(self, n: int) -> np.ndarray:
-        """Where n-grams of the chunks' own start, in the order of their hashes' first and further occurrences."""
+        """Where possible n-grams of the chunks' own start."""
         return np.flatnonzero(self.possible[n - 1] & self.own)
 
+    def counts(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the possible n-grams, ascending, and their frequencies."""
+        at = self.places(n)
+        found, which = np.unique(self.hash[n - 1][at], return_inverse=True)
+        return found, np.bincount(which, self.times[at], len(found)).astype(np.int64)
 
-def _shifted(values: np.ndarray, by: int) -> np.ndarray:
-    """Each place has the value ``by`` places on; zero beyond the end."""
-    if not by:
-        return values
-    out = np.zeros_like(values)
-    out[:-by] = values[by:]
-    return out
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for part in together([len(c.as_py()) for c in batch.column("chunk")]):
+        yield batch.slice(part.start, part.stop - part.start)
 
-def _hash_counts(chunks: DataFrame, tables: list[np.ndarray]) -> DataFrame:
-    """(gram, f): counts by hash of the n-grams one word longer than the tables go, where these let them through."""
-    shared = chunks.sparkSession.sparkContext.broadcast(tables)
 
-    def make():
-        words = Words()
-        n = len(shared.value) + 1
+def _pair_counts(chunks: DataFrame) -> DataFrame:
+    """(gram, f): how often each pair occurs, by hash."""
 
+    def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            grams = Grams(batch, words, shared.value)
-            at = grams.places(n)
-            found, which = np.unique(grams.hash[n - 1][at], return_inverse=True)
-            f = np.zeros(len(found), np.int64)
-            np.add.at(f, which, grams.times[grams.chunk[at]])
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(f)], ["gram", "f"])
+            found = [Grams(part, 2).counts(2) for part in _parts(batch)] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+            grams, f = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(f)], ["gram", "f"])
 
         return work
 
     return in_arrow(chunks, "gram long, f long", make).groupBy("gram").agg(F.sum("f").alias("f"))
 
 
-def _phrase_counts(chunks: DataFrame, tables: list[np.ndarray]) -> DataFrame:
-    """(lang, phrase, size, f): exact counts of the phrases that all tables let through."""
-    shared = chunks.sparkSession.sparkContext.broadcast(tables)
+def _triple_counts(chunks: DataFrame, pairs: Broadcast) -> DataFrame:
+    """(size, gram, f): how often each triple of frequent pairs occurs, and the words of frequent pairs, by hash."""
 
     def make():
-        words = Words()
+        table = sieve.opened(pairs)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            grams = Grams(batch, words, shared.value)
-            found: dict[tuple[str, bytes, int], int] = {}
-            number: dict[bytes, int] = {}
-            ids = np.array([number.setdefault(t, len(number)) for t in grams.tokens], np.int64)
-            for n in range(1, LONGEST + 1):
-                at = grams.places(n)
-                _, first, which = np.unique(grams.hash[n - 1][at], return_index=True, return_inverse=True)
-                f = np.zeros(len(first), np.int64)
-                alike = np.ones(len(at), bool)  # the words of a hash's first occurrence
-                for k in range(n):
-                    alike &= ids[at + k] == ids[at[first] + k][which]
-                np.add.at(f, which[alike], grams.times[grams.chunk[at[alike]]])
-                told = [*zip(at[first].tolist(), f.tolist(), strict=True)]
-                told += [(k, int(grams.times[grams.chunk[k]])) for k in at[~alike].tolist()]
-                for place, count in told:
-                    key = (grams.langs[grams.chunk[place]], b" ".join(grams.tokens[place : place + n]), n)
-                    found[key] = found.get(key, 0) + count
-            columns = [
-                pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
-                pa.array([k[2] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "f"])
+            sizes, hashes, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for part in _parts(batch):
+                grams = Grams(part, 3, table)
+                pair = grams.possible[1]
+                in_pair = pair.copy()
+                in_pair[1:] |= pair[:-1]
+                words = np.unique(grams.hash[0][in_pair])
+                triples, f = grams.counts(3)
+                for size, found, times in ((1, words, np.ones(len(words), np.int64)), (3, triples, f)):
+                    sizes.append(np.full(len(found), size, np.int32))
+                    hashes.append(found)
+                    counts.append(times)
+            columns = [pa.array(np.concatenate(sizes)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(counts))]
+            return pa.RecordBatch.from_arrays(columns, ["size", "gram", "f"])
 
         return work
 
-    counted = in_arrow(chunks, "lang string, phrase string, size int, f long", make)
+    return in_arrow(chunks, "size int, gram long, f long", make).groupBy("size", "gram").agg(F.sum("f").alias("f"))
+
+
+class PhraseCounts:
+    """Frequencies of phrases, added up over the chunks of a task.
+
+    A phrase is known by two hashes of its words, 128 bits together, and its text is put together once.
+    """
+
+    def __init__(self):
+        self.places: dict[tuple[int, int], int] = {}
+        self.keys: list[tuple[str, bytes, int]] = []
+        self.totals = np.zeros(1024, np.int64)
+
+    def add(self, grams: Grams, n: int) -> None:
+        at = grams.places(n)
+        _, first, which = np.unique(grams.hash[n - 1][at], return_index=True, return_inverse=True)
+        ids, alike = grams.words.ids, grams.language[at] == grams.language[at[first]][which]
+        for k in range(n):
+            alike &= ids[at + k] == ids[at[first] + k][which]
+        f = np.bincount(which[alike], grams.times[at[alike]], len(first)).astype(np.int64)
+        # Places whose words are others than those of the hash's first place are taken one by one.
+        chosen, f = np.concatenate([at[first], at[~alike]]), np.concatenate([f, grams.times[at[~alike]]])
+        other = np.full(len(chosen), np.uint64(n))
+        for k in range(n):
+            other = mixed(other ^ grams.words.hashes[chosen + k]) * np.uint64(0x9E3779B97F4A7C15)
+        places = np.empty(len(chosen), np.int64)
+        for i, key in enumerate(zip(grams.hash[n - 1][chosen].tolist(), other.tolist(), strict=True)):
+            place = self.places.get(key)
+            if place is None:
+                place = self.places[key] = len(self.keys)
+                start = int(chosen[i])
+                text = b" ".join(w.as_py() for w in grams.words.distinct.take(pa.array(ids[start : start + n])))
+                self.keys.append((grams.langs[grams.chunk[start]], text, n))
+            places[i] = place
+        if len(self.keys) > len(self.totals):
+            self.totals = np.concatenate([self.totals, np.zeros(2 * len(self.keys) - len(self.totals), np.int64)])
+        np.add.at(self.totals, places, f)
+
+    def batch(self) -> pa.RecordBatch:
+        columns = [pa.array([k[c] for k in self.keys], kind) for c, kind in enumerate((pa.string(), pa.string(), pa.int32()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(self.totals[: len(self.keys)])], ["lang", "phrase", "size", "f"])
+
+
+def _phrase_counts(chunks: DataFrame, words: Broadcast, pairs: Broadcast, triples: Broadcast) -> DataFrame:
+    """(lang, phrase, size, f): exact counts of the phrases that the tables let through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, tables = sieve.opened(words), [sieve.opened(t) for t in (pairs, triples)]
+        found = PhraseCounts()
+        for batch in batches:
+            for part in _parts(batch):
+                grams = Grams(part, LONGEST, *tables)
+                grams.possible[0] = grams.possible[0] & sieve.passes(known, grams.hash[0])
+                for n in range(1, LONGEST + 1):
+                    found.add(grams, n)
+                if len(found.keys) >= _HELD:
+                    yield found.batch()
+                    found = PhraseCounts()
+        yield found.batch()
+
+    counted = chunks.mapInArrow(run, "lang string, phrase string, size int, f long")
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(chunks: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, size, f) of all phrases of one to four words that occur ``least`` times or more."""
-    tables: list[np.ndarray] = []
-    for _ in range(LONGEST):
-        frequent = stored(_hash_counts(chunks, tables).filter(F.col("f") >= least).select("gram"), "grams")
-        tables.append(sieve.build(frequent, "gram"))
-    return _phrase_counts(chunks, tables).filter(F.col("f") >= least)
+    """(lang, phrase, size, f) of all phrases of two to four words that occur ``least`` times or more, and of their parts."""
+    pairs = sieve.sent(_pair_counts(chunks).filter(F.col("f") >= least), "gram")
+    second = stored(_triple_counts(chunks, pairs).filter((F.col("size") == 1) | (F.col("f") >= least)), "grams")
+    words, triples = (sieve.sent(second.filter(F.col("size") == n), "gram") for n in (1, 3))
+    return _phrase_counts(chunks, words, pairs, triples).filter(F.col("f") >= least)
 
 
 def _top(scored: DataFrame, count: int) -> DataFrame:

@@ -30,12 +30,12 @@ BLOCK = 512
 _BLOCKS = (11, 11, 11, 11, 10, 10)
 _ROWS = 1 << 15
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def shingles(text: str, words: int) -> list[bytes]:
     """Overlapping word shingles in order, repeats included; a shorter text is one shingle, none if empty."""
-    own = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    own = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
     if len(own) <= words:
         return [b" ".join(own)] if own else []
     joined = b" ".join(own)
