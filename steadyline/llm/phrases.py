@@ -14,11 +14,11 @@ sequences of four words both of whose triples are frequent. What is frequent is
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -48,7 +48,7 @@ _MAP = bytes(46 if c in _ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 els
 def tokens_of(text: str) -> bytes:
     """Words in order and a full stop wherever a piece ends, with one blank between them."""
     whole = text.encode("utf-8", "surrogatepass").translate(_MAP).replace(_BREAK, b" . ")
-    return b" ".join(t for t in whole.split(b" ") if t)
+    return b" ".join(whole.split())
 
 
 def _shifted(values: np.ndarray, by: int) -> np.ndarray:
@@ -173,7 +173,7 @@ class Grams:
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for part in together([len(c.as_py()) for c in batch.column("chunk")]):
+    for part in together(pc.binary_length(batch.column("chunk")).to_pylist()):
         yield batch.slice(part.start, part.stop - part.start)
 
 
@@ -226,7 +226,9 @@ class PhraseCounts:
 
     def __init__(self):
         self.places: dict[tuple[int, int], int] = {}
-        self.keys: list[tuple[str, bytes, int]] = []
+        self.langs: list[str] = []
+        self.texts: list[bytes] = []
+        self.sizes: list[int] = []
         self.totals = np.zeros(1024, np.int64)
 
     def add(self, grams: Grams, n: int) -> None:
@@ -242,21 +244,25 @@ class PhraseCounts:
         for k in range(n):
             other = mixed(other ^ grams.words.hashes[chosen + k]) * np.uint64(0x9E3779B97F4A7C15)
         places = np.empty(len(chosen), np.int64)
+        new = []
         for i, key in enumerate(zip(grams.hash[n - 1][chosen].tolist(), other.tolist(), strict=True)):
-            place = self.places.get(key)
-            if place is None:
-                place = self.places[key] = len(self.keys)
-                start = int(chosen[i])
-                text = b" ".join(w.as_py() for w in grams.words.distinct.take(pa.array(ids[start : start + n])))
-                self.keys.append((grams.langs[grams.chunk[start]], text, n))
-            places[i] = place
-        if len(self.keys) > len(self.totals):
-            self.totals = np.concatenate([self.totals, np.zeros(2 * len(self.keys) - len(self.totals), np.int64)])
+            places[i] = place = self.places.setdefault(key, len(self.places))
+            if place == len(self.langs) + len(new):
+                new.append(i)
+        starts = chosen[new]
+        texts = grams.words.distinct.take(pa.array(ids[starts]))
+        for k in range(1, n):
+            texts = pc.binary_join_element_wise(texts, grams.words.distinct.take(pa.array(ids[starts + k])), pa.scalar(b" ", texts.type))
+        self.texts += texts.to_pylist()
+        self.langs += [grams.langs[c] for c in grams.chunk[starts].tolist()]
+        self.sizes += [n] * len(new)
+        if len(self.langs) > len(self.totals):
+            self.totals = np.concatenate([self.totals, np.zeros(2 * len(self.langs) - len(self.totals), np.int64)])
         np.add.at(self.totals, places, f)
 
     def batch(self) -> pa.RecordBatch:
-        columns = [pa.array([k[c] for k in self.keys], kind) for c, kind in enumerate((pa.string(), pa.string(), pa.int32()))]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(self.totals[: len(self.keys)])], ["lang", "phrase", "size", "f"])
+        columns = [pa.array(self.langs, pa.string()), pa.array(self.texts, pa.string()), pa.array(self.sizes, pa.int32())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(self.totals[: len(self.langs)])], ["lang", "phrase", "size", "f"])
 
 
 def _phrase_counts(chunks: DataFrame, words: Broadcast, pairs: Broadcast, triples: Broadcast) -> DataFrame:
@@ -271,7 +277,7 @@ def _phrase_counts(chunks: DataFrame, words: Broadcast, pairs: Broadcast, triple
                 grams.possible[0] = grams.possible[0] & sieve.passes(known, grams.hash[0])
                 for n in range(1, LONGEST + 1):
                     found.add(grams, n)
-                if len(found.keys) >= _HELD:
+                if len(found.langs) >= _HELD:
                     yield found.batch()
                     found = PhraseCounts()
         yield found.batch()
