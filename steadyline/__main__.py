@@ -41,6 +41,11 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--source", required=True)
     job.add_argument("--target", required=True)
 
+    job = jobs.add_parser("compact-log", help="position log → log in full files, in a new folder")
+    job.add_argument("--source", required=True)
+    job.add_argument("--target", required=True)
+    job.add_argument("--date", action="append", default=[], help="a closed date; all dates if none is given")
+
     job = jobs.add_parser("payloads", help="landed position payloads → keyed JSON records")
     job.add_argument("--payloads", required=True, help="Parquet of (line, payload)")
     job.add_argument("--out", required=True)
@@ -98,6 +103,9 @@ def main(argv: list[str] | None = None) -> None:
         bronze.backfill(spark.read.parquet(args.raw), args.log, args.current, args.run_id)
     elif args.job == "compact":
         bronze.compact_current(spark, args.source, args.target)
+    elif args.job == "compact-log":
+        dates = spark.createDataFrame([(d,) for d in args.date], "dt STRING") if args.date else None
+        bronze.compact_log(spark, args.source, args.target, dates)
     elif args.job == "payloads":
         medallion.events_from_payloads(spark.read.parquet(args.payloads)).write.parquet(args.out)
     elif args.job == "delay":

@@ -17,7 +17,8 @@ ARRIVAL_FIELDS = ("line", "train_no", "statn_id", "statn_nm", "statn_tnm", "updn
 ARRIVAL_KEY = ("line", "train_no", "statn_id", "arrival_ts")
 
 
-def _timed(log: DataFrame) -> DataFrame:
+def timed_positions(log: DataFrame) -> DataFrame:
+    """Positions that can be arrivals: with a station and a readable receive time, whose date is ``dt``."""
     rows = valid_positions(log).filter(F.col("recptn_ts").isNotNull())
     return rows.withColumn("dt", date_text("recptn_ts"))
 
@@ -41,7 +42,7 @@ def extract_arrivals(
     ``tie`` orders equal receive times. ``extra`` carries further log columns (``direct_at``).
     ``seed`` holds earlier arrivals that say where trains were before ``log`` begins; they are not returned.
     """
-    rows = _timed(log).select(
+    rows = timed_positions(log).select(
         *dict.fromkeys([*ARRIVAL_FIELDS, *extra, *tie, "recptn_ts", "dt"])
     )
     if seed is not None:
@@ -75,7 +76,7 @@ def arrival_runs(
 ) -> DataFrame:
     """The pattern form of :func:`extract_arrivals`: one row per stay, with its last poll and length."""
     return match_runs(
-        _timed(log),
+        timed_positions(log),
         keys,
         ("recptn_ts", *tie),
         "statn_id",

@@ -7,14 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from steadyline.functions.clock import wall_seconds
+from steadyline.functions.clock import date_text, wall_seconds
 from steadyline.functions.labels import (
     DIRECTION_CODES,
     day_type_col,
     direction_col,
     time_band_col,
 )
-from steadyline.operators.statistics import discrete_quantiles, spread
+from steadyline.operators.statistics import (
+    added_counts,
+    discrete_quantiles,
+    spread,
+    spread_of_counts,
+    value_counts,
+)
 
 # Grain of the regularity mart and the default cutoffs.
 GRAIN = ("line", "statn_id", "direction", "time_band", "day_type")
@@ -110,7 +116,25 @@ def headway_mart(
     """
     grain = [*GRAIN, *extra_keys]
     rows = _complete(headways(arrivals, max_headway_sec, extra_keys), grain)
-    stats = spread(rows, grain, "headway_sec", label="statn_nm", ratio=ratio)
+    return _mart(value_counts(rows, grain, "headway_sec", "statn_nm"), ratio, extra_keys)
+
+
+def headway_counts(
+    arrivals: DataFrame, max_headway_sec: int = MAX_HEADWAY_SEC, extra_keys: Sequence[str] = ()
+) -> DataFrame:
+    """How often each headway occurs per date of the later arrival and group: counts of dates add up to a mart."""
+    grain = [*GRAIN, *extra_keys]
+    rows = _complete(headways(arrivals, max_headway_sec, extra_keys), grain)
+    return value_counts(rows.withColumn("dt", date_text("arrival_ts")), ["dt", *grain], "headway_sec", "statn_nm")
+
+
+def mart_of_counts(counts: DataFrame, ratio: float = 1.5, extra_keys: Sequence[str] = ()) -> DataFrame:
+    """The regularity mart of :func:`headway_mart` from the counts of its dates."""
+    return _mart(added_counts(counts, [*GRAIN, *extra_keys], "headway_sec", "statn_nm"), ratio, extra_keys)
+
+
+def _mart(counts: DataFrame, ratio: float, extra_keys: Sequence[str]) -> DataFrame:
+    stats = spread_of_counts(counts, [*GRAIN, *extra_keys], "headway_sec", label="statn_nm", ratio=ratio)
     return stats.select(
         "line",
         "statn_id",

@@ -53,8 +53,21 @@ def spread(
     null for a single row.
     """
     labels = (label,) if label is not None else ()
+    return spread_of_counts(value_counts(df, keys, value, *labels), keys, value, label, ratio)
+
+
+def added_counts(counts: DataFrame, keys: Sequence[str], value: str, *labels: str) -> DataFrame:
+    """One row per (keys, labels, value) from counts of several parts."""
+    return counts.groupBy(*keys, *labels, value).agg(F.sum("_n").alias("_n"))
+
+
+def spread_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str, label: str | None = None, ratio: float = 1.5
+) -> DataFrame:
+    """:func:`spread` from :func:`value_counts`."""
+    labels = (label,) if label is not None else ()
     group = Window.partitionBy(*keys)
-    rows = _ranked(value_counts(df, keys, value, *labels), keys, value).select(
+    rows = _ranked(counts, keys, value).select(
         "*",
         (F.sum(F.col("_n") * F.col(value)).over(group) / F.col("_total")).alias("_mean"),
         _at_rank(value, 0.5).over(group).alias("_p50"),

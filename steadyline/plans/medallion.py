@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from steadyline.operators.arrivals import ARRIVAL_FIELDS, extract_arrivals
 from steadyline.operators.delay import (
     arrival_delay,
     delay_by_station,
@@ -18,14 +15,20 @@ from steadyline.operators.events import normalize_events
 from steadyline.operators.freshness import coverage, freshness_mart, gap_summary
 from steadyline.operators.headways import MAX_HEADWAY_SEC, headway_mart
 from steadyline.operators.serving import top_unstable
+from steadyline.plans.incremental import STORED_ARRIVALS, between_dates, build_arrivals
 from steadyline.sources.payloads import parse_position_payloads, to_keyed_json
-from steadyline.sources.tables import read_arrivals, save_mart, write_arrivals
-
+from steadyline.sources.tables import read_arrivals, save_mart
 
-STORED_ARRIVALS = (
-    "line STRING, train_no STRING, statn_id STRING, statn_nm STRING, statn_tnm STRING, "
-    "updn_line STRING, direct_at STRING, seq BIGINT, arrival_ts TIMESTAMP_NTZ, dt STRING"
-)
+__all__ = [
+    "STORED_ARRIVALS",
+    "between_dates",
+    "build_arrivals",
+    "build_delay_tables",
+    "build_freshness_mart",
+    "build_headway_mart",
+    "events_from_payloads",
+    "stored_arrivals",
+]
 
 
 def stored_arrivals(spark: SparkSession, path: str) -> DataFrame:
@@ -33,47 +36,6 @@ def stored_arrivals(spark: SparkSession, path: str) -> DataFrame:
     return read_arrivals(spark, path, STORED_ARRIVALS)
 
 
-def between_dates(df: DataFrame, dt_from: str | None = None, dt_to: str | None = None) -> DataFrame:
-    """Restrict a ``dt``-partitioned table to a range of dates, pruning its partitions."""
-    if dt_from is not None:
-        df = df.filter(F.col("dt") >= dt_from)
-    if dt_to is not None:
-        df = df.filter(F.col("dt") <= dt_to)
-    return df
-
-
-def _last_known(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each train's last stored arrival: where it was when the range begins."""
-    rest = [c for c in stored.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct("arrival_ts", "seq"))
-    return stored.groupBy(*keys).agg(last.alias("_row")).select(*keys, "_row.*")
-
-
-def build_arrivals(
-    log: DataFrame,
-    path: str,
-    keys: Sequence[str] = ("train_no",),
-    extra: Sequence[str] = (),
-    dt_from: str | None = None,
-    dt_to: str | None = None,
-) -> None:
-    """Recover arrivals from the log and store them by date, as one run over the whole log would.
-
-    By default the whole log is used and the table replaced. With ``dt_from`` only that part of the log is
-    read; where each train was before is its last stored arrival, however long it was silent. The dates before
-    must be stored, by a run with the same ``keys`` and ``extra``.
-    """
-    seed = None
-    if dt_from is not None and "dt" not in keys:
-        names = [*dict.fromkeys([*ARRIVAL_FIELDS, *extra, "seq", "arrival_ts", "dt"])]
-        kinds = dict(part.strip().split(" ") for part in STORED_ARRIVALS.split(","))
-        schema = ", ".join(f"{name} {kinds.get(name, 'STRING')}" for name in names)
-        stored = read_arrivals(log.sparkSession, path, schema)
-        seed = _last_known(between_dates(stored, None, dt_from).filter(F.col("dt") < dt_from), keys)
-    found = extract_arrivals(between_dates(log, dt_from, dt_to), keys, extra=extra, seed=seed)
-    write_arrivals(between_dates(found, dt_from, dt_to), path, dt_from=dt_from, dt_to=dt_to)
-
-
 def build_delay_tables(
     arrivals: DataFrame, timetable: DataFrame, names: dict[str, str], late_sec: int
 ) -> dict[str, DataFrame]:

@@ -533,3 +533,8 @@ ORACLE: dict[str, str] = {
     "bronze_batch_log": _with(f"SELECT {_FIELDS}, raw_json, seq, dt FROM records", ("records",)),
     "bronze_batch_current": _with(f"SELECT {_FIELDS}, raw_json, seq FROM latest", ("latest",)),
 }
+# What is kept by date adds up to what a run over everything gives.
+ORACLE |= {
+    f"{name}_incremental": ORACLE[name]
+    for name in ("headway_mart", "freshness_mart", "coverage", "gap_summary")
+}

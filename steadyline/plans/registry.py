@@ -14,7 +14,7 @@ from steadyline.functions.identity import event_id_col, text_date_col
 from steadyline.operators import arrivals as arr
 from steadyline.operators import delay, events, freshness, serving
 from steadyline.operators import headways as hw
-from steadyline.plans import adapter, medallion
+from steadyline.plans import adapter, marts, medallion
 from steadyline.plans.adapter import LATE_SEC, WIDE_CUTOFF_SEC
 from steadyline.session import shared_folder
 from steadyline.sources import payloads, tables
@@ -193,16 +193,66 @@ def _(spark, sf):
     return spark.read.csv(f"{out}/log", header=True, escape='"').select(*names)
 
 
+# Rows of these days that come late: a third of them, and the days that are built again for them.
+_LATE_DAYS = ("2024-01-05", "2024-01-08")
+
+
+def _dated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The log with its dates, without the late rows and with them."""
+    log = adapter.positions(spark, sf).withColumn("dt", text_date_col())
+    late = F.col("dt").between(*_LATE_DAYS) & (F.col("seq") % 3 == 0)
+    return log.filter(~F.coalesce(late, F.lit(False))), log
+
+
 @_query("arrivals_incremental")
 def _(spark, sf):
+    """The days of late rows are built again, then the last days."""
     path = shared_folder(spark, "arrivals")
-    log = adapter.positions(spark, sf).withColumn("dt", text_date_col())
-    medallion.build_arrivals(log, path)
-    for dt_from in ("2024-01-11", "2024-01-21"):  # later parts again
-        medallion.build_arrivals(log, path, dt_from=dt_from)
+    early, log = _dated(spark, sf)
+    medallion.build_arrivals(early, path)
+    medallion.build_arrivals(log, path, dt_from=_LATE_DAYS[0], dt_to=_LATE_DAYS[1])
+    medallion.build_arrivals(log, path, dt_from="2024-01-25")
     return tables.read_arrivals(spark, path, arr.extract_arrivals(log).schema)
 
 
+@_query("headway_mart_incremental")
+def _(spark, sf):
+    """Counts by date; the dates that late rows changed are counted again and the mart is added up."""
+    path, counts = shared_folder(spark, "arrivals"), shared_folder(spark, "headway-counts")
+    early, log = _dated(spark, sf)
+    medallion.build_arrivals(early, path, extra=("direct_at",))
+    arrivals = medallion.stored_arrivals(spark, path)
+    marts.build_headway_counts(arrivals, counts, WIDE_CUTOFF_SEC)
+    dates = medallion.build_arrivals(log, path, extra=("direct_at",), dt_from=_LATE_DAYS[0], dt_to=_LATE_DAYS[1])
+    marts.build_headway_counts(medallion.stored_arrivals(spark, path), counts, WIDE_CUTOFF_SEC, dates=dates)
+    return hw.mart_of_counts(marts.stored_headway_counts(spark, counts))
+
+
+def _freshness_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored parts of the freshness mart, some dates of which were built again for late rows."""
+    path = shared_folder(spark, "freshness-parts")
+    early, log = _dated(spark, sf)
+    marts.build_freshness_parts(early, path)
+    days = [f"2024-01-{day:02}" for day in range(5, 9)]
+    marts.build_freshness_parts(log, path, dates=days)
+    return marts.stored_freshness_parts(spark, path)
+
+
+@_query("freshness_mart_incremental")
+def _(spark, sf):
+    return freshness.mart_of_parts(_freshness_parts(spark, sf))
+
+
+@_query("coverage_incremental")
+def _(spark, sf):
+    return freshness.coverage_of_days(marts.freshness_days(_freshness_parts(spark, sf)))
+
+
+@_query("gap_summary_incremental")
+def _(spark, sf):
+    return freshness.gaps_of_days(marts.freshness_days(_freshness_parts(spark, sf)))
+
+
 @_query("table_scan_count")
 def _(spark, sf):
     view = _fresh("steadyline_log")
@@ -465,7 +515,10 @@ def _(spark, sf):
 
 @_query("dedup_ratio")
 def _(spark, sf):
-    log = _stamped(spark, sf)
+    """The records are parsed once, into the log; both layers are counted from there."""
+    path = shared_folder(spark, "log")
+    _stamped(spark, sf).drop("raw_json").write.parquet(path)
+    log = spark.read.parquet(path)
     return events.layer_counts(log, arr.extract_arrivals(log))
 
 
@@ -476,7 +529,10 @@ def _(spark, sf):
 
 @_query("heartbeat_pivot")
 def _(spark, sf):
-    return freshness.heartbeat(_freshness(spark, sf))
+    """The pivot looks at the mart twice, for its lines and for its cells, so it reads the stored mart."""
+    path = shared_folder(spark, "freshness")
+    _freshness(spark, sf).write.parquet(path)
+    return freshness.heartbeat(spark.read.parquet(path))
 
 
 @_query("express_split")

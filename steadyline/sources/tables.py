@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,21 +11,61 @@ from pyspark.sql import functions as F
 from steadyline.operators.arrivals import one_row_per_key
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where the data of a table lies."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {_quoted(name)}").filter("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
+def _mart_folder(spark: SparkSession, name: str) -> str:
+    """The folder for a mart's versions where none is given: below its namespace."""
+    namespace, _, table = name.rpartition(".")
+    at = spark.catalog.getDatabase(namespace or spark.catalog.currentDatabase()).locationUri
+    return f"{at.rstrip('/')}/{table}_versions"
+
+
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
 def save_mart(
     df: DataFrame, name: str, location: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
     """Create the namespace if missing, replace the whole table, and return it as stored.
 
-    Previews should read the returned table: the mart is computed once.
+    The new version is written beside the old one, below ``location``; then the table is pointed at it. A run that fails
+    while writing leaves the table as it was, and a mart may be made from the table it replaces. The version before stays for
+    readers that are not done, older ones are deleted. A table whose columns change is dropped and made again after
+    the write; catalogs other than the session's replace it themselves. Previews should read the returned
+    table: the mart is computed once.
     """
     spark = df.sparkSession
     namespace = name.rpartition(".")[0]
     if namespace:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
-    writer = df.write.mode("overwrite").format(fmt)
-    if location is not None:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    if namespace.count(".") and not namespace.startswith("spark_catalog."):
+        df.writeTo(name).using(fmt).createOrReplace()
+        return spark.table(name)
+    folder = location or _mart_folder(spark, name)
+    version = f"{folder}/v-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(version)
+    before = None
+    if spark.catalog.tableExists(name):
+        before = _location(spark, name)
+        if _columns(spark.table(name)) == _columns(df):
+            spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{version}'")
+        else:
+            spark.sql(f"DROP TABLE {_quoted(name)}")
+            before = None
+    if before is None:
+        spark.catalog.createTable(name, path=version, source=fmt, schema=df.schema)
+    spark.catalog.refreshTable(name)
+    kept = {version.rpartition("/v-")[2], (before or "").rpartition("/v-")[2]}
+    remove_folders(spark, [f"{folder}/v-{v}" for v in folders(spark, folder, "v-") - kept])
     return spark.table(name)
 
 
@@ -40,45 +81,45 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {namespace}")
 
 
-def write_arrivals(
-    arrivals: DataFrame,
-    path: str,
-    tie: tuple[str, ...] = ("seq",),
-    dt_from: str | None = None,
-    dt_to: str | None = None,
-) -> None:
-    """Store arrivals by date, one row per key.
+def _hadoop(spark: SparkSession, path: str):
+    """The path and the file system it is on."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    Without a range the whole table is replaced. With one its dates are replaced: those without arrivals
-    now are cleared, others stay. The rebalance hint sizes the files of a date and splits a large one.
+
+def folders(spark: SparkSession, path: str, prefix: str) -> set[str]:
+    """What follows ``prefix`` in the names of the folders below ``path``; none where it does not exist."""
+    at, files = _hadoop(spark, path)
+    if not files.exists(at):
+        return set()
+    names = [s.getPath().getName() for s in files.listStatus(at)]
+    return {name[len(prefix):] for name in names if name.startswith(prefix)}
+
+
+def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        at, files = _hadoop(spark, path)
+        files.delete(at, True)
+
+
+def write_arrivals(arrivals: DataFrame, path: str, tie: tuple[str, ...] = ("seq",)) -> None:
+    """Replace the whole table: arrivals by date, one row per key.
+
+    The rebalance hint sizes the files of a date and splits a large one.
     """
-    ranged = dt_from is not None or dt_to is not None
+    one_row_per_key(arrivals, tie).hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(path)
+
+
+def replace_dates(rows: DataFrame, path: str, emptied: Iterable[str] = ()) -> None:
+    """Replace the dates of ``rows`` and clear those in ``emptied``; other dates stay."""
     (
-        one_row_per_key(arrivals, tie)
-        .hint("rebalance", "dt")
+        rows.hint("rebalance", "dt")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if ranged else "static")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
         .parquet(path)
     )
-    if ranged:
-        _clear_dates(arrivals, path, dt_from, dt_to)
-
-
-def _clear_dates(kept: DataFrame, path: str, dt_from: str | None, dt_to: str | None) -> None:
-    """Remove the folders of dates in the range that ``kept`` has no row of."""
-    spark = kept.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    stored = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("dt=")]
-    within = [
-        p for p in stored
-        if (dt_from is None or p.getName()[3:] >= dt_from) and (dt_to is None or p.getName()[3:] <= dt_to)
-    ]
-    wanted = {r.dt for r in kept.select("dt").distinct().collect()}  # at most the dates of the range
-    for folder in within:
-        if folder.getName()[3:] not in wanted:
-            files.delete(folder, True)
+    remove_folders(rows.sparkSession, [f"{path}/dt={date}" for date in emptied])
 
 
 def read_arrivals(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -45,8 +45,10 @@ def read_events(
 
 
 def _write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+    """The rebalance hint deals the rows by date first: a date's rows become one file, or several full ones."""
     (
-        rows.withColumn("run_id", F.lit(run_id))
+        rows.hint("rebalance", "dt")
+        .withColumn("run_id", F.lit(run_id))
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -104,6 +106,23 @@ def compact_current(
     )
 
 
+def compact_log(spark: SparkSession, source: str, target: str, dates: DataFrame | None = None) -> None:
+    """Write the log's rows of closed dates (all by default) to ``target``, a folder of its own, in full files.
+
+    Batches are put together: run and batch become ``compacted`` and 0. The source is not touched, so a run that fails loses nothing. Swapping the
+    folders is the caller's.
+    """
+    rows = _of_dates(read_position_log(spark, source), dates)
+    (
+        rows.drop("run_id", "batch_id")
+        .hint("rebalance", "dt")
+        .withColumn("run_id", F.lit("compacted"))
+        .withColumn("batch_id", F.lit(0).cast("long"))
+        .write.partitionBy("dt", "run_id", "batch_id")
+        .parquet(target)
+    )
+
+
 def _run_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that the engine keeps with a checkpoint; a fresh checkpoint has a fresh one."""
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
@@ -149,5 +168,5 @@ def backfill(raw: DataFrame, log_path: str, current_path: str, run_id: str = "ba
     if "seq" not in raw.columns:
         raw = raw.withColumn("seq", F.lit(None).cast("long"))
     rows = bronze_log(raw)
-    write_position_log(rows.hint("rebalance", "dt"), 0, log_path, run_id)
+    write_position_log(rows, 0, log_path, run_id)
     upsert_current(rows, current_path, 0, run_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import re
 
 import pytest
@@ -10,7 +11,7 @@ from steadyline.operators.arrivals import extract_arrivals, section_traversal
 from steadyline.operators.events import bronze_log, latest_per_key
 from steadyline.operators.freshness import freshness_mart
 from steadyline.operators.headways import headway_mart, headways
-from steadyline.plans import adapter, medallion
+from steadyline.plans import adapter, incremental, marts, medallion
 from steadyline.plans.registry import QUERIES
 from steadyline.sources import tables
 from steadyline.streaming import bronze
@@ -64,6 +65,17 @@ def test_mart_has_no_join(stored):
     assert "train_no" not in read and "statn_tnm" not in read
 
 
+def test_a_range_starts_from_one_snapshot(spark, log, tmp_path):
+    path = str(tmp_path / "arrivals")
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_to="2024-01-20")
+    assert incremental.snapshot_dates(spark, path) == ["2024-01-20"]
+    schema = incremental.arrival_schema(("direct_at",))
+    plan = plan_of(incremental.state_before(spark, path, schema, ("train_no",), "2024-01-21"))
+    pruned = next(p for p in re.findall(r"PartitionFilters: (.*)", plan) if "dt" in p)
+    assert "> 2024-01-20" in pruned and "< 2024-01-21" in pruned  # no stored date lies between
+    assert "as_of=2024-01-20" in plan
+
+
 def test_freshness_reduces_before_shuffling(log):
     plan = plan_of(freshness_mart(log))
     assert "partial_count" in plan and "Window" not in plan
@@ -95,6 +107,24 @@ def test_traversal_moves_rows_once(stored):
     assert len(exchanges(plan_of(section_traversal(stored)))) == 1
 
 
-def test_layer_counts_read_the_log_twice_at_most(spark):
+def test_layer_counts_parse_no_text_again(spark):
+    """The records were parsed once, into the stored log that is counted."""
     plan = plan_of(QUERIES["dedup_ratio"](spark, SF))
-    assert plan.count("from_json(StructField(event_id") == 2
+    assert "from_json" not in plan
+    assert all("raw_json" not in read for read in re.findall(r"ReadSchema: (.*)", plan))
+
+
+def test_gaps_split_lines_by_day(spark):
+    moved = exchanges(plan_of(QUERIES["minute_gaps"](spark, SF)))
+    assert not [m for m in moved if re.fullmatch(r"line#\d+", m)]
+
+
+def test_refreshed_counts_read_the_dates_concerned(spark, stored, tmp_path):
+    path = str(tmp_path / "counts")
+    marts.build_headway_counts(stored, path)
+    before = {d: glob.glob(f"{path}/dt={d}/*.parquet") for d in ("2024-01-04", "2024-01-05", "2024-01-06", "2024-01-07")}
+    marts.build_headway_counts(stored, path, dates=["2024-01-05"])
+    after = {d: glob.glob(f"{path}/dt={d}/*.parquet") for d in before}
+    assert [d for d in before if before[d] != after[d]] == ["2024-01-05", "2024-01-06"]
+    plan = plan_of(marts.stored_headway_counts(spark, path))
+    assert "Exchange" not in plan

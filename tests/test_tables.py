@@ -5,15 +5,18 @@ from __future__ import annotations
 import glob
 import json
 import os
+import random
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from steadyline.__main__ import main
 from steadyline.operators.arrivals import extract_arrivals
 from steadyline.operators.events import bronze_current, bronze_log
+from steadyline.operators import freshness, headways
 from steadyline.operators.freshness import heartbeat
-from steadyline.plans import medallion
+from steadyline.plans import incremental, marts, medallion
 from steadyline.sources import tables
 from steadyline.sources.payloads import TIMETABLE_COLUMNS
 from steadyline.sources.timetable_csv import read_timetable, write_timetable
@@ -204,6 +207,81 @@ def test_arrivals_rerun_and_date_range(spark, tmp_path):
     assert {(r.statn_id, r.dt) for r in medallion.stored_arrivals(spark, path).collect()} == want
 
 
+def _stored_rows(spark, path):
+    return sorted(map(tuple, medallion.stored_arrivals(spark, path).collect()))
+
+
+def test_closed_range_drops_a_false_arrival(spark, tmp_path):
+    """A late stop at B on the 2nd makes the B of the 3rd no arrival."""
+    path = str(tmp_path / "arrivals")
+    rows = [record(1, "T", "A", "2024-01-01 08:00:00"), record(2, "T", "A", "2024-01-02 08:00:00"),
+            record(3, "T", "B", "2024-01-03 08:00:00")]
+    medallion.build_arrivals(_polled(spark, rows), path, extra=("direct_at",))
+    log = _polled(spark, [*rows, record(4, "T", "B", "2024-01-02 09:00:00")])
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_from="2024-01-02", dt_to="2024-01-02")
+    assert [(r[2], r[-1]) for r in _stored_rows(spark, path)] == [("A", "2024-01-01"), ("B", "2024-01-02")]
+    assert not os.path.exists(f"{path}/dt=2024-01-03")
+
+
+def test_closed_range_restores_an_arrival(spark, tmp_path):
+    """A late stop at B on the 2nd makes the A of the 3rd an arrival, on a date that had none."""
+    path = str(tmp_path / "arrivals")
+    rows = [record(1, "T", "A", "2024-01-01 08:00:00"), record(2, "T", "A", "2024-01-03 08:00:00"),
+            record(3, "T", "C", "2024-01-05 08:00:00")]
+    medallion.build_arrivals(_polled(spark, rows), path, extra=("direct_at",))
+    log = _polled(spark, [*rows, record(4, "T", "B", "2024-01-02 09:00:00")])
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_from="2024-01-02", dt_to="2024-01-02")
+    assert [(r[2], r[-1]) for r in _stored_rows(spark, path)] == [
+        ("A", "2024-01-01"), ("A", "2024-01-03"), ("B", "2024-01-02"), ("C", "2024-01-05"),
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranges_equal_whole_runs(spark, tmp_path, seed):
+    """Random logs, parts of which come late; ranges of all kinds leave what a whole run gives."""
+    chance = random.Random(seed)
+    rows = []
+    for seq in range(160):
+        when = f"2024-01-{chance.randint(1, 8):02} {chance.choice((0, 8, 23)):02}:{chance.randint(0, 3):02}:00"
+        rows.append(record(seq, chance.choice(["T", "U", "V", "W", "X"]), chance.choice("AAB"), when))
+    days = sorted(chance.sample(range(1, 9), 2))
+    first, last = (f"2024-01-{d:02}" for d in days)
+    late = [first <= json.loads(v)["recptn_dt"][:10] <= last and chance.random() < 0.6 for _, v in rows]
+    path, whole = str(tmp_path / "arrivals"), str(tmp_path / "whole")
+    early = _polled(spark, [r for r, is_late in zip(rows, late, strict=True) if not is_late])
+    log = _polled(spark, rows)
+    medallion.build_arrivals(log, whole, extra=("direct_at",))
+    want = _stored_rows(spark, whole)
+    medallion.build_arrivals(early, path, extra=("direct_at",))
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_from=first, dt_to=last)
+    assert _stored_rows(spark, path) == want
+    assert incremental.snapshot_dates(spark, path) == sorted({last, max(want, key=lambda r: r[-1])[-1]})
+    medallion.build_arrivals(early, path, extra=("direct_at",))
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_to=last)
+    assert _stored_rows(spark, path) == want
+    medallion.build_arrivals(log, path, extra=("direct_at",), dt_from=first)
+    assert _stored_rows(spark, path) == want
+
+
+def test_dates_that_were_never_built_stay_absent(spark, tmp_path):
+    path = str(tmp_path / "arrivals")
+    log = _polled(spark, [record(n, "T", "ABC"[n], f"2024-01-0{n + 1} 08:00:00") for n in range(3)])
+    for day in ("2024-01-01", "2024-01-02"):
+        medallion.build_arrivals(log, path, extra=("direct_at",), dt_from=day, dt_to=day)
+    assert [r[2] for r in _stored_rows(spark, path)] == ["A", "B"]
+
+
+def test_a_failing_range_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "arrivals")
+    rows = [record(1, "T", "A", "2024-01-01 08:00:00"), record(2, "T", "B", "2024-01-02 08:00:00")]
+    medallion.build_arrivals(_polled(spark, rows), path, extra=("direct_at",))
+    want = _stored_rows(spark, path)
+    broken = _polled(spark, rows).withColumn("direct_at", F.raise_error(F.lit("unreadable")))
+    with pytest.raises(Exception, match="unreadable"):
+        medallion.build_arrivals(broken, path, extra=("direct_at",), dt_from="2024-01-02")
+    assert _stored_rows(spark, path) == want
+
+
 def test_same_second_return_is_one_key(spark, tmp_path):
     when = "2024-01-01 08:00:00"
     log = bronze_log(raw(spark, [record(i, "T", s, when) for i, s in enumerate("ABA")]))
@@ -214,6 +292,93 @@ def test_same_second_return_is_one_key(spark, tmp_path):
     assert {(r.statn_id, r.seq) for r in stored.collect()} == {("A", 2), ("B", 1)}
 
 
+def _files(path):
+    return {d: len(glob.glob(f"{path}/{d}/**/*.parquet", recursive=True)) for d in os.listdir(path) if d.startswith("dt=")}
+
+
+def test_a_batch_writes_one_file_a_date(spark, tmp_path):
+    rows = [record(n, f"T{n}", "A", f"2024-01-0{n % 3 + 1} 08:00:00") for n in range(60)]
+    log, current = str(tmp_path / "log"), str(tmp_path / "current")
+    batch = bronze_log(raw(spark, rows).repartition(8))
+    bronze.write_position_log(batch, 0, log)
+    bronze.upsert_current(batch, current)
+    assert set(_files(log).values()) == set(_files(current).values()) == {1}
+
+
+def test_compacted_log_has_one_file_a_date(spark, tmp_path):
+    path, target = str(tmp_path / "log"), str(tmp_path / "compacted")
+    for batch in range(5):
+        rows = [record(10 * batch + n, "T", "AB"[n % 2], f"2024-01-0{n % 2 + 1} 08:00:{n:02}") for n in range(6)]
+        bronze.write_position_log(bronze_log(raw(spark, rows)), batch, path)
+    assert set(_files(path).values()) == {5}
+    bronze.compact_log(spark, path, target, spark.createDataFrame([("2024-01-01",)], "dt STRING"))
+    assert _files(target) == {"dt=2024-01-01": 1}
+    main(["compact-log", "--source", path, "--target", target + "-all"])
+    assert set(_files(target + "-all").values()) == {1}
+
+    def content(at):
+        return sorted((r.seq, r.raw_json, r.dt) for r in bronze.read_position_log(spark, at).collect())
+
+    assert content(target + "-all") == content(path)
+    assert content(target) == [r for r in content(path) if r[2] == "2024-01-01"]
+
+
+def test_a_failing_refresh_leaves_the_mart(spark, tmp_path):
+    name, at = "gold_switch.mart", str(tmp_path / "mart")
+    first = tables.save_mart(spark.createDataFrame([(1, "a")], "n INT, t STRING"), name, at)
+    assert [tuple(r) for r in first.collect()] == [(1, "a")]
+    broken = spark.createDataFrame([(2, "b")], "n INT, t STRING").withColumn("t", F.raise_error(F.lit("no mart")).cast("string"))
+    with pytest.raises(Exception, match="no mart"):
+        tables.save_mart(broken, name, at)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
+    # A mart made from itself, twice: two versions stay.
+    for _ in range(3):
+        tables.save_mart(spark.table(name).withColumn("n", F.col("n") + 1), name, at)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(4, "a")]
+    assert len([d for d in os.listdir(at) if d.startswith("v-") and glob.glob(f"{at}/{d}/*.parquet")]) == 2
+    wider = tables.save_mart(spark.createDataFrame([(5, "a", 1.0)], "n INT, t STRING, x DOUBLE"), name, at)
+    assert [tuple(r) for r in wider.collect()] == [(5, "a", 1.0)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_parts_by_date_add_up_to_the_marts(spark, tmp_path, seed):
+    """Late rows in some dates; arrivals, headway counts and freshness parts are refreshed for these alone."""
+    chance = random.Random(seed)
+    rows = []
+    for seq in range(300):
+        when = f"2024-01-{chance.randint(1, 6):02} {chance.choice((0, 8, 23)):02}:{chance.randint(0, 59):02}:{chance.randint(0, 59):02}"
+        rows.append(record(seq, chance.choice("TUVWX"), chance.choice("ABC"), chance.choice([when] * 12 + ["bad-time", ""])))
+    late = [json.loads(v)["recptn_dt"][:10] in ("2024-01-03", "2024-01-04", "bad-time") and chance.random() < 0.5 for _, v in rows]
+    early, log = _polled(spark, [r for r, is_late in zip(rows, late, strict=True) if not is_late]), _polled(spark, rows)
+    paths = {name: str(tmp_path / name) for name in ("arrivals", "counts", "parts")}
+    cutoff = 43_200
+    medallion.build_arrivals(early, paths["arrivals"], extra=("direct_at",))
+    marts.build_headway_counts(medallion.stored_arrivals(spark, paths["arrivals"]), paths["counts"], cutoff)
+    marts.build_freshness_parts(early, paths["parts"])
+    dates = medallion.build_arrivals(log, paths["arrivals"], extra=("direct_at",), dt_from="2024-01-03", dt_to="2024-01-04")
+    assert set(dates) >= {"2024-01-03", "2024-01-04"}
+    arrivals = medallion.stored_arrivals(spark, paths["arrivals"])
+    marts.build_headway_counts(arrivals, paths["counts"], cutoff, dates=dates)
+    marts.build_freshness_parts(log, paths["parts"], dates=["2024-01-03", "2024-01-04"])
+
+    def values(df):
+        return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+
+    counts = marts.stored_headway_counts(spark, paths["counts"])
+    assert values(headways.mart_of_counts(counts)) == values(headways.headway_mart(extract_arrivals(log), cutoff))
+    parts, whole = marts.stored_freshness_parts(spark, paths["parts"]), freshness.freshness_mart(log)
+
+    def minutes(df):  # the two logs are stamped at different times
+        return values(df.drop("ingest_lag_avg_sec"))
+
+    assert minutes(freshness.mart_of_parts(parts)) == minutes(whole)
+    days = marts.freshness_days(parts)
+    assert values(freshness.coverage_of_days(days)) == values(freshness.coverage(whole))
+    assert values(freshness.gaps_of_days(days)) == values(freshness.gap_summary(whole))
+    by_extra = headways.mart_of_counts(headways.headway_counts(arrivals, cutoff, ("direct_at",)), extra_keys=("direct_at",))
+    assert values(by_extra) == values(headways.headway_mart(arrivals, cutoff, extra_keys=("direct_at",)))
+
+
 def test_marts_are_replaced(spark, tmp_path):
     log = bronze_log(raw(spark, DAY1 + DAY2))
     for _run in range(2):
