@@ -7,6 +7,9 @@ run can reach it. The state table keeps every batch's latest rows; readers take
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -66,17 +69,52 @@ def read_position_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
+@contextmanager
+def _held(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows that are looked at several times; they are kept for that time unless the caller keeps them."""
+    if rows.storageLevel.useMemory or rows.storageLevel.useDisk:
+        yield rows
+        return
+    rows = rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def upsert_current(
     batch: DataFrame, path: str, batch_id: int = 0, run_id: str = "batch", key: str = "event_id"
 ) -> None:
-    """Bring the state table up to the batch: its latest row of each key joins the stored versions."""
-    _write_batch(latest_per_key(batch, key, _VERSION), path, run_id, batch_id)
+    """Bring the state table up to the batch: its latest row of each key joins the stored versions.
+
+    Keys are counted on their own; only rows of keys that the batch has several times are compared.
+    """
+    with _held(batch) as rows:
+        several = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+        single = rows.join(several, key, "left_anti")
+        latest = latest_per_key(rows.join(several, key, "left_semi"), key, _VERSION)
+        _write_batch(single.unionByName(latest), path, run_id, batch_id)
+
+
+def latest_stored(stored: DataFrame, key: str = "event_id", version: Sequence[str] = _VERSION) -> DataFrame:
+    """Of a Parquet table the last row of each key, whole rows being read once and last.
+
+    Keys, versions and the rows' places tell which rows are superseded; these are left out of the scan of
+    whole rows. A table without superseded rows is read as it is.
+    """
+    place = {"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.row_index")}
+    rows = stored.withColumns(place)
+    narrow = rows.select(key, *version, *place)
+    several = narrow.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+    versions = narrow.join(several, key, "left_semi").select(key, F.struct(*version, *place).alias("_row"))
+    last = versions.groupBy(key).agg(F.max("_row").alias("_last"))
+    older = versions.join(last, key).filter("_row <> _last").select("_row._file", "_row._at")
+    return rows.join(older.hint("shuffle_hash"), list(place), "left_anti").drop(*place).select(*stored.columns)
 
 
 def read_current(spark: SparkSession, path: str, key: str = "event_id") -> DataFrame:
     """The state table: one row per key, the last arrival."""
-    stored = spark.read.schema(CURRENT_SCHEMA).parquet(path)
-    return latest_per_key(stored, key, _VERSION).drop("dt", "run_id", "batch_id")
+    return latest_stored(spark.read.schema(CURRENT_SCHEMA).parquet(path), key).drop("dt", "run_id", "batch_id")
 
 
 def _of_dates(rows: DataFrame, dates: DataFrame | None) -> DataFrame:
@@ -95,8 +133,7 @@ def compact_current(
     Neither the state table nor the log is touched (the source may be a log: that rebuilds the state), so
     a run that fails loses nothing. A key fixes its date, so dates can be done apart.
     """
-    rows = _of_dates(spark.read.schema(CURRENT_SCHEMA).parquet(source), dates)
-    latest = latest_per_key(rows.drop("run_id", "batch_id"), key, _VERSION)
+    latest = _of_dates(latest_stored(spark.read.schema(CURRENT_SCHEMA).parquet(source), key), dates)
     (
         latest.withColumn("run_id", F.lit("compacted"))
         .withColumn("batch_id", F.lit(0).cast("long"))

@@ -87,6 +87,18 @@ def test_latest_row_reduces_before_shuffling(log):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
+def test_current_state_sorts_and_aggregates_no_raw_text(spark, tmp_path):
+    path = str(tmp_path / "current")
+    bronze.upsert_current(bronze_log(adapter.raw_records(spark, SF)), path)
+    plan = plan_of(bronze.read_current(spark, path))
+    steps = re.split(r"\n\n", plan)
+    for step in steps:
+        if re.match(r"\(\d+\) (SortAggregate|ObjectHashAggregate|HashAggregate|Sort)\b", step):
+            assert "raw_json" not in step
+    narrow = [r for r in re.findall(r"ReadSchema: (.*)", plan) if "raw_json" not in r]
+    assert narrow and plan.count("raw_json:string") == 1  # whole rows are scanned once
+
+
 def test_raw_text_is_parsed_once(spark):
     log = bronze_log(adapter.raw_records(spark, SF))
     plan = plan_of(extract_arrivals(log))

@@ -292,7 +292,7 @@ def test_same_second_return_is_one_key(spark, tmp_path):
     assert {(r.statn_id, r.seq) for r in stored.collect()} == {("A", 2), ("B", 1)}
 
 
-def _files(path):
+def _file_counts(path):
     return {d: len(glob.glob(f"{path}/{d}/**/*.parquet", recursive=True)) for d in os.listdir(path) if d.startswith("dt=")}
 
 
@@ -302,7 +302,7 @@ def test_a_batch_writes_one_file_a_date(spark, tmp_path):
     batch = bronze_log(raw(spark, rows).repartition(8))
     bronze.write_position_log(batch, 0, log)
     bronze.upsert_current(batch, current)
-    assert set(_files(log).values()) == set(_files(current).values()) == {1}
+    assert set(_file_counts(log).values()) == set(_file_counts(current).values()) == {1}
 
 
 def test_compacted_log_has_one_file_a_date(spark, tmp_path):
@@ -310,11 +310,11 @@ def test_compacted_log_has_one_file_a_date(spark, tmp_path):
     for batch in range(5):
         rows = [record(10 * batch + n, "T", "AB"[n % 2], f"2024-01-0{n % 2 + 1} 08:00:{n:02}") for n in range(6)]
         bronze.write_position_log(bronze_log(raw(spark, rows)), batch, path)
-    assert set(_files(path).values()) == {5}
+    assert set(_file_counts(path).values()) == {5}
     bronze.compact_log(spark, path, target, spark.createDataFrame([("2024-01-01",)], "dt STRING"))
-    assert _files(target) == {"dt=2024-01-01": 1}
+    assert _file_counts(target) == {"dt=2024-01-01": 1}
     main(["compact-log", "--source", path, "--target", target + "-all"])
-    assert set(_files(target + "-all").values()) == {1}
+    assert set(_file_counts(target + "-all").values()) == {1}
 
     def content(at):
         return sorted((r.seq, r.raw_json, r.dt) for r in bronze.read_position_log(spark, at).collect())
@@ -379,6 +379,29 @@ def test_parts_by_date_add_up_to_the_marts(spark, tmp_path, seed):
     assert values(by_extra) == values(headways.headway_mart(arrivals, cutoff, extra_keys=("direct_at",)))
 
 
+def test_current_state_of_many_versions(spark, tmp_path):
+    """Versions within a batch and across batches and runs, equal ones included, against a plain loop."""
+    chance, path, want = random.Random(7), str(tmp_path / "current"), {}
+    for batch in range(4):
+        rows = [record(chance.randrange(400), chance.choice("TUV"), chance.choice("AB"), f"2024-01-0{chance.randint(1, 3)} 08:00:00",
+                       lstcar_at=str(chance.random())) for _ in range(40)]
+        rows += rows[:3]  # delivered twice
+        log = bronze_log(raw(spark, rows), F.lit(f"2024-02-0{batch + 1} 00:00:00").cast("timestamp"))
+        for run in ("first", "again") if batch == 2 else ("first",):
+            bronze.upsert_current(log, path, batch, run)
+        for seq, text in rows:
+            key = json.loads(text)["event_id"]
+            if key not in want or (seq, batch) >= want[key][:2]:
+                equal = want[key][2] if key in want and want[key][:2] == (seq, batch) else set()
+                want[key] = (seq, batch, equal | {text})
+    got = bronze.read_current(spark, path).collect()
+    assert len(got) == len(want) == len({r.event_id for r in got})
+    assert all(r.seq == want[r.event_id][0] and r.raw_json in want[r.event_id][2] for r in got)
+    bronze.compact_current(spark, path, str(tmp_path / "compacted"))
+    compacted = bronze.read_current(spark, str(tmp_path / "compacted")).collect()
+    assert sorted(map(str, compacted)) == sorted(map(str, got))
+
+
 def test_marts_are_replaced(spark, tmp_path):
     log = bronze_log(raw(spark, DAY1 + DAY2))
     for _run in range(2):
