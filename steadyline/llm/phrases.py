@@ -6,10 +6,10 @@ trigger, and equal passages fall into equal chunks wherever they stand. Distinct
 the dictionary: a passage that thousands of documents share is looked into once. An n-gram of up to four words belongs to the chunk
 in which it starts before the overlap, and lies within it; so each occurrence counts once, with the chunk's frequency.
 
-Counting takes three rounds over the dictionary. The first counts hashes of pairs; the second those of triples both of whose
-pairs are frequent; the last counts as texts, exactly, the words of frequent pairs, these pairs, frequent triples, and
-sequences of four words both of whose triples are frequent. What is frequent is told by bit tables of fixed size
-(``sieve``). Hashes and tables turn phrases away early, they never decide a count.
+Counting takes three rounds over the dictionary: words and pairs; triples both of whose pairs are frequent; sequences of four
+words both of whose triples are frequent. What is frequent is told by bit tables of fixed size (``sieve``), which
+turn phrases away early and never decide a count. A phrase is counted under two independent 64-bit
+hashes of its language and words, with one chunk that holds it; its text is read from that chunk in the end.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ OVERLAP = LONGEST - 1
 # One window in so many is a trigger; chunks without one end after so many tokens.
 EVERY = 64
 CHUNK = 4096
-# A task sends its counts on when it holds so many phrases.
-_HELD = 500_000
 # Phrases of a language are ranked in this many parts first.
 _PARTS = 256
 
@@ -107,7 +105,10 @@ def parse(texts: list[bytes]) -> Iterator[tuple[int, bytes, bool, int]]:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """(lang, chunk, last, words, times): the distinct chunks of all texts of a language and their frequencies."""
+    """(lang, chunk, last, words, times, number): the distinct chunks of all texts of a language and their frequencies.
+
+    Numbers hold once the dictionary is stored.
+    """
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -125,31 +126,28 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
     read = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     chunks = in_arrow(read, "lang string, chunk string, last boolean, words long", make)
-    return chunks.groupBy("lang", "chunk", "last", "words").agg(F.count(F.lit(1)).alias("times"))
+    distinct = chunks.groupBy("lang", "chunk", "last", "words").agg(F.count(F.lit(1)).alias("times"))
+    return distinct.withColumn("number", F.monotonically_increasing_id())
 
 
 class Grams:
-    """The n-grams of some chunks: hashes by place and length, and which places may start one."""
+    """The n-grams of some chunks: two hashes by place and length, and which places may start one."""
 
     def __init__(self, batch: pa.RecordBatch, longest: int, pairs: np.ndarray | None = None, triples: np.ndarray | None = None):
         words = Words([c.as_py().encode("utf-8", "surrogatepass") for c in batch.column("chunk")])
         self.words = words
         counts = words.counts
         self.chunk = np.repeat(np.arange(len(counts)), counts)
-        self.times = batch.column("times").to_numpy()[self.chunk]
-        self.langs = batch.column("lang").to_pylist()
-        seen: dict[str, int] = {}
-        language = np.array([seen.setdefault(x, len(seen)) for x in self.langs], np.int64)
-        self.language = language[self.chunk]
+        langs = batch.column("lang").to_pylist()
         left = np.repeat(words.starts()[1:], counts) - np.arange(len(self.chunk))  # tokens to the chunk's end
         last = batch.column("last").to_numpy(zero_copy_only=False)
         self.own = last[self.chunk] | (left > OVERLAP)
-        gram = np.array([xxhash.xxh64_intdigest(x) for x in seen], np.uint64)[self.language]
-        whole, word = np.ones(len(left), bool), _is_word(words)
-        self.hash, self.possible = [], []
+        gram, other = (np.array([xxhash.xxh64_intdigest(x, k) for x in langs], np.uint64)[self.chunk] for k in (0, 1))
+        whole, word, others = np.ones(len(left), bool), _is_word(words), words.others()
+        self.hash, self.other, self.possible = [], [], []
         for n in range(1, longest + 1):
             whole = whole & (left >= n) & _shifted(word, n - 1)
-            gram = joined(gram, _shifted(words.hashes, n - 1))
+            gram, other = joined(gram, _shifted(words.hashes, n - 1)), mixed(other + _shifted(others, n - 1))
             may = whole
             if n > 2:  # both parts of one word less
                 may = whole & self.possible[-1] & _shifted(self.possible[-1], 1)
@@ -159,17 +157,23 @@ class Grams:
                 at = np.flatnonzero(may)
                 may[at] = sieve.passes(table, gram[at])
             self.hash.append(gram)
+            self.other.append(other)
             self.possible.append(may)
 
     def places(self, n: int) -> np.ndarray:
         """Where possible n-grams of the chunks' own start."""
         return np.flatnonzero(self.possible[n - 1] & self.own)
 
-    def counts(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the possible n-grams, ascending, and their frequencies."""
+    def counts(self, n: int, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A place of each possible n-gram, its frequency, and its hash; ``times`` of each chunk."""
         at = self.places(n)
-        found, which = np.unique(self.hash[n - 1][at], return_inverse=True)
-        return found, np.bincount(which, self.times[at], len(found)).astype(np.int64)
+        hashes, first, which = np.unique(self.hash[n - 1][at], return_index=True, return_inverse=True)
+        other = self.other[n - 1][at]
+        alike = other == other[first][which]
+        f = np.bincount(which[alike], times[self.chunk[at[alike]]], len(first)).astype(np.int64)
+        # Phrases that share a first hash with another one are told place by place.
+        rest = at[~alike]
+        return np.concatenate([at[first], rest]), np.concatenate([f, times[self.chunk[rest]]]), np.concatenate([hashes, self.hash[n - 1][rest]])
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -177,121 +181,74 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(part.start, part.stop - part.start)
 
 
-def _pair_counts(chunks: DataFrame) -> DataFrame:
-    """(gram, f): how often each pair occurs, by hash."""
-
-    def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [Grams(part, 2).counts(2) for part in _parts(batch)] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-            grams, f = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(f)], ["gram", "f"])
-
-        return work
-
-    return in_arrow(chunks, "gram long, f long", make).groupBy("gram").agg(F.sum("f").alias("f"))
+_COUNTS = "size int, gram long, other long, f long, first long"
 
 
-def _triple_counts(chunks: DataFrame, pairs: Broadcast) -> DataFrame:
-    """(size, gram, f): how often each triple of frequent pairs occurs, and the words of frequent pairs, by hash."""
+def _counted(chunks: DataFrame, sizes: list[int], sent: list[Broadcast]) -> DataFrame:
+    """(size, gram, other, f, first): counts of the n-grams of these sizes that the tables of pairs and triples let through."""
 
     def make():
-        table = sieve.opened(pairs)
+        tables = [sieve.opened(t) for t in sent]
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sizes, hashes, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            found = [(np.zeros(0, np.int32), *[np.zeros(0, np.int64)] * 4)]
             for part in _parts(batch):
-                grams = Grams(part, 3, table)
-                pair = grams.possible[1]
-                in_pair = pair.copy()
-                in_pair[1:] |= pair[:-1]
-                words = np.unique(grams.hash[0][in_pair])
-                triples, f = grams.counts(3)
-                for size, found, times in ((1, words, np.ones(len(words), np.int64)), (3, triples, f)):
-                    sizes.append(np.full(len(found), size, np.int32))
-                    hashes.append(found)
-                    counts.append(times)
-            columns = [pa.array(np.concatenate(sizes)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(counts))]
-            return pa.RecordBatch.from_arrays(columns, ["size", "gram", "f"])
+                grams = Grams(part, sizes[-1], *tables)
+                times, numbers = part.column("times").to_numpy(), part.column("number").to_numpy()
+                for n in sizes:
+                    at, f, hashes = grams.counts(n, times)
+                    other = grams.other[n - 1][at].view(np.int64)
+                    found.append((np.full(len(at), n, np.int32), hashes.view(np.int64), other, f, numbers[grams.chunk[at]]))
+            columns = [pa.array(np.concatenate([row[k] for row in found])) for k in range(5)]
+            return pa.RecordBatch.from_arrays(columns, ["size", "gram", "other", "f", "first"])
 
         return work
 
-    return in_arrow(chunks, "size int, gram long, f long", make).groupBy("size", "gram").agg(F.sum("f").alias("f"))
+    counted = in_arrow(chunks.select("lang", "chunk", "last", "times", "number"), _COUNTS, make)
+    return counted.groupBy("size", "gram", "other").agg(F.sum("f").alias("f"), F.min("first").alias("first"))
+
+
+def read_grams(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(lang, phrase, size, f): the texts of the phrases that a chunk is asked for in ``grams``."""
+    langs, texts, sizes, counts = [], [], [], []
+    for part in _parts(batch):
+        grams = Grams(part, LONGEST)
+        lists = part.column("grams")
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        asked = lists.flatten()
+        size, gram, other, f = (asked.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+        own_langs = part.column("lang").to_pylist()
+        for n in range(1, LONGEST + 1):
+            mine = np.flatnonzero(size == n)
+            at = grams.places(n)
+
+            def keyed(chunk, a, b):
+                return joined(joined(mixed(chunk.astype(np.uint64)), a.view(np.uint64)), b.view(np.uint64))
+
+            there, first = np.unique(keyed(grams.chunk[at], grams.hash[n - 1][at], grams.other[n - 1][at]), return_index=True)
+            start = at[first[np.searchsorted(there, keyed(row[mine], gram[mine], other[mine]))]]
+            texts += grams.words.joined(start, n).to_pylist()
+            langs += [own_langs[k] for k in row[mine].tolist()]
+            sizes += [n] * len(mine)
+            counts += f[mine].tolist()
+    columns = [pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "f"])
 
 
-class PhraseCounts:
-    """Frequencies of phrases, added up over the chunks of a task.
+def frequent_phrases(chunks: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, size, f) of all phrases of one to four words that occur ``least`` times or more.
 
-    A phrase is known by two hashes of its words, 128 bits together, and its text is put together once.
+    ``chunks`` is a stored dictionary.
     """
-
-    def __init__(self):
-        self.places: dict[tuple[int, int], int] = {}
-        self.langs: list[str] = []
-        self.texts: list[bytes] = []
-        self.sizes: list[int] = []
-        self.totals = np.zeros(1024, np.int64)
-
-    def add(self, grams: Grams, n: int) -> None:
-        at = grams.places(n)
-        _, first, which = np.unique(grams.hash[n - 1][at], return_index=True, return_inverse=True)
-        ids, alike = grams.words.ids, grams.language[at] == grams.language[at[first]][which]
-        for k in range(n):
-            alike &= ids[at + k] == ids[at[first] + k][which]
-        f = np.bincount(which[alike], grams.times[at[alike]], len(first)).astype(np.int64)
-        # Places whose words are others than those of the hash's first place are taken one by one.
-        chosen, f = np.concatenate([at[first], at[~alike]]), np.concatenate([f, grams.times[at[~alike]]])
-        other = np.full(len(chosen), np.uint64(n))
-        for k in range(n):
-            other = mixed(other ^ grams.words.hashes[chosen + k]) * np.uint64(0x9E3779B97F4A7C15)
-        places = np.empty(len(chosen), np.int64)
-        new = []
-        for i, key in enumerate(zip(grams.hash[n - 1][chosen].tolist(), other.tolist(), strict=True)):
-            places[i] = place = self.places.setdefault(key, len(self.places))
-            if place == len(self.langs) + len(new):
-                new.append(i)
-        starts = chosen[new]
-        texts = grams.words.distinct.take(pa.array(ids[starts]))
-        for k in range(1, n):
-            texts = pc.binary_join_element_wise(texts, grams.words.distinct.take(pa.array(ids[starts + k])), pa.scalar(b" ", texts.type))
-        self.texts += texts.to_pylist()
-        self.langs += [grams.langs[c] for c in grams.chunk[starts].tolist()]
-        self.sizes += [n] * len(new)
-        if len(self.langs) > len(self.totals):
-            self.totals = np.concatenate([self.totals, np.zeros(2 * len(self.langs) - len(self.totals), np.int64)])
-        np.add.at(self.totals, places, f)
-
-    def batch(self) -> pa.RecordBatch:
-        columns = [pa.array(self.langs, pa.string()), pa.array(self.texts, pa.string()), pa.array(self.sizes, pa.int32())]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(self.totals[: len(self.langs)])], ["lang", "phrase", "size", "f"])
-
-
-def _phrase_counts(chunks: DataFrame, words: Broadcast, pairs: Broadcast, triples: Broadcast) -> DataFrame:
-    """(lang, phrase, size, f): exact counts of the phrases that the tables let through."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tables = sieve.opened(words), [sieve.opened(t) for t in (pairs, triples)]
-        found = PhraseCounts()
-        for batch in batches:
-            for part in _parts(batch):
-                grams = Grams(part, LONGEST, *tables)
-                grams.possible[0] = grams.possible[0] & sieve.passes(known, grams.hash[0])
-                for n in range(1, LONGEST + 1):
-                    found.add(grams, n)
-                if len(found.langs) >= _HELD:
-                    yield found.batch()
-                    found = PhraseCounts()
-        yield found.batch()
-
-    counted = chunks.mapInArrow(run, "lang string, phrase string, size int, f long")
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
-
-
-def frequent_phrases(chunks: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, size, f) of all phrases of two to four words that occur ``least`` times or more, and of their parts."""
-    pairs = sieve.sent(_pair_counts(chunks).filter(F.col("f") >= least), "gram")
-    second = stored(_triple_counts(chunks, pairs).filter((F.col("size") == 1) | (F.col("f") >= least)), "grams")
-    words, triples = (sieve.sent(second.filter(F.col("size") == n), "gram") for n in (1, 3))
-    return _phrase_counts(chunks, words, pairs, triples).filter(F.col("f") >= least)
+    found, sent = [], []
+    for sizes in ([1, 2], [3], [4]):
+        found.append(stored(_counted(chunks, sizes, sent).filter(F.col("f") >= least), "grams"))
+        if sizes[-1] < LONGEST:
+            sent.append(sieve.sent(found[-1].filter(F.col("size") == sizes[-1]), "gram"))
+    every = found[0].unionByName(found[1]).unionByName(found[2])
+    asked = every.groupBy("first").agg(F.collect_list(F.struct("size", "gram", "other", "f")).alias("grams"))  # of one chunk
+    held = chunks.select("lang", "chunk", "last", F.col("number").alias("first")).join(asked, "first")
+    return in_arrow(held.drop("first"), "lang string, phrase string, size int, f long", lambda: read_grams)
 
 
 def _top(scored: DataFrame, count: int) -> DataFrame:

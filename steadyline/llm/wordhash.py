@@ -28,19 +28,17 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(left * _FACTOR + right)
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
-
-
-def hashes_of(words: pa.LargeBinaryArray) -> np.ndarray:
-    """Hash of each word from its bytes and their places; never zero. Words are not empty."""
+def hashes_of(words: pa.LargeBinaryArray, family: int = 0) -> np.ndarray:
+    """Hash of each word from its bytes and their places; never zero. Words are not empty. Families are independent."""
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
     if len(words) == 0:
         return np.zeros(0, np.uint64)
+    values, factor = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1 + 256 * family)), _FACTOR + np.uint64(2 * family)
     sizes = np.diff(offsets)
     content = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     place = np.arange(len(content)) - np.repeat(offsets[:-1] - offsets[0], sizes)
-    powers = np.cumprod(np.full(int(sizes.max()), _FACTOR))
-    sums = np.add.reduceat(_BYTES[content] * powers[place], offsets[:-1] - offsets[0])
+    powers = np.cumprod(np.full(int(sizes.max()), factor))
+    sums = np.add.reduceat(values[content] * powers[place], offsets[:-1] - offsets[0])
     return np.maximum(mixed(sums + sizes.astype(np.uint64)), np.uint64(1))
 
 
@@ -60,6 +58,17 @@ class Words:
         self.distinct = numbered.dictionary
         self.hashes = hashes_of(self.distinct)[self.ids]
 
+    def others(self) -> np.ndarray:
+        """A second hash of each word."""
+        return hashes_of(self.distinct, 1)[self.ids]
+
+    def joined(self, at: np.ndarray, n: int) -> pa.Array:
+        """The ``n`` words from each place on, with one blank between them."""
+        texts = self.distinct.take(pa.array(self.ids[at]))
+        for k in range(1, n):
+            texts = pc.binary_join_element_wise(texts, self.distinct.take(pa.array(self.ids[at + k])), pa.scalar(b" ", texts.type))
+        return texts
+
     def starts(self) -> np.ndarray:
         """Where each text's words begin, and the end."""
         return np.concatenate([[0], np.cumsum(self.counts)])

@@ -154,16 +154,19 @@ def test_different_phrases_of_one_hash_stay_apart(monkeypatch):
     texts = [phrases.tokens_of(t or "") for _, t in rows]
     parsed = [(rows[text][0] or "und", chunk, last) for text, chunk, last, own in phrases.parse(texts) if own]
     batch = pa.RecordBatch.from_pydict(
-        {"lang": [p[0] for p in parsed], "chunk": [p[1].decode() for p in parsed], "last": [p[2] for p in parsed], "times": [1] * len(parsed)}
+        {
+            "lang": [p[0] for p in parsed],
+            "chunk": [p[1].decode() for p in parsed],
+            "last": [p[2] for p in parsed],
+            "times": [1] * len(parsed),
+        }
     )
     monkeypatch.setattr(phrases, "joined", lambda left, right: (left + right) & np.uint64(7))
-    counts = phrases.PhraseCounts()
-    for part in (batch.slice(0, 20), batch.slice(20)):
-        grams = phrases.Grams(part, 4)
-        assert len(set(grams.hash[1].tolist())) <= 8
-        for n in range(1, 5):
-            counts.add(grams, n)
+    grams = phrases.Grams(batch, 4)
     found = Counter()
-    for row in counts.batch().to_pylist():
-        found[row["lang"], tuple(row["phrase"].split(" "))] += row["f"]
+    for n in range(1, 5):
+        at, f, hashes = grams.counts(n, batch.column("times").to_numpy())
+        assert len(set(hashes.tolist())) <= 8
+        for place, text, times in zip(at.tolist(), grams.words.joined(at, n).to_pylist(), f.tolist(), strict=True):
+            found[batch.column("lang")[grams.chunk[place]].as_py(), tuple(text.decode().split(" "))] += times
     assert found == grams_of(rows)
