@@ -162,7 +162,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     stored = spark.read.schema(SCHEMA).parquet(path).select("shard", "first", "n_ids", "bits", "payload", "docs")
     found = in_arrow(stored, "shard int, doc_id long, start long, n_tokens long, ids binary", make)
-    return found.join(_starts(spark, path), "shard").select(
+    # One row for each shard: as many as the write had partitions.
+    return found.join(F.broadcast(_starts(spark, path)), "shard").select(
         "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids"
     )
 
