@@ -133,9 +133,9 @@ def test_gaps_split_lines_by_day(spark):
 
 def test_refreshed_counts_read_the_dates_concerned(spark, stored, tmp_path):
     path = str(tmp_path / "counts")
-    marts.build_headway_counts(stored, path)
+    marts.build_headway_counts(stored, path, adapter.WIDE_CUTOFF_SEC)
     before = {d: glob.glob(f"{path}/dt={d}/*.parquet") for d in ("2024-01-04", "2024-01-05", "2024-01-06", "2024-01-07")}
-    marts.build_headway_counts(stored, path, dates=["2024-01-05"])
+    marts.build_headway_counts(stored, path, adapter.WIDE_CUTOFF_SEC, dates=["2024-01-05"])
     after = {d: glob.glob(f"{path}/dt={d}/*.parquet") for d in before}
     assert [d for d in before if before[d] != after[d]] == ["2024-01-05", "2024-01-06"]
     plan = plan_of(marts.stored_headway_counts(spark, path))
