@@ -208,7 +208,13 @@ def shard_rows(nodes: DataFrame, members: DataFrame, shards: int, rounds: int =
     piece = max(1, total // shards)
     members = stored(members, "memberships")
     labels = propagate(members, shards, piece, rounds)
-    own = members.groupBy("node").agg(F.min("link").alias("link")).join(labels, "node")
+    own = members.groupBy("node").agg(F.min("link").alias("link"), F.count(F.lit(1)).alias("links")).join(labels, "node")
+    # What is left of a group in several labels comes together where most of it is, if a shard can hold it.
+    alone = own.filter("links = 1").groupBy("link", "label").agg(F.count(F.lit(1)).alias("n"))
+    homes = alone.groupBy("link").agg(F.max_by("label", F.struct("n", "label")).alias("home"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"))
+    homes = homes.filter((F.col("labels") > 1) & (F.col("n") <= piece)).select("link", "home")
+    label = F.when(F.col("links") == 1, F.coalesce("home", "label")).otherwise(F.col("label"))
+    own = own.join(homes, "link", "left").select("node", "link", label.alias("label"))
     ranked = numbered(own, ["link", "label"], ["node"], "rank")
     units = stored(
         ranked.select("node", "link", "label", F.floor(F.col("rank") / piece).alias("piece"), (F.col("rank") % piece).alias("pos")), "units"
