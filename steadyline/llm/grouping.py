@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from steadyline.session import shared_folder
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Written to the shared folder and read again, which ends its lineage."""
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

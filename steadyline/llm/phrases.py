@@ -8,8 +8,8 @@ in which it starts before the overlap, and lies within it; so each occurrence co
 
 Counting takes three rounds over the dictionary: words and pairs; triples both of whose pairs are frequent; sequences of four
 words both of whose triples are frequent. What is frequent is told by bit tables of fixed size (``sieve``), which
-turn phrases away early and never decide a count. A phrase is counted under two independent 64-bit
-hashes of its language and words, with one chunk that holds it; its text is read from that chunk in the end.
+turn phrases away early and never decide a count. A phrase is counted under two independent hashes of its
+language and words, of 64 and 32 bits, with one chunk that holds it; its text is read from that chunk in the end.
 """
 
 from __future__ import annotations
@@ -157,7 +157,7 @@ class Grams:
                 at = np.flatnonzero(may)
                 may[at] = sieve.passes(table, gram[at])
             self.hash.append(gram)
-            self.other.append(other)
+            self.other.append((other >> np.uint64(32)).astype(np.uint32))
             self.possible.append(may)
 
     def places(self, n: int) -> np.ndarray:
@@ -181,7 +181,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(part.start, part.stop - part.start)
 
 
-_COUNTS = "size int, gram long, other long, f long, first long"
+_COUNTS = "size int, gram long, other int, f long, first long"
 
 
 def _counted(chunks: DataFrame, sizes: list[int], sent: list[Broadcast]) -> DataFrame:
@@ -191,13 +191,14 @@ def _counted(chunks: DataFrame, sizes: list[int], sent: list[Broadcast]) -> Data
         tables = [sieve.opened(t) for t in sent]
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [(np.zeros(0, np.int32), *[np.zeros(0, np.int64)] * 4)]
+            none = np.zeros(0, np.int64)
+            found = [(np.zeros(0, np.int32), none, np.zeros(0, np.int32), none, none)]
             for part in _parts(batch):
                 grams = Grams(part, sizes[-1], *tables)
                 times, numbers = part.column("times").to_numpy(), part.column("number").to_numpy()
                 for n in sizes:
                     at, f, hashes = grams.counts(n, times)
-                    other = grams.other[n - 1][at].view(np.int64)
+                    other = grams.other[n - 1][at].view(np.int32)
                     found.append((np.full(len(at), n, np.int32), hashes.view(np.int64), other, f, numbers[grams.chunk[at]]))
             columns = [pa.array(np.concatenate([row[k] for row in found])) for k in range(5)]
             return pa.RecordBatch.from_arrays(columns, ["size", "gram", "other", "f", "first"])
@@ -223,7 +224,7 @@ def read_grams(batch: pa.RecordBatch) -> pa.RecordBatch:
             at = grams.places(n)
 
             def keyed(chunk, a, b):
-                return joined(joined(mixed(chunk.astype(np.uint64)), a.view(np.uint64)), b.view(np.uint64))
+                return joined(joined(mixed(chunk.astype(np.uint64)), a.view(np.uint64)), b.view(np.uint32).astype(np.uint64))
 
             there, first = np.unique(keyed(grams.chunk[at], grams.hash[n - 1][at], grams.other[n - 1][at]), return_index=True)
             start = at[first[np.searchsorted(there, keyed(row[mine], gram[mine], other[mine]))]]
@@ -269,7 +270,7 @@ def collocations(docs: DataFrame, least: int = 30, count: int = 2000, inside_per
     An empty table gives no row; other columns are ignored.
     """
     ship(docs.sparkSession)
-    chunks = stored(dictionary(docs), "chunks")
+    chunks = stored(dictionary(docs), "chunks", "zstd")
     totals = chunks.groupBy("lang").agg(F.sum(F.col("words") * F.col("times")).alias("n"))
     found = stored(frequent_phrases(chunks, least), "phrases")
     phrases = found.filter("size > 1")
