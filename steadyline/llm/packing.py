@@ -22,14 +22,14 @@ from steadyline.llm.token_files import bits_for, pack
 from steadyline.llm.units import encoder
 
 CAPACITY = 2048
-# A bound that no input is known to reach: each round covers ``_STEP`` of a length, or doubles the slack.
-ROUNDS = 800
-_STEP = 1 / 12
-# Share of the greatest price that a configuration may lack, at first and at the end.
-_SLACK = 0.005
-_MOST_SLACK = 0.05
-_RATE = 0.5  # how strongly a length that lags behind gains price
-_LARGE = 0.1  # extra price of large pieces, which few others fit beside
+# Rounds of prices in one solution of the program.
+ROUNDS = 32
+# Shares of the greatest price that a configuration may lack, the greater for what the lesser leaves in a round.
+_SLACKS = (0.0002, 0.002)
+_MOST_LAG = 5  # in rounds
+_RATE = 0.005  # how strongly a length that lags behind gains weight
+_LEAST = 0.01  # share of a round's pieces below which nothing more is spent
+_GOOD_PART = 0.95  # share of the pieces left from which on another solution is not tried
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, bits int, payload binary, "
@@ -52,11 +52,12 @@ def values(price: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def _near_dearest(
-    first: int, price: np.ndarray, best: np.ndarray, slack: float, free: np.ndarray, wish: np.ndarray
+    first: int, price: np.ndarray, best: np.ndarray, slack: float, free: np.ndarray, wish: np.ndarray, whole: np.ndarray
 ) -> Configuration | None:
-    """A configuration with ``first`` whose price lacks at most ``slack`` of the greatest, of lengths still ``free``.
+    """A configuration with ``first`` whose price lacks at most ``slack`` of the greatest.
 
-    Among the lengths that keep the price the one of the greatest ``wish`` is taken.
+    It holds lengths with something ``free``, each at most ``whole`` times. Among the lengths that keep the price the
+    one of the greatest ``wish`` is taken.
     """
     capacity = len(best) - 1
     out: Configuration = {}
@@ -70,7 +71,7 @@ def _near_dearest(
         value = best[c - 1 :: -1] + price[1 : c + 1]
         score = np.where(value >= best[c] - slack, wish[1 : c + 1], 0)
         for used, n in out.items():
-            if used <= c and free[used] <= n:
+            if used <= c and whole[used] <= n:
                 score[used - 1] = 0
         k = int(score.argmax()) + 1
         if not score[k - 1]:
@@ -103,58 +104,90 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[Configuration, int]
     return [(dict(k), n) for k, n in sorted(merged.items())]
 
 
-def program(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[Counter, np.ndarray]:
-    """Uses of configurations, and the pieces of each length that they leave.
+def program(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[dict[tuple, float], float]:
+    """Fractional uses of configurations, within the pieces of each length, and a bound from the prices.
 
-    Each round prices the lengths and lets every length gain about the same share of its pieces, ``_STEP``: for one
-    length after the other, those that lag first, a configuration with it is used whose price lacks at most ``slack``
-    of the greatest. A price is a share of the capacity, more for lengths that few fit beside, times a factor that
-    falls with each covered share of its pieces. Uses are whole from the start. A round without any use
-    doubles the slack; beyond ``_MOST_SLACK``, or without pieces, the program ends.
+    Multiplicative weights: a length has a weight, its share of the capacity at first. Every round lets each length spend
+    ``1 / rounds`` of its pieces and what it could not spend before; a knapsack prices the configurations, and for one
+    length after the other a configuration with it is used whose price lacks at most a small slack of the greatest.
+    The weight of a length falls with the share of its pieces that is covered beyond the mean, and rises below it. The
+    weights over the dearest configuration's price are a feasible dual solution: no packing, fractional or whole,
+    has fewer sequences than the bound.
+    """
+    total = np.maximum(counts, 1).astype(float)
+    weight = np.where(counts > 0, np.arange(capacity + 1) / capacity, -np.inf)
+    given = np.zeros(capacity + 1)
+    random = np.random.default_rng(len(counts))
+    uses: dict[tuple, float] = defaultdict(float)
+    bound, on_offer = 0.0, counts > 0
+    for r in range(1, rounds + 1):
+        best = values(weight, capacity)
+        bound = max(bound, float(weight[on_offer] @ counts[on_offer]) / best[capacity])
+        free = counts * (r / rounds) - given
+        least = _LEAST * total / rounds
+        free[free < least] = 0
+        wish = np.where(free > 0, free / total * rounds + random.random(capacity + 1), 0)
+        for slack in _SLACKS:
+            for length in np.argsort(-free / total, kind="stable").tolist():
+                while free[length] > 0:
+                    config = _near_dearest(length, weight, best, slack * best[capacity], free, wish, counts)
+                    if config is None:
+                        break
+                    times = min(free[k] / n for k, n in config.items())
+                    for k, n in config.items():
+                        free[k] -= n * times
+                        given[k] += n * times
+                        if free[k] < least[k]:
+                            free[k] = wish[k] = 0
+                    uses[tuple(sorted(config.items()))] += times
+        lag = np.minimum(r - rounds * given / total, _MOST_LAG)
+        weight = np.where(on_offer, weight * np.exp(_RATE * lag), -np.inf)
+    return uses, bound
+
+
+def _rounded(uses: dict[tuple, float], left: np.ndarray) -> Counter:
+    """Whole uses: every use rounded down, then one more, the greatest fractions first, while its pieces last.
+
+    ``left`` loses the pieces that are placed.
     """
-    left = counts.astype(np.int64).copy()
-    left[0] = 0
     out: Counter = Counter()
-    if left[capacity]:
-        out[((capacity, 1),)] += int(left[capacity])
-        left[capacity] = 0
-    total = np.maximum(left, 1).astype(float)
-    share = np.arange(capacity + 1) / capacity
-    random = np.random.default_rng(len(left))
-    slack = _SLACK
-    for _ in range(rounds):
-        if not left.any() or slack > _MOST_SLACK:
-            break
-        price = np.where(left > 0, share * (1 + _LARGE * share) * np.exp(_RATE * left / total), -np.inf)
-        best = values(price, capacity)
-        free = np.minimum(left, np.ceil(total * _STEP).astype(np.int64))
-        chance = random.random(capacity + 1)
-        wish = np.where(free > 0, left / total + chance, 0)
-        used = 0
-        for length in np.argsort(-(left / total), kind="stable").tolist():
-            while free[length] > 0:
-                config = _near_dearest(length, price, best, slack * best[capacity], free, wish)
-                if config is None:
-                    break
-                times = min(int(free[k]) // n for k, n in config.items())
-                for k, n in config.items():
-                    left[k] -= n * times
-                    free[k] -= n * times
-                    wish[k] = left[k] / total[k] + chance[k] if free[k] > 0 else 0
-                out[tuple(sorted(config.items()))] += times
-                used += times
-        if not used:
-            slack *= 2
-    return out, left
+
+    def take(config: tuple, times: int) -> None:
+        for k, n in config:
+            left[k] -= n * times
+        out[config] += times
+
+    for config, x in uses.items():
+        if x >= 1:
+            take(config, int(x))
+    for config, _ in sorted(uses.items(), key=lambda u: (-(u[1] % 1), u[0])):
+        if all(left[k] >= n for k, n in config):
+            take(config, 1)
+    return out
 
 
 def configurations(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Configuration, int]]:
     """How often to use which configuration so that ``counts[l]`` pieces of each length l are covered exactly.
 
-    The program covers nearly all pieces; the few that it leaves are packed best-fit decreasing.
+    The program is solved and rounded, and again for what the rounding left, as long as that places a good part of
+    it; what is left is packed best-fit decreasing. Of these roundings, each with one solution more than the one before,
+    the one of the fewest sequences counts, of equal ones the last.
     """
-    out, left = program(counts, capacity, rounds)
-    for config, n in _best_fit(left, capacity):
+    left = counts.astype(np.int64).copy()
+    left[0] = 0
+    out: Counter = Counter()
+    if left[capacity]:
+        out[((capacity, 1),)] += int(left[capacity])
+        left[capacity] = 0
+    solved = []
+    while left.any() and (not solved or left.sum() <= _GOOD_PART * solved[-1][1].sum()):
+        solved.append((out.copy(), left.copy()))
+        uses, _ = program(left, capacity, rounds)
+        out += _rounded(uses, left)
+    solved = [*solved[1:], (out, left)]
+    plans = [(uses, _best_fit(rest, capacity)) for uses, rest in reversed(solved)]
+    out, rest = min(plans, key=lambda plan: plan[0].total() + sum(n for _, n in plan[1]))
+    for config, n in rest:
         out[tuple(sorted(config.items()))] += n
     return [(dict(k), n) for k, n in sorted(out.items())]
 

@@ -298,6 +298,20 @@ def test_the_program_places_nearly_all_pieces(monkeypatch):
     assert sum(n for _, n in plan) <= 1.005 * (counts @ np.arange(2049)) / 2048 + 1
 
 
+@pytest.mark.parametrize("least, most", [(500, 1500), (600, 1100)])
+def test_the_program_against_best_fit_and_its_own_bound(least, most):
+    counts = np.bincount(np.random.default_rng(1).integers(least, most + 1, 100_000), minlength=2049)
+    used = sum(n for _, n in packing.configurations(counts))
+    uses, bound = packing.program(counts)
+    given = np.zeros(2049)
+    for config, x in uses.items():
+        assert sum(k * n for k, n in config) <= 2048
+        for k, n in config:
+            given[k] += n * x
+    assert (given <= counts + 1e-6).all()
+    assert counts @ np.arange(2049) / 2048 - 1e-6 <= bound <= used <= sum(n for _, n in packing._best_fit(counts, 2048))
+
+
 def _check_packed(rows, texts, capacity, end):
     tokenizer = Tokenizer.from_file(BYTE)
     want = Counter()
