@@ -6,8 +6,10 @@ digests it has, their exclusive or, and that of a second hash of them. Sketches
 cell by cell; digests of both cancel. A cell with one digest left and a matching second hash is *pure*:
 its digest is read, taken out of its other cells, and so on until nothing is left.
 
-A large set is split by digest bits into parts of a few digests each, one small sketch for each part, so
-work stays in proportion to the text. A part whose peeling stalls is sketched again with larger tables.
+A set is split by digest bits into parts of a few digests each, one small sketch for each part, so cells and
+work grow with the text. The fingerprint is these cells as text: :func:`difference` subtracts and peels two
+stored fingerprints without their texts. Where both versions are at hand a part whose peeling stalls is sketched again
+with larger tables.
 """
 
 from __future__ import annotations
@@ -17,19 +19,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE_WORDS = 16
-# Cells per table at the first try and at the retries.
-TABLE_CELLS = (8, 32, 128, 512)
-# Digests of both versions that a part is meant for.
-PART_DIGESTS = 12
-# Cells per table of the sketch that is written as the fingerprint.
-WRITTEN_CELLS = 2
+PIECE_WORDS = 8
+PIECE_CHARS = 48  # longer words are cut, so that unspaced text has pieces too
+# Cells per table of the sketches that are written, and at the retries.
+WRITTEN_CELLS = 4
+TABLE_CELLS = (WRITTEN_CELLS, 8, 32, 128, 512)
+# Digests of one version that a part is meant for, at most.
+PART_DIGESTS = 6
 ROUNDS = 8
 # Documents of a range of ids that meets in one window, about; ranges whose borders are looked up.
 _RANGE_ROWS = 2000
 _COARSE = 500
 
-_PIECE = r"[^ \n]+(?: [^ \n]+){0," + str(PIECE_WORDS - 1) + "}"
+_WORD = "[^ \\n]{1," + str(PIECE_CHARS) + "}"
+_PIECE = f"{_WORD}(?: {_WORD}){{0,{PIECE_WORDS - 1}}}"
 # Bits of a digest that choose its cell in each table; the low bits choose the part.
 _SHIFTS = (22, 36, 50)
 
@@ -93,13 +96,14 @@ def _pure(cell: Column) -> Column:
 
 
 def peel(difference: Cells, cells: int) -> Column:
-    """How many digests differ, or null where peeling stalls."""
+    """The digests (n, key, check) that differ, n 1 or -1 by the version that has them; null where peeling stalls."""
 
     def without(state: Column, pure: Column) -> Column:
+        over = F.size(pure) == 0
         return F.struct(
-            F.when(F.size(pure) == 0, state["cells"]).otherwise(subtract(state["cells"], sketch(pure, cells))).alias("cells"),
-            (state["found"] + F.size(pure)).alias("found"),
-            (F.size(pure) == 0).alias("over"),
+            F.when(over, state["cells"]).otherwise(subtract(state["cells"], sketch(pure, cells))).alias("cells"),
+            F.concat(state["found"], pure).alias("found"),
+            over.alias("over"),
         )
 
     def round_of(state: Column) -> Column:
@@ -109,51 +113,64 @@ def peel(difference: Cells, cells: int) -> Column:
     def result(state: Column) -> Column:
         return F.when(~F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), state["found"])
 
-    start = F.struct(difference.alias("cells"), F.lit(0).alias("found"), F.lit(False).alias("over"))
+    none = F.filter(difference, lambda _: F.lit(False))
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(False).alias("over"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda state, _: round_of(state), result)
 
 
 def _differing_in_part(part: Column) -> Column:
-    """Digests of a part (a, b) that only one version has, with larger tables where peeling stalls.
+    """How many digests of a part (a, b) only one version has, with larger tables where peeling stalls.
 
     Should the largest stall as well, the digests themselves are compared.
     """
 
     def attempt(sides: Column, cells: int) -> Column:
-        return peel(subtract(sketch(sides["a"], cells), sketch(sides["b"], cells)), cells)
+        found = peel(subtract(sketch(sides["a"], cells), sketch(sides["b"], cells)), cells)
+        return _with(found, lambda f: F.when(f.isNotNull(), F.size(f)))
 
     entries = F.struct(as_entries(part["a"]).alias("a"), as_entries(part["b"]).alias("b"))
     exact = F.size(F.array_except(part["a"], part["b"])) + F.size(F.array_except(part["b"], part["a"]))
     return F.coalesce(_with(entries, lambda e: F.coalesce(*[attempt(e, c) for c in TABLE_CELLS])), exact)
 
 
-def _parts(both: Column, bits: Column, low: Column, then: Callable[[Column], Column]) -> Column:
-    """Sum of ``then`` over the parts (a, b) that ``bits`` bits of the digests from bit ``low`` on make."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+def part_bits(digests: Column) -> Column:
+    """How many low bits of a digest number the parts of its set."""
+    return F.ceil(F.log2(F.greatest(F.lit(1.0), F.size(digests) / PART_DIGESTS))).cast("int")
 
-    def own(side: Column, p: Column) -> Column:
-        return F.filter(side, lambda k: F.call_function("shiftright", k, low).bitwiseAND(mask) == p)
 
-    def part(p: Column) -> Column:
-        return _with(F.struct(own(both["a"], p).alias("a"), own(both["b"], p).alias("b")), then).cast("long")
+def _per_part(sides: Column, bits: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the parts (a, b) of two sets, in ascending order of the part's number.
 
-    each = F.transform(F.sequence(F.lit(0).cast("long"), mask), part)
-    return F.aggregate(each, F.lit(0).cast("long"), lambda x, y: x + y)
+    The split is done in two steps, high bits of the number first, so that a set of n digests takes about n ** 1.5 tests.
+    """
+
+    def split(both: Column, width: Column, low: Column, inner: Callable[[Column], Column]) -> Column:
+        mask = F.call_function("shiftleft", F.lit(1).cast("long"), width) - 1
+
+        def own(side: Column, p: Column) -> Column:
+            return F.filter(side, lambda k: F.call_function("shiftright", k, low).bitwiseAND(mask) == p)
+
+        return F.transform(
+            F.sequence(F.lit(0).cast("long"), mask),
+            lambda p: _with(F.struct(own(both["a"], p).alias("a"), own(both["b"], p).alias("b")), inner),
+        )
+
+    def halves(v: Column) -> Column:
+        low = (v["bits"] / 2).cast("int")
+        return F.flatten(split(v, v["bits"] - low, low, lambda w: split(w, low, F.lit(0), then)))
+
+    return _with(F.struct(sides["a"].alias("a"), sides["b"].alias("b"), bits.alias("bits")), halves)
 
 
 def differing(a: Column, b: Column) -> Column:
     """Digests that only one of two versions has, by sketches of their parts.
 
-    The split into parts is done in two steps, so that a set of n digests takes about n ** 1.5 tests.
+    The parts are those of the larger version. Where both have as many, the first try is the subtraction of their
+    written sketches; otherwise the smaller one is sketched anew in the parts of the larger.
     """
-    bits = F.ceil(F.log2(F.greatest(F.lit(1.0), (F.size(a) + F.size(b)) / PART_DIGESTS))).cast("int")
-    both = F.struct(a.alias("a"), b.alias("b"), bits.alias("bits"), (bits / 2).cast("int").alias("first"))
-    return _with(
-        both,
-        lambda v: _parts(
-            v, v["first"], F.lit(0), lambda w: _parts(w, v["bits"] - v["first"], v["first"], _differing_in_part)
-        ),
-    )
+    sides = F.struct(a.alias("a"), b.alias("b"))
+    each = _per_part(sides, F.greatest(part_bits(a), part_bits(b)), _differing_in_part)
+    return F.aggregate(each, F.lit(0).cast("long"), lambda x, y: x + y)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -162,10 +179,72 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(1.0 - differing(a, b) / total)
 
 
-def written(cells: Cells) -> Column:
-    """A sketch as text: count and digests of each cell in hexadecimal digits."""
-    each = F.transform(cells, lambda c: F.concat(F.lpad(F.hex(c["n"]), 4, "0"), F.lpad(F.hex(c["key"]), 16, "0")))
-    return F.lower(F.array_join(each, ""))
+_CELL_DIGITS = 40
+
+
+def written(digests: Column) -> Column:
+    """The sketches of a set's parts as hexadecimal text: the number of part bits, then n, key and check of each cell."""
+
+    def as_text(c: Column) -> Column:
+        return F.concat(F.lpad(F.hex(c["n"]), 8, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 16, "0"))
+
+    def text_of(part: Column) -> Column:
+        return F.array_join(F.transform(sketch(as_entries(part["a"]), WRITTEN_CELLS), as_text), "")
+
+    none = F.filter(digests, lambda _: F.lit(False))
+    sides = F.struct(digests.alias("a"), none.alias("b"))
+    bits = part_bits(digests)
+    return F.lower(F.concat(F.lpad(F.hex(bits), 2, "0"), F.array_join(_per_part(sides, bits, text_of), "")))
+
+
+def _long(digits: Column) -> Column:
+    """A long from its sixteen hexadecimal digits."""
+    half = [F.conv(F.substring(digits, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    return F.shiftleft(half[0], 32).bitwiseOR(half[1])
+
+
+def _read(fingerprint: Column, bits: Column) -> Column:
+    """The parts of a written fingerprint, added up to ``2 ** bits`` parts: cells are sums, so parts add up."""
+    own = F.conv(F.substring(fingerprint, 1, 2), 16, 10).cast("int")
+    width = 3 * WRITTEN_CELLS
+
+    def cell(i: Column) -> Column:
+        at = (i * _CELL_DIGITS + 3).cast("int")
+        return F.struct(
+            F.conv(F.substring(fingerprint, at, F.lit(8)), 16, 10).cast("long").alias("n"),
+            _long(F.substring(fingerprint, at + 8, F.lit(16))).alias("key"),
+            _long(F.substring(fingerprint, at + 24, F.lit(16))).alias("check"),
+        )
+
+    def part(p: Column) -> Column:
+        fold = F.sequence(F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), own - bits) - 1)
+        step = F.call_function("shiftleft", F.lit(1).cast("long"), bits)
+        return F.transform(
+            F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long")),
+            lambda i: F.aggregate(fold, _nothing(), lambda x, j: _combined(x, cell((p + j * step) * width + i))),
+        )
+
+    numbers = F.sequence(F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+    return F.transform(numbers, part)
+
+
+def difference(a: Column, b: Column) -> Column:
+    """(only_a, only_b): the digests that one of two stored fingerprints has and the other lacks; null where peeling stalls.
+
+    The finer of the two is added up to the parts of the coarser. After a stall, :func:`differing` with both
+    sets of digests goes on with larger tables.
+    """
+    bits = F.least(*[F.conv(F.substring(f, 1, 2), 16, 10).cast("int") for f in (a, b)])
+    parts = F.zip_with(_read(a, bits), _read(b, bits), lambda x, y: peel(subtract(x, y), WRITTEN_CELLS))
+
+    def keys(found: Column, n: int) -> Column:
+        return F.transform(F.filter(found, lambda c: c["n"] == n), lambda c: c["key"])
+
+    def sides(found: Column) -> Column:
+        return F.when(found.isNotNull(), F.struct(keys(found, 1).alias("only_a"), keys(found, -1).alias("only_b")))
+
+    # flatten of parts with a null among them is null
+    return _with(F.flatten(parts), sides)
 
 
 def _edges(docs: DataFrame) -> tuple[list[int], int]:
@@ -240,8 +319,8 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_chars",
         "edited_sha256",
-        written(sketch(as_entries(F.col("own")), WRITTEN_CELLS)).alias("fingerprint"),
-        written(sketch(as_entries(F.col("changed")), WRITTEN_CELLS)).alias("edited_fingerprint"),
+        written(F.col("own")).alias("fingerprint"),
+        written(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), F.col("following")).alias("near_next"),
     )

@@ -17,6 +17,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -572,6 +573,31 @@ def test_sketches_equal_set_comparison(spark, messy, empty):
     assert sketches.fingerprint_versions(empty).count() == 0
 
 
+def test_stored_fingerprints_peel_to_the_differing_digests(spark):
+    lines = [f"line {i} of a text that has some eight words" for i in range(400)]
+    pairs = [
+        ("\n".join(lines[:n]), "\n".join([*lines[:at], *new, *lines[at + len(new) : n]]))
+        for n, at, new in [(1, 0, []), (5, 2, ["new"]), (40, 7, ["x", "y"]), (390, 100, ["p", "q", "r"]), (400, 0, [])]
+    ]
+    pairs += [("", ""), ("", "alone"), ("\n".join(lines[:40]), "\n".join(lines[:52]))]  # the last in 8 and 16 parts
+    texts = spark.createDataFrame(pairs, "a STRING, b STRING")
+    sets = texts.select(*[sketches.digests(F.col(c)).alias(c) for c in "ab"])
+    stored = sets.select("*", *[sketches.written(F.col(c)).alias(f"f{c}") for c in "ab"])
+    out = stored.select("a", "b", "fa", sketches.difference(F.col("fa"), F.col("fb")).alias("d")).collect()
+    peeled = [r for r in out if r.d is not None]
+    assert len(peeled) >= len(pairs) - 2
+    for r in peeled:
+        assert set(r.d.only_a) == set(r.a) - set(r.b) and set(r.d.only_b) == set(r.b) - set(r.a)
+    # cells grow with the text: 1 part up to 6 digests, 16 for 80, 128 or more for 780
+    assert len({len(r.fa) for r in out}) == 3
+
+
+def test_an_unspaced_text_is_like_its_edited_version(spark):
+    rows = [(1, "".join(chr(97 + i * i % 26) for i in range(200)) + "z" * 100), (2, "another text " * 40)]
+    out = {r.doc_id: r for r in sketches.fingerprint_versions(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert 0 < out[1].near_edited < 1
+
+
 # ---- the pipeline and the contract
 
 
