@@ -34,6 +34,9 @@ OVERLAP = LONGEST - 1
 # One window in so many is a trigger; chunks without one end after so many tokens.
 EVERY = 64
 CHUNK = 4096
+# Texts are parsed together up to this many bytes; a longer text is alone.
+PARSED = 1 << 20
+COUNTED = 2 << 20  # chunks of the dictionary likewise
 # Phrases of a language are ranked in this many parts first.
 _PARTS = 256
 
@@ -104,28 +107,31 @@ def parse(texts: list[bytes]) -> Iterator[tuple[int, bytes, bool, int]]:
         yield text, texts[text][low : high - 1], is_last, n
 
 
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, chunk, last, words) of the texts (lang, text), given out as texts are taken together, so a task never
+    holds the words and chunks of a whole batch."""
+    kinds = {"lang": pa.string(), "chunk": pa.string(), "last": pa.bool_(), "words": pa.int64()}
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        for part in together(sizes, PARSED):
+            own = batch.slice(part.start, part.stop - part.start)
+            langs, found = own.column("lang").to_pylist(), {name: [] for name in kinds}
+            for text, chunk, last, n in parse([tokens_of(t) for t in texts_of(own)]):
+                if n:
+                    for name, value in zip(kinds, (langs[text], chunk, last, n), strict=True):
+                        found[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(found[k], kind) for k, kind in kinds.items()], list(kinds))
+
+
 def dictionary(docs: DataFrame) -> DataFrame:
     """(lang, chunk, last, words, times, number): the distinct chunks of all texts of a language and their frequencies.
 
     Numbers hold once the dictionary is stored.
     """
 
-    def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = []
-            langs = batch.column("lang").to_pylist()
-            texts = [tokens_of(t) for t in texts_of(batch)]
-            for part in together([len(t) for t in texts]):
-                own = langs[part]
-                found += [(own[text], chunk, last, n) for text, chunk, last, n in parse(texts[part]) if n]
-            kinds = (pa.string(), pa.string(), pa.bool_(), pa.int64())
-            columns = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "last", "words"])
-
-        return work
-
+    ship(docs.sparkSession)
     read = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    chunks = in_arrow(read, "lang string, chunk string, last boolean, words long", make)
+    chunks = read.mapInArrow(chunks_of, "lang string, chunk string, last boolean, words long")
     distinct = chunks.groupBy("lang", "chunk", "last", "words").agg(F.count(F.lit(1)).alias("times"))
     return distinct.withColumn("number", F.monotonically_increasing_id())
 
@@ -177,7 +183,7 @@ class Grams:
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for part in together(pc.binary_length(batch.column("chunk")).to_pylist()):
+    for part in together(pc.binary_length(batch.column("chunk")).to_pylist(), COUNTED):
         yield batch.slice(part.start, part.stop - part.start)
 
 

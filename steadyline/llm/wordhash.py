@@ -74,11 +74,11 @@ class Words:
         return np.concatenate([[0], np.cumsum(self.counts)])
 
 
-def together(sizes: list[int]) -> Iterator[slice]:
-    """Consecutive slices of texts of these sizes, each of about ``TOGETHER`` bytes."""
+def together(sizes: list[int], most: int = TOGETHER) -> Iterator[slice]:
+    """Consecutive slices of texts of these sizes, each of at most ``most`` bytes or a single text."""
     low, held = 0, 0
     for at, size in enumerate(sizes):
-        if at > low and held + size > TOGETHER:
+        if at > low and held + size > most:
             yield slice(low, at)
             low, held = at, 0
         held += size

@@ -170,3 +170,13 @@ def test_different_phrases_of_one_hash_stay_apart(monkeypatch):
         for place, text, times in zip(at.tolist(), grams.words.joined(at, n).to_pylist(), f.tolist(), strict=True):
             found[batch.column("lang")[grams.chunk[place]].as_py(), tuple(text.decode().split(" "))] += times
     assert found == grams_of(rows)
+
+
+def test_chunks_are_given_out_before_the_batch_ends(monkeypatch):
+    monkeypatch.setattr(phrases, "PARSED", 200)
+    texts = [None, "", "a b c. d e", "x" * 500, *(f"the {k} of the {k + 1}, and" for k in range(100)), "A\tb"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], ["lang", "text"])
+    parts = list(phrases.chunks_of(iter([batch])))
+    assert len(parts) > 5 and max(p.nbytes for p in parts) < 2000
+    assert sum(sum(p.column("words").to_pylist()) for p in parts) == sum(len(w) for t in texts for w in pieces_of(t))
+    assert list(phrases.chunks_of(iter([batch.slice(0, 0)]))) == []
