@@ -55,6 +55,18 @@ class Remembered(dict):
         return value
 
 
+class _Units(Remembered):
+    """Ids by unit: a unit that neither generation has is encoded, so whole texts are looked up without a call for each unit."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.old.get(unit)
+        return self.encode(unit) if found is None else self.learn(unit, found)
+
+
 class UnitEncoder:
     """Encode texts to little-endian unsigned 32-bit ids, exactly as the library encodes the whole text."""
 
@@ -71,7 +83,7 @@ class UnitEncoder:
         self.keeps_space = isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
         self.lead = " " if self.keeps_space else ""
         # Ids of units by what follows their blank; a key that begins with a line end has no blank before it.
-        self.units = Remembered()
+        self.units = _Units(self._fresh)
         self.tails: dict[str, bytes] = {}
         self.alphabet = byte_alphabet()
 
@@ -88,15 +100,14 @@ class UnitEncoder:
             if not piece.isascii():
                 piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")  # no special final form
             piece = piece.lower()
-        if not piece.isascii() or piece[0] in " \n":
+        if not piece.isascii():
             piece = "".join([self.alphabet[b] for b in piece.encode()])
+        elif piece[0] in " \n":  # all else that comes here is letters or punctuation, which stand for themselves
+            piece = self.alphabet[ord(piece[0])] + piece[1:]
         return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
-    def _unit(self, unit: str) -> bytes:
-        """Ids of a unit given without its blank."""
-        found = self.units.find(unit)
-        if found is not None:
-            return found
+    def _fresh(self, unit: str) -> bytes:
+        """Ids of a unit that is not remembered, given without its blank."""
         fresh_line = self.keeps_space and unit[:1] == "\n"
         if len(unit) > _UNIT_CHARS:
             return self._whole(unit if fresh_line else self.lead + unit)
@@ -110,7 +121,7 @@ class UnitEncoder:
                 if len(self.tails) > _TAILS:
                     self.tails.clear()
                 self.tails[tail] = self._piece(tail)
-            ids = self._unit(body) + self.tails[tail]
+            ids = self.units[body] + self.tails[tail]
         elif fresh_line:
             ids = self._piece("\n") + self._piece(word)
         else:
@@ -120,14 +131,14 @@ class UnitEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        known, unit = self.units.get, self._unit
+        unit = self.units.__getitem__
         if not self.keeps_space:
             rest = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            return b"".join([known(u) or unit(u) for u in rest if u])
+            return b"".join(map(unit, filter(None, rest)))
         if _RUN.search(text):  # units with longer runs of white space
             return b"".join([unit(u[1:]) if _SPACED.match(u) else self._whole(u) for u in _CUT.split(text)])
         first, *rest = text.replace("\n", " \n").split(" ")
-        return b"".join([self._whole(first) if first else b"", *[known(u) or unit(u) for u in rest]])
+        return b"".join([self._whole(first) if first else b"", *map(unit, rest)])
 
 
 @lru_cache(maxsize=4)

@@ -258,6 +258,20 @@ def test_remembered_units_end(monkeypatch):
     assert len(own.units) <= 4 and len(own.units.old) <= 4
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_remembered_units_take_no_call(path, monkeypatch):
+    own, text = units.UnitEncoder(path), "One two, three\nfour. one two three"
+    ids = own.encode(text)
+    assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def called(_):
+        raise AssertionError("a remembered unit was encoded again")
+
+    monkeypatch.setattr(own.units, "encode", called)
+    monkeypatch.setattr(own.units, "learn", called)
+    assert own.encode("One two, three")[-4:] == ids[-4:]
+
+
 def test_pair_encoding_of_rows(messy, empty):
     tokenizer = Tokenizer.from_file(WORD)
     want = Counter()
