@@ -8,8 +8,8 @@ its digest is read, taken out of its other cells, and so on until nothing is lef
 
 A set is split by digest bits into parts of a few digests each, one small sketch for each part, so cells and
 work grow with the text. The fingerprint is these cells as text: :func:`difference` subtracts and peels two
-stored fingerprints without their texts. Where both versions are at hand a part whose peeling stalls is sketched again
-with larger tables.
+stored fingerprints without their texts. Where both versions are at hand what stays of a part when its peeling stalls is
+sketched again, its cells chosen by other bits, and with larger tables in the end.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ _COARSE = 500
 
 _WORD = "[^ \\n]{1," + str(PIECE_CHARS) + "}"
 _PIECE = f"{_WORD}(?: {_WORD}){{0,{PIECE_WORDS - 1}}}"
-# Bits of a digest that choose its cell in each table; the low bits choose the part.
+# Bits of a digest that choose its cell in each table; the low bits choose the part. The written sketches take two bits
+# from each of these places; what stalls is tried again with the next two bits, so many times in all.
 _SHIFTS = (22, 36, 50)
+_TRIES = 4
 
 Cells = Column
 
@@ -50,8 +52,11 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
-def _cell(digest: Column, table: int, cells: int) -> Column:
-    return F.shiftright(digest, _SHIFTS[table]).bitwiseAND(F.lit(cells - 1).cast("long"))
+def _cell(digest: Column, table: int, cells: int, above: Column | None = None) -> Column:
+    bits = F.shiftright(digest, _SHIFTS[table])
+    if above is not None:
+        bits = F.call_function("shiftright", digest, above + _SHIFTS[table])
+    return bits.bitwiseAND(F.lit(cells - 1).cast("long"))
 
 
 def _nothing() -> Column:
@@ -66,8 +71,20 @@ def _combined(x: Column, y: Column, sign: int = 1) -> Column:
     )
 
 
-def sketch(entries: Column, cells: int) -> Cells:
-    """Three tables of ``cells`` cells, one after the other, over entries (n, key, check)."""
+def _placed(entries: Column, cells: int, above: Column | None = None) -> Column:
+    return F.transform(
+        entries,
+        lambda e: F.struct(
+            e["n"], e["key"], e["check"], *[_cell(e["key"], t, cells, above).alias(f"c{t}") for t in range(3)]
+        ),
+    )
+
+
+def sketch(entries: Column, cells: int, above: Column | None = None) -> Cells:
+    """Three tables of ``cells`` cells, one after the other, over entries (n, key, check).
+
+    ``above`` takes the bits that choose a cell from so many places higher.
+    """
 
     def table(placed: Column, t: int) -> Column:
         return F.transform(
@@ -75,15 +92,12 @@ def sketch(entries: Column, cells: int) -> Cells:
             lambda i: F.aggregate(F.filter(placed, lambda e: e[f"c{t}"] == i), _nothing(), lambda x, y: _combined(x, y)),
         )
 
-    def place(e: Column) -> Column:
-        return F.struct(e["n"], e["key"], e["check"], *[_cell(e["key"], t, cells).alias(f"c{t}") for t in range(3)])
-
-    return _with(F.transform(entries, place), lambda placed: F.concat(*[table(placed, t) for t in range(3)]))
+    return _with(_placed(entries, cells, above), lambda placed: F.concat(*[table(placed, t) for t in range(3)]))
 
 
-def as_entries(keys: Column) -> Column:
+def as_entries(keys: Column, n: int = 1) -> Column:
     return F.transform(
-        keys, lambda k: F.struct(F.lit(1).cast("long").alias("n"), k.alias("key"), F.xxhash64(k).alias("check"))
+        keys, lambda k: F.struct(F.lit(n).cast("long").alias("n"), k.alias("key"), F.xxhash64(k).alias("check"))
     )
 
 
@@ -95,42 +109,77 @@ def _pure(cell: Column) -> Column:
     return (F.abs(cell["n"]) == 1) & (F.xxhash64(cell["key"]) == cell["check"])
 
 
-def peel(difference: Cells, cells: int) -> Column:
-    """The digests (n, key, check) that differ, n 1 or -1 by the version that has them; null where peeling stalls."""
+def _peeled(difference: Cells, cells: int, above: Column | None = None) -> Column:
+    """(cells, found, idle): the digests that peeling finds, and the cells without them.
+
+    The tables take turns. The pure cells of one table hold different digests, which are taken out of all three.
+    """
 
     def without(state: Column, pure: Column) -> Column:
-        over = F.size(pure) == 0
+        def table(t: int) -> Column:
+            own = F.slice(state["cells"], t * cells + 1, cells)
+            return F.transform(
+                own,
+                lambda c, i: F.aggregate(
+                    pure, c, lambda x, e: F.when(e[f"c{t}"] == i, _combined(x, e, -1)).otherwise(x)
+                ),
+            )
+
         return F.struct(
-            F.when(over, state["cells"]).otherwise(subtract(state["cells"], sketch(pure, cells))).alias("cells"),
-            F.concat(state["found"], pure).alias("found"),
-            over.alias("over"),
+            F.concat(*[table(t) for t in range(3)]).alias("cells"),
+            F.concat(state["found"], F.transform(pure, lambda e: F.struct(e["n"], e["key"], e["check"]))).alias("found"),
+            F.lit(0).alias("idle"),
         )
 
-    def round_of(state: Column) -> Column:
-        pure = F.array_distinct(F.filter(state["cells"], _pure))
-        return F.when(state["over"], state).otherwise(_with(pure, lambda p: without(state, p)))
-
-    def result(state: Column) -> Column:
-        return F.when(~F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0)), state["found"])
+    def turn(state: Column, t: Column) -> Column:
+        pure = F.filter(F.slice(state["cells"], t * cells + 1, F.lit(cells)), _pure)
+        idle = F.struct(state["cells"], state["found"], (state["idle"] + 1).alias("idle"))
+        taken = _with(pure, lambda p: F.when(F.size(p) == 0, idle).otherwise(_with(_placed(p, cells, above), lambda q: without(state, q))))
+        return F.when(state["idle"] == 3, state).otherwise(taken)
 
     none = F.filter(difference, lambda _: F.lit(False))
-    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(False).alias("over"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda state, _: round_of(state), result)
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(0).alias("idle"))
+    return F.aggregate(F.array(*[F.lit(t) for t in range(3)] * ROUNDS), start, turn)
+
+
+def _clear(cells: Cells) -> Column:
+    return ~F.exists(cells, lambda c: (c["n"] != 0) | (c["key"] != 0))
+
+
+def peel(difference: Cells, cells: int) -> Column:
+    """The digests (n, key, check) that differ, n 1 or -1 by the version that has them; null where peeling stalls."""
+    return _with(_peeled(difference, cells), lambda state: F.when(_clear(state["cells"]), state["found"]))
 
 
 def _differing_in_part(part: Column) -> Column:
-    """How many digests of a part (a, b) only one version has, with larger tables where peeling stalls.
+    """How many digests of a part, entries with n 1 or -1 by their version, only one version has.
 
-    Should the largest stall as well, the digests themselves are compared.
+    What stays when peeling stalls is sketched again by other bits, then in larger tables. Should the largest stall
+    as well, the digests themselves are compared.
     """
 
-    def attempt(sides: Column, cells: int) -> Column:
-        found = peel(subtract(sketch(sides["a"], cells), sketch(sides["b"], cells)), cells)
-        return _with(found, lambda f: F.when(f.isNotNull(), F.size(f)))
+    def again(state: Column, above: Column) -> Column:
+        def after(peeled: Column) -> Column:
+            stay = F.filter(state["rest"], lambda e: ~F.exists(peeled["found"], lambda f: f["key"] == e["key"]))
+            none = F.filter(state["rest"], lambda _: F.lit(False))
+            return F.struct(
+                F.when(_clear(peeled["cells"]), none).otherwise(stay).alias("rest"),
+                (state["found"] + F.size(peeled["found"])).alias("found"),
+            )
+
+        peeled = _peeled(sketch(state["rest"], WRITTEN_CELLS, above), WRITTEN_CELLS, above)
+        return F.when(F.size(state["rest"]) == 0, state).otherwise(_with(peeled, after))
 
-    entries = F.struct(as_entries(part["a"]).alias("a"), as_entries(part["b"]).alias("b"))
-    exact = F.size(F.array_except(part["a"], part["b"])) + F.size(F.array_except(part["b"], part["a"]))
-    return F.coalesce(_with(entries, lambda e: F.coalesce(*[attempt(e, c) for c in TABLE_CELLS])), exact)
+    def larger(rest: Column) -> Column:
+        tries = [_with(peel(sketch(rest, c), c), lambda f: F.when(f.isNotNull(), F.size(f))) for c in TABLE_CELLS[1:]]
+        single = F.filter(rest, lambda e: ~F.exists(rest, lambda o: (o["key"] == e["key"]) & (o["n"] != e["n"])))
+        return F.coalesce(*tries, F.size(single))
+
+    def result(state: Column) -> Column:
+        return F.when(F.size(state["rest"]) == 0, state["found"]).otherwise(state["found"] + larger(state["rest"]))
+
+    start = F.struct(part.alias("rest"), F.lit(0).alias("found"))
+    return F.aggregate(F.array(*[F.lit(2 * k) for k in range(_TRIES)]), start, again, result)
 
 
 def part_bits(digests: Column) -> Column:
@@ -138,38 +187,50 @@ def part_bits(digests: Column) -> Column:
     return F.ceil(F.log2(F.greatest(F.lit(1.0), F.size(digests) / PART_DIGESTS))).cast("int")
 
 
-def _per_part(sides: Column, bits: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of the parts (a, b) of two sets, in ascending order of the part's number.
+def _per_part(entries: Column, bits: Column, then: Callable[[Column, Column], Column]) -> Column:
+    """``then`` of the entries of each part that has some, in ascending order of the part's number, and of how many
+    parts without any come before it.
 
-    The split is done in two steps, high bits of the number first, so that a set of n digests takes about n ** 1.5 tests.
+    Entries are sorted by their part's number and place, so that a part is a slice.
     """
-
-    def split(both: Column, width: Column, low: Column, inner: Callable[[Column], Column]) -> Column:
-        mask = F.call_function("shiftleft", F.lit(1).cast("long"), width) - 1
-
-        def own(side: Column, p: Column) -> Column:
-            return F.filter(side, lambda k: F.call_function("shiftright", k, low).bitwiseAND(mask) == p)
-
-        return F.transform(
-            F.sequence(F.lit(0).cast("long"), mask),
-            lambda p: _with(F.struct(own(both["a"], p).alias("a"), own(both["b"], p).alias("b")), inner),
-        )
-
-    def halves(v: Column) -> Column:
-        low = (v["bits"] / 2).cast("int")
-        return F.flatten(split(v, v["bits"] - low, low, lambda w: split(w, low, F.lit(0), then)))
-
-    return _with(F.struct(sides["a"].alias("a"), sides["b"].alias("b"), bits.alias("bits")), halves)
+    place = (1 << 31) - 1
+
+    def number(code: Column) -> Column:
+        return F.shiftright(code, 31)
+
+    def slices(v: Column, codes: Column, starts: Column) -> Column:
+        def part(start: Column, j: Column) -> Column:
+            size = F.coalesce(F.get(starts, j + 1), F.size(codes)) - start
+            own = F.transform(
+                F.slice(codes, start + 1, size), lambda c: F.get(v["entries"], c.bitwiseAND(F.lit(place).cast("long")).cast("int"))
+            )
+            before = F.when(start == 0, F.lit(-1).cast("long")).otherwise(number(F.get(codes, start - 1)))
+            return then(own, number(F.get(codes, start)) - before - 1)
+
+        return F.transform(starts, part)
+
+    def sorted_codes(v: Column) -> Column:
+        codes = F.transform(v["entries"], lambda e, i: F.shiftleft(e["key"].bitwiseAND(v["mask"]), 31).bitwiseOR(i.cast("long")))
+        return F.sort_array(codes)
+
+    def starts_of(codes: Column) -> Column:
+        first = F.transform(codes, lambda c, i: F.when((i == 0) | (number(c) != number(F.get(codes, i - 1))), i))
+        return F.filter(first, lambda i: i.isNotNull())
+
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+    return _with(
+        F.struct(entries.alias("entries"), mask.alias("mask")),
+        lambda v: _with(sorted_codes(v), lambda codes: _with(starts_of(codes), lambda starts: slices(v, codes, starts))),
+    )
 
 
 def differing(a: Column, b: Column) -> Column:
-    """Digests that only one of two versions has, by sketches of their parts.
+    """Digests that only one of two versions has, by sketches of their parts, those of the larger version.
 
-    The parts are those of the larger version. Where both have as many, the first try is the subtraction of their
-    written sketches; otherwise the smaller one is sketched anew in the parts of the larger.
+    The cells of both versions are put together with opposite signs, which is the subtraction of their sketches.
     """
-    sides = F.struct(a.alias("a"), b.alias("b"))
-    each = _per_part(sides, F.greatest(part_bits(a), part_bits(b)), _differing_in_part)
+    entries = F.concat(as_entries(a), as_entries(b, -1))
+    each = _per_part(entries, F.greatest(part_bits(a), part_bits(b)), lambda part, _: _differing_in_part(part))
     return F.aggregate(each, F.lit(0).cast("long"), lambda x, y: x + y)
 
 
@@ -186,15 +247,19 @@ def written(digests: Column) -> Column:
     """The sketches of a set's parts as hexadecimal text: the number of part bits, then n, key and check of each cell."""
 
     def as_text(c: Column) -> Column:
-        return F.concat(F.lpad(F.hex(c["n"]), 8, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 16, "0"))
+        some = F.concat(F.lpad(F.hex(c["n"]), 8, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 16, "0"))
+        return F.when(c["n"] == 0, "0" * _CELL_DIGITS).otherwise(some)
+
+    digits = 3 * WRITTEN_CELLS * _CELL_DIGITS  # of a part
 
-    def text_of(part: Column) -> Column:
-        return F.array_join(F.transform(sketch(as_entries(part["a"]), WRITTEN_CELLS), as_text), "")
+    def text_of(part: Column, without: Column) -> Column:
+        own = F.array_join(F.transform(sketch(part, WRITTEN_CELLS), as_text), "")
+        return F.concat(F.repeat(F.lit("0"), (without * digits).cast("int")), own)
 
-    none = F.filter(digests, lambda _: F.lit(False))
-    sides = F.struct(digests.alias("a"), none.alias("b"))
     bits = part_bits(digests)
-    return F.lower(F.concat(F.lpad(F.hex(bits), 2, "0"), F.array_join(_per_part(sides, bits, text_of), "")))
+    parts = F.array_join(_per_part(as_entries(digests), bits, text_of), "")
+    length = F.call_function("shiftleft", F.lit(digits), bits)
+    return F.lower(F.concat(F.lpad(F.hex(bits), 2, "0"), F.rpad(parts, length, F.lit("0"))))
 
 
 def _long(digits: Column) -> Column:

@@ -606,6 +606,32 @@ def test_stored_fingerprints_peel_to_the_differing_digests(spark):
     assert len({len(r.fa) for r in out}) == 3
 
 
+def test_stalled_digests_are_told_apart_by_other_bits(spark):
+    one = 5 | 1 << 22 | 2 << 36 | 3 << 50
+    other = one | 1 << 24 | 1 << 38 | 1 << 52  # the same cells by the written bits, others by the next two
+    row = spark.createDataFrame([([one, other], [one + (1 << 8)])], "a array<bigint>, b array<bigint>")
+    a, b = sketches.as_entries(F.col("a")), sketches.as_entries(F.col("b"), -1)
+    found = row.select(
+        sketches.peel(sketches.sketch(a, 4), 4).alias("stalls"),
+        F.size(sketches._peeled(sketches.sketch(a, 4, F.lit(2)), 4, F.lit(2))["found"]).alias("found"),
+        sketches._differing_in_part(F.concat(a, b)).alias("differing"),
+    ).first()
+    assert found.stalls is None and found.found == 2 and found.differing == 3
+
+
+def test_parts_without_digests_are_written_as_zeros(spark):
+    sets = [[], [3], [k << 20 | 5 for k in range(1, 14)], [k << 20 | k % 2 * 3 for k in range(1, 14)], [k << 20 for k in range(1, 14)]]
+    rows = spark.createDataFrame([(s,) for s in sets], "d array<bigint>")
+    for r in rows.select("d", sketches.written(F.col("d")).alias("f")).collect():
+        parts = 1 if len(r.d) < 7 else 4
+        assert r.f[:2] == f"{parts.bit_length() - 1:02x}" and len(r.f) == 2 + parts * 480
+        for p in range(parts):
+            own = r.f[2 + p * 480 : 2 + (p + 1) * 480]
+            count = sum(int(own[40 * c : 40 * c + 8], 16) for c in range(12))
+            assert count == 3 * sum(k % parts == p for k in r.d)
+            assert count or set(own) == {"0"}
+
+
 def test_an_unspaced_text_is_like_its_edited_version(spark):
     rows = [(1, "".join(chr(97 + i * i % 26) for i in range(200)) + "z" * 100), (2, "another text " * 40)]
     out = {r.doc_id: r for r in sketches.fingerprint_versions(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
