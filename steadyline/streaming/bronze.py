@@ -82,17 +82,44 @@ def _held(rows: DataFrame) -> Iterator[DataFrame]:
         rows.unpersist()
 
 
+# Bits of a hash that number the places of the bitmaps of repeated keys, 8 MB in all.
+_PLACE_BITS = 26
+
+
+def _with_repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The rows with ``_repeated``: whether the key may be there several times; true for every key that is.
+
+    Keys are counted by their hash and the repeated ones marked in bitmaps whose size does not follow the
+    rows. So they are broadcast, and whole rows stay where they are. A null key is never repeated.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(key), 64 - _PLACE_BITS)
+    several = rows.filter(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    marked = several.filter("_n > 1").select(F.shiftrightunsigned("_hash", 64 - _PLACE_BITS).alias("_place"))
+    bitmaps = marked.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits")
+    )
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return (
+        rows.withColumn("_bucket", F.bitmap_bucket_number(place))
+        .join(F.broadcast(bitmaps), "_bucket", "left")
+        .withColumn("_repeated", F.col(key).isNotNull() & F.coalesce(bit, F.lit(False)))
+        .drop("_bucket", "_bits")
+    )
+
+
 def upsert_current(
     batch: DataFrame, path: str, batch_id: int = 0, run_id: str = "batch", key: str = "event_id"
 ) -> None:
     """Bring the state table up to the batch: its latest row of each key joins the stored versions.
 
-    Keys are counted on their own; only rows of keys that the batch has several times are compared.
+    Hashes of keys are counted on their own; only rows of keys that the batch may have several times are compared.
     """
     with _held(batch) as rows:
-        several = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
-        single = rows.join(several, key, "left_anti")
-        latest = latest_per_key(rows.join(several, key, "left_semi"), key, _VERSION)
+        marked = _with_repeated(rows, key)
+        single = marked.filter(~F.col("_repeated")).drop("_repeated")
+        latest = latest_per_key(marked.filter("_repeated").drop("_repeated"), key, _VERSION)
         _write_batch(single.unionByName(latest), path, run_id, batch_id)
 
 

@@ -99,6 +99,27 @@ def test_current_state_sorts_and_aggregates_no_raw_text(spark, tmp_path):
     assert narrow and plan.count("raw_json:string") == 1  # whole rows are scanned once
 
 
+@pytest.mark.parametrize("bits", [1, 26])
+def test_upsert_neither_sorts_nor_moves_whole_rows_to_find_repeated_keys(spark, monkeypatch, bits):
+    monkeypatch.setattr(bronze, "_PLACE_BITS", bits)
+    rows = spark.createDataFrame(
+        [(None, 1), (None, 2), *((f"k{i}", 1) for i in range(200)), *((f"k{i}", 2) for i in range(7))], "event_id STRING, seq INT"
+    )
+    marked = bronze._with_repeated(rows, "event_id")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        plan = plan_of(marked)
+        assert "SortMergeJoin" not in plan and all("event_id" not in m for m in exchanges(plan))
+        found = {(r.event_id, r.seq): r._repeated for r in marked.collect()}
+    finally:
+        spark.conf.unset(threshold)
+    assert len(found) == 209 and not found[None, 1] and not found[None, 2]
+    assert all(found[f"k{i}", v] for i in range(7) for v in (1, 2))
+    if bits == 26:
+        assert sum(found.values()) == 14
+
+
 def test_raw_text_is_parsed_once(spark):
     log = bronze_log(adapter.raw_records(spark, SF))
     plan = plan_of(extract_arrivals(log))
