@@ -26,7 +26,8 @@ WRITTEN_CELLS = 4
 TABLE_CELLS = (WRITTEN_CELLS, 8, 32, 128, 512)
 # Digests of one version that a part is meant for, at most.
 PART_DIGESTS = 6
-ROUNDS = 8
+TURNS = 24
+STEP_TURNS = 4
 # Documents of a range of ids that meets in one window, about; ranges whose borders are looked up.
 _RANGE_ROWS = 2000
 _COARSE = 500
@@ -42,8 +43,8 @@ Cells = Column
 
 
 def _with(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of a value that is computed once, however often ``then`` uses it."""
-    return F.element_at(F.transform(F.array(value), then), 1)
+    """``then`` of a value that is computed once, however often ``then`` uses it, and never copied."""
+    return F.aggregate(F.array(), value, lambda x, _: x, then)
 
 
 def digests(text: Column) -> Column:
@@ -56,7 +57,7 @@ def _cell(digest: Column, table: int, cells: int, above: Column | None = None) -
     bits = F.shiftright(digest, _SHIFTS[table])
     if above is not None:
         bits = F.call_function("shiftright", digest, above + _SHIFTS[table])
-    return bits.bitwiseAND(F.lit(cells - 1).cast("long"))
+    return bits.bitwiseAND(F.lit(cells - 1).cast("long")).cast("int")
 
 
 def _nothing() -> Column:
@@ -80,6 +81,21 @@ def _placed(entries: Column, cells: int, above: Column | None = None) -> Column:
     )
 
 
+def _with_entries(cell: Column, entries: Column, sign: int = 1) -> Column:
+    """A cell with entries put into it, or taken out; field by field, as :func:`_combined` would one after the other."""
+
+    def added(x: Column, e: Column) -> Column:
+        return x + e["n"] if sign > 0 else x - e["n"]
+
+    def total(own: Column) -> Column:
+        key = F.aggregate(own, cell["key"], lambda x, e: x.bitwiseXOR(e["key"]))
+        check = F.aggregate(own, cell["check"], lambda x, e: x.bitwiseXOR(e["check"]))
+        some = F.struct(F.aggregate(own, cell["n"], added).alias("n"), key.alias("key"), check.alias("check"))
+        return F.when(F.size(own) == 0, cell).otherwise(some)
+
+    return _with(entries, total)
+
+
 def sketch(entries: Column, cells: int, above: Column | None = None) -> Cells:
     """Three tables of ``cells`` cells, one after the other, over entries (n, key, check).
 
@@ -88,11 +104,11 @@ def sketch(entries: Column, cells: int, above: Column | None = None) -> Cells:
 
     def table(placed: Column, t: int) -> Column:
         return F.transform(
-            F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long")),
-            lambda i: F.aggregate(F.filter(placed, lambda e: e[f"c{t}"] == i), _nothing(), lambda x, y: _combined(x, y)),
+            F.sequence(F.lit(0), F.lit(cells - 1)),
+            lambda i: _with_entries(_nothing(), F.filter(placed, lambda e: e[f"c{t}"] == i)),
         )
 
-    return _with(_placed(entries, cells, above), lambda placed: F.concat(*[table(placed, t) for t in range(3)]))
+    return _with(_placed(entries, cells, above), lambda placed: F.flatten(F.array(*[table(placed, t) for t in range(3)])))
 
 
 def as_entries(keys: Column, n: int = 1) -> Column:
@@ -109,41 +125,49 @@ def _pure(cell: Column) -> Column:
     return (F.abs(cell["n"]) == 1) & (F.xxhash64(cell["key"]) == cell["check"])
 
 
-def _peeled(difference: Cells, cells: int, above: Column | None = None) -> Column:
-    """(cells, found, idle): the digests that peeling finds, and the cells without them.
+def _empty(cell: Column) -> Column:
+    return (cell["n"] == 0) & (cell["key"] == 0)
+
 
-    The tables take turns. The pure cells of one table hold different digests, which are taken out of all three.
+def _peeled(difference: Cells, cells: int, above: Column | None = None, most: Column | None = None) -> Column:
+    """(cells, found, done): the digests that peeling finds, and what the cells hold without them.
+
+    A turn reads all pure cells of the three tables and takes their digests, each once, out of all three. ``most`` is
+    how many digests can be found, where that is known: every turn but the last finds some.
     """
 
-    def without(state: Column, pure: Column) -> Column:
+    def without(state: Column, placed: Column) -> Column:
         def table(t: int) -> Column:
             own = F.slice(state["cells"], t * cells + 1, cells)
-            return F.transform(
-                own,
-                lambda c, i: F.aggregate(
-                    pure, c, lambda x, e: F.when(e[f"c{t}"] == i, _combined(x, e, -1)).otherwise(x)
-                ),
-            )
+            return F.transform(own, lambda c, i: _with_entries(c, F.filter(placed, lambda e: e[f"c{t}"] == i), -1))
 
-        return F.struct(
-            F.concat(*[table(t) for t in range(3)]).alias("cells"),
-            F.concat(state["found"], F.transform(pure, lambda e: F.struct(e["n"], e["key"], e["check"]))).alias("found"),
-            F.lit(0).alias("idle"),
-        )
+        return F.flatten(F.array(*[table(t) for t in range(3)]))
+
+    def turns(state: Column, left: int) -> Column:
+        def taken(pure: Column) -> Column:
+            after = _with(_placed(pure, cells, above), lambda placed: without(state, placed))
+            then = F.struct(after.alias("cells"), F.flatten(F.array(state["found"], pure)).alias("found"), F.lit(False).alias("done"))
+            return _with(then, lambda s: turns(s, left - 1))
+
+        if left == 0:
+            return state
+        rest = F.filter(state["cells"], lambda c: ~_empty(c))
+        done = F.struct(rest.alias("cells"), state["found"].alias("found"), F.lit(True).alias("done"))
+        pure = F.array_distinct(F.filter(state["cells"], _pure))
+        return _with(pure, lambda p: F.when(F.size(p) == 0, done).otherwise(taken(p)))
 
-    def turn(state: Column, t: Column) -> Column:
-        pure = F.filter(F.slice(state["cells"], t * cells + 1, F.lit(cells)), _pure)
-        idle = F.struct(state["cells"], state["found"], (state["idle"] + 1).alias("idle"))
-        taken = _with(pure, lambda p: F.when(F.size(p) == 0, idle).otherwise(_with(_placed(p, cells, above), lambda q: without(state, q))))
-        return F.when(state["idle"] == 3, state).otherwise(taken)
+    def start(c: Column) -> Column:
+        return F.struct(c.alias("cells"), F.filter(c, lambda _: F.lit(False)).alias("found"), F.lit(False).alias("done"))
 
-    none = F.filter(difference, lambda _: F.lit(False))
-    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(0).alias("idle"))
-    return F.aggregate(F.array(*[F.lit(t) for t in range(3)] * ROUNDS), start, turn)
+    # The state is copied after each step, so a step takes several turns.
+    steps = F.array(*[F.lit(i) for i in range(-(-TURNS // STEP_TURNS))])
+    if most is not None:
+        steps = F.slice(steps, F.lit(1), F.ceil(most / STEP_TURNS).cast("int"))
+    return F.aggregate(steps, _with(difference, start), lambda s, _: F.when(s["done"], s).otherwise(turns(s, STEP_TURNS)))
 
 
 def _clear(cells: Cells) -> Column:
-    return ~F.exists(cells, lambda c: (c["n"] != 0) | (c["key"] != 0))
+    return ~F.exists(cells, lambda c: ~_empty(c))
 
 
 def peel(difference: Cells, cells: int) -> Column:
@@ -167,7 +191,7 @@ def _differing_in_part(part: Column) -> Column:
                 (state["found"] + F.size(peeled["found"])).alias("found"),
             )
 
-        peeled = _peeled(sketch(state["rest"], WRITTEN_CELLS, above), WRITTEN_CELLS, above)
+        peeled = _peeled(sketch(state["rest"], WRITTEN_CELLS, above), WRITTEN_CELLS, above, F.size(state["rest"]))
         return F.when(F.size(state["rest"]) == 0, state).otherwise(_with(peeled, after))
 
     def larger(rest: Column) -> Column:
@@ -334,7 +358,8 @@ def _range_of(doc_id: Column, edges: list[int], parts: int) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next): every text with that of the next document in ascending doc_id; the first follows the last.
+    """(doc_id, text, next, own, following): every text with that of the next document in ascending doc_id, and the
+    digests of both, each text's taken once; the first follows the last.
 
     Null texts count as empty, null ids come first, equal ids follow the order of their texts' hash. Rows are
     dealt out by ranges of doc_id and looked at within their range; only the first text of each range
@@ -342,7 +367,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     edges, parts = _edges(read)
-    ranged = read.withColumns({"tie": F.xxhash64("text"), "range": _range_of(F.col("doc_id"), edges, parts)})
+    ranged = read.withColumns({"tie": F.xxhash64("text"), "range": _range_of(F.col("doc_id"), edges, parts), "own": digests(F.col("text"))})
     heads = ranged.groupBy("range").agg(F.min_by("text", F.struct("doc_id", "tie")).alias("head"))
     # The numbers of the ranges alone, one narrow row for some two thousand documents.
     order = Window.orderBy("range")
@@ -351,9 +376,21 @@ def with_next(docs: DataFrame) -> DataFrame:
     border = follower.join(heads.select(F.col("range").alias("follower"), "head"), "follower").select("range", "head")
     within = Window.partitionBy("range").orderBy("doc_id", "tie")
     return (
-        ranged.withColumns({"next": F.lead("text").over(within), "last": F.lead(F.lit(False), 1, True).over(within)})
+        ranged.withColumns(
+            {
+                "next": F.lead("text").over(within),
+                "following": F.lead("own").over(within),
+                "last": F.lead(F.lit(False), 1, True).over(within),
+            }
+        )
         .join(border, "range")
-        .select("doc_id", "text", F.when(F.col("last"), F.col("head")).otherwise(F.col("next")).alias("next"))
+        .select(
+            "doc_id",
+            "text",
+            F.when(F.col("last"), F.col("head")).otherwise(F.col("next")).alias("next"),
+            "own",
+            F.when(F.col("last"), digests(F.col("head"))).otherwise(F.col("following")).alias("following"),
+        )
     )
 
 
@@ -375,9 +412,9 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
             "doc_id",
             "n_chars",
             F.sha2("edited", 256).alias("edited_sha256"),
-            digests(F.col("text")).alias("own"),
+            "own",
             digests(F.col("edited")).alias("changed"),
-            digests(F.col("next")).alias("following"),
+            "following",
         )
     )
     return rows.select(
