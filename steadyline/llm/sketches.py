@@ -42,8 +42,8 @@ Cells = Column
 
 
 def _with(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of a value that is computed once, however often ``then`` uses it."""
-    return F.element_at(F.transform(F.array(value), then), 1)
+    """``then`` of a value that is computed once, however often ``then`` uses it, and not copied."""
+    return F.aggregate(F.array(), value, lambda x, _: x, then)
 
 
 def digests(text: Column) -> Column:
@@ -80,6 +80,17 @@ def _placed(entries: Column, cells: int, above: Column | None = None) -> Column:
     )
 
 
+def _total(entries: Column) -> Column:
+    """The cell that holds these entries."""
+
+    def xor(entries: Column, field: str) -> Column:
+        return F.aggregate(entries, F.lit(0).cast("long"), lambda x, e: x.bitwiseXOR(e[field]))
+
+    n = F.aggregate(entries, F.lit(0).cast("long"), lambda x, e: x + e["n"])
+    some = F.struct(n.alias("n"), xor(entries, "key").alias("key"), xor(entries, "check").alias("check"))
+    return F.when(F.size(entries) == 0, _nothing()).otherwise(some)
+
+
 def sketch(entries: Column, cells: int, above: Column | None = None) -> Cells:
     """Three tables of ``cells`` cells, one after the other, over entries (n, key, check).
 
@@ -89,10 +100,10 @@ def sketch(entries: Column, cells: int, above: Column | None = None) -> Cells:
     def table(placed: Column, t: int) -> Column:
         return F.transform(
             F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long")),
-            lambda i: F.aggregate(F.filter(placed, lambda e: e[f"c{t}"] == i), _nothing(), lambda x, y: _combined(x, y)),
+            lambda i: _with(F.filter(placed, lambda e: e[f"c{t}"] == i), _total),
         )
 
-    return _with(_placed(entries, cells, above), lambda placed: F.concat(*[table(placed, t) for t in range(3)]))
+    return _with(_placed(entries, cells, above), lambda placed: F.flatten(F.array(*[table(placed, t) for t in range(3)])))
 
 
 def as_entries(keys: Column, n: int = 1) -> Column:
@@ -109,41 +120,59 @@ def _pure(cell: Column) -> Column:
     return (F.abs(cell["n"]) == 1) & (F.xxhash64(cell["key"]) == cell["check"])
 
 
-def _peeled(difference: Cells, cells: int, above: Column | None = None) -> Column:
-    """(cells, found, idle): the digests that peeling finds, and the cells without them.
-
-    The tables take turns. The pure cells of one table hold different digests, which are taken out of all three.
-    """
-
-    def without(state: Column, pure: Column) -> Column:
-        def table(t: int) -> Column:
-            own = F.slice(state["cells"], t * cells + 1, cells)
-            return F.transform(
-                own,
-                lambda c, i: F.aggregate(
-                    pure, c, lambda x, e: F.when(e[f"c{t}"] == i, _combined(x, e, -1)).otherwise(x)
-                ),
-            )
+def _empty(cell: Column) -> Column:
+    return (cell["n"] == 0) & (cell["key"] == 0)
 
-        return F.struct(
-            F.concat(*[table(t) for t in range(3)]).alias("cells"),
-            F.concat(state["found"], F.transform(pure, lambda e: F.struct(e["n"], e["key"], e["check"]))).alias("found"),
-            F.lit(0).alias("idle"),
-        )
 
-    def turn(state: Column, t: Column) -> Column:
-        pure = F.filter(F.slice(state["cells"], t * cells + 1, F.lit(cells)), _pure)
-        idle = F.struct(state["cells"], state["found"], (state["idle"] + 1).alias("idle"))
-        taken = _with(pure, lambda p: F.when(F.size(p) == 0, idle).otherwise(_with(_placed(p, cells, above), lambda q: without(state, q))))
-        return F.when(state["idle"] == 3, state).otherwise(taken)
+def _peeled(difference: Cells, cells: int, above: Column | None = None, most: Column | None = None) -> Column:
+    """(cells, found): the digests that peeling finds, and the cells that hold something without them.
 
-    none = F.filter(difference, lambda _: F.lit(False))
-    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(0).alias("idle"))
-    return F.aggregate(F.array(*[F.lit(t) for t in range(3)] * ROUNDS), start, turn)
+    The tables take turns. The pure cells of one table hold different digests, which are taken out of all three, each
+    out of its own cell alone. ``most`` is how many digests can be found, where that is known: a round finds some or is
+    the last. Arrays are put together by ``flatten``, which costs much less than ``concat`` inside a lambda.
+    """
+    tables = ("t0", "t1", "t2")
+
+    def without(own: Column, pure: Column, t: int) -> Column:
+        def taken(own: Column, e: Column) -> Column:
+            at = _cell(e["key"], t, cells, above).cast("int")
+            return _with(at, lambda i: F.transform(own, lambda c, j: F.when(j == i, _combined(c, e, -1)).otherwise(c)))
+
+        return F.aggregate(pure, own, taken)
+
+    def turn(state: Column, t: int) -> Column:
+        def after(pure: Column) -> Column:
+            less = [without(state[name], pure, u).alias(name) for u, name in enumerate(tables)]
+            return F.when(F.size(pure) == 0, state).otherwise(F.struct(*less, F.flatten(F.array(state["found"], pure)).alias("found"), state["done"]))
+
+        return _with(F.filter(state[tables[t]], _pure), after)
+
+    def round_of(before: Column) -> Column:
+        def ended(state: Column) -> Column:
+            rest = [F.filter(state[name], lambda c: ~_empty(c)).alias(name) for name in tables]
+            end = F.struct(*rest, state["found"], F.lit(True).alias("done"))
+            idle = F.size(state["found"]) == F.size(before["found"])
+            return F.when(idle | ~F.exists(state["t0"], lambda c: ~_empty(c)), end).otherwise(state)
+
+        return _with(turn(before, 0), lambda x: _with(turn(x, 1), lambda y: _with(turn(y, 2), ended)))
+
+    def start(c: Column) -> Column:
+        own = [F.slice(c, t * cells + 1, cells).alias(name) for t, name in enumerate(tables)]
+        return F.struct(*own, F.slice(c, 1, 0).alias("found"), F.lit(False).alias("done"))
+
+    rounds = F.array(*[F.lit(i) for i in range(ROUNDS)])
+    if most is not None:
+        rounds = F.slice(rounds, F.lit(1), F.least(F.greatest(most, F.lit(1)), F.lit(ROUNDS)))
+    return F.aggregate(
+        rounds,
+        _with(difference, start),
+        lambda state, _: F.when(state["done"], state).otherwise(round_of(state)),
+        lambda state: F.struct(F.flatten(F.array(*[state[name] for name in tables])).alias("cells"), state["found"].alias("found")),
+    )
 
 
 def _clear(cells: Cells) -> Column:
-    return ~F.exists(cells, lambda c: (c["n"] != 0) | (c["key"] != 0))
+    return ~F.exists(cells, lambda c: ~_empty(c))
 
 
 def peel(difference: Cells, cells: int) -> Column:
@@ -167,7 +196,7 @@ def _differing_in_part(part: Column) -> Column:
                 (state["found"] + F.size(peeled["found"])).alias("found"),
             )
 
-        peeled = _peeled(sketch(state["rest"], WRITTEN_CELLS, above), WRITTEN_CELLS, above)
+        peeled = _peeled(sketch(state["rest"], WRITTEN_CELLS, above), WRITTEN_CELLS, above, F.size(state["rest"]))
         return F.when(F.size(state["rest"]) == 0, state).otherwise(_with(peeled, after))
 
     def larger(rest: Column) -> Column:

@@ -619,6 +619,20 @@ def test_stalled_digests_are_told_apart_by_other_bits(spark):
     assert found.stalls is None and found.found == 2 and found.differing == 3
 
 
+def test_peeled_cells_are_dropped(spark):
+    one = 5 | 1 << 22 | 2 << 36 | 3 << 50
+    other = one | 1 << 24 | 1 << 38 | 1 << 52  # the same cells as ``one``
+    sets = [([], 0, 0), ([one], 1, 0), ([k * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(1, 5)], 4, 0), ([one, other], 0, 3)]
+    rows = spark.createDataFrame([(i, s) for i, (s, _, _) in enumerate(sets)], "i int, d array<bigint>")
+    cells = sketches.sketch(sketches.as_entries(F.col("d")), 4)
+    for most in (None, F.size("d")):
+        peeled = sketches._peeled(cells, 4, most=most)
+        for r in rows.select("i", "d", peeled.alias("p")).collect():
+            keys, found, left = sets[r.i]
+            assert len(r.p.found) == found and len(r.p.cells) == left
+            assert left or {c.key for c in r.p.found} == set(keys)
+
+
 def test_parts_without_digests_are_written_as_zeros(spark):
     sets = [[], [3], [k << 20 | 5 for k in range(1, 14)], [k << 20 | k % 2 * 3 for k in range(1, 14)], [k << 20 for k in range(1, 14)]]
     rows = spark.createDataFrame([(s,) for s in sets], "d array<bigint>")
